@@ -1,0 +1 @@
+"""Empty on purpose: every flow this library covers is a batch flow."""
