@@ -19,10 +19,12 @@ COPY_BYTES = 8 << 20
 
 # Java regular expressions. Line ends that str.splitlines() honours and Spark's
 # text reader does not:
-OTHER_LINE_ENDS = r"[\x0B\f\x1C\x1D\x1E\x85  ]"
+OTHER_LINE_ENDS = r"[\x0B\f\x1C\x1D\x1E\x85\u2028\u2029]"
 # Anything str.strip() would leave standing:
-SOME_TEXT = r"[^\s\x0B\x1C-\x1F\x85\xA0  -     　]"
-BYTE_ORDER_MARK = r"^﻿"
+SOME_TEXT = (
+    r"[^\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+)
+BYTE_ORDER_MARK = r"^\uFEFF"
 
 
 def file_type(name: Column) -> Column:
