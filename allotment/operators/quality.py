@@ -118,30 +118,23 @@ def check_table(spark: SparkSession, context: RunContext, check: TableCheck) ->
     deep = bool(check.critical) and not missing
     stats = profile(check.rows, check.key if deep else None, check.critical if deep else ())
 
-    empty = F.col("filas") == 0
-    rules = [F.struct(
-        F.lit(check.has_data_rule).alias("rule"),
-        empty.cast("bigint").alias("errors"),
-        F.concat(F.lit("rows: "), F.col("filas")).alias("text"),
-    )]
+    def rule(name: str, errors: Column, text: Column) -> Column:
+        return F.struct(F.lit(name).alias("rule"), errors.cast("bigint").alias("errors"), text.alias("text"))
+
+    def counted(text: str, count: Column) -> Column:
+        return F.concat(F.lit(text), count)
+
+    nulls, repeated = F.col("nulos"), F.col("duplicados")
+    rules = [rule(check.has_data_rule, F.col("filas") == 0, counted("rows: ", F.col("filas")))]
     if missing:
-        rules.append(F.struct(
-            F.lit(f"{check.rule_prefix}_required_columns"),
-            F.lit(len(missing)).cast("bigint"),
-            F.lit(f"missing columns: {', '.join(missing)}"),
-        ))
+        text = F.lit(f"missing columns: {', '.join(missing)}")
+        rules.append(rule(f"{check.rule_prefix}_required_columns", F.lit(len(missing)), text))
     elif check.critical:
-        rules.append(F.struct(
-            F.lit(f"{check.rule_prefix}_critical_nulls"),
-            F.col("nulos"),
-            F.concat(F.lit(f"rows with NULL in {'/'.join(check.critical)}: "), F.col("nulos")),
-        ))
+        text = counted(f"rows with NULL in {'/'.join(check.critical)}: ", nulls)
+        rules.append(rule(f"{check.rule_prefix}_critical_nulls", nulls, text))
         if check.key:
-            rules.append(F.struct(
-                F.lit(f"{check.rule_prefix}_duplicate_{check.key}"),
-                F.col("duplicados"),
-                F.concat(F.lit(f"duplicated {check.key}: "), F.col("duplicados")),
-            ))
+            text = counted(f"duplicated {check.key}: ", repeated)
+            rules.append(rule(f"{check.rule_prefix}_duplicate_{check.key}", repeated, text))
     found = stats.select(F.inline(F.array(*rules)))
     return found.select(*result(
         context, name, F.col("rule"), F.col("errors") == 0, F.col("errors"), F.col("text"),

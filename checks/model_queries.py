@@ -77,7 +77,7 @@ linked AS (
     WHERE id_centro IN (SELECT id_centro FROM centre)) l USING (cod_cliente))"""
 
 
-def measures_of(key: str, name: str) -> str:
+def measures_of(key: str, name: str, keep: str = "TRUE") -> str:
     return f"""{name} AS (
   SELECT s.*, {ratio('s.m', 's.v')} AS pct, distancia FROM (
     SELECT k, sum(m) AS m, sum(v) AS v, avg({ratio('m', 'v')}) AS prom
@@ -85,7 +85,7 @@ def measures_of(key: str, name: str) -> str:
   LEFT JOIN (SELECT {key} AS k, max(distancia) AS distancia
              FROM (SELECT DISTINCT cod_cliente, llave FROM linked) LEFT JOIN located USING (cod_cliente)
              GROUP BY ALL) d ON d.k = s.k
-  WHERE s.m IS NOT NULL)"""
+  WHERE {keep})"""
 
 
 def score_of(source: str, name: str, w1: float, w2: float, w3: float) -> str:
@@ -98,7 +98,7 @@ def score_of(source: str, name: str, w1: float, w2: float, w3: float) -> str:
 
 
 SCORES = f"""{LINKED},
-{measures_of('llave', 'chains')},
+{measures_of('llave', 'chains', 's.m IS NOT NULL')},
 {measures_of('cod_cliente', 'clients')},
 {score_of('chains', 'chains_scored', 0.33, 0.55, 0.17)},
 {score_of('clients', 'clients_scored', 0.33, 0.5, 0.17)},
@@ -248,7 +248,7 @@ def max_distance_by_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- normalisation, scores, ranks -------------------------------------------------
 
 @query(f"""WITH {LINKED},
-{measures_of('llave', 'chains')}
+{measures_of('llave', 'chains', 's.m IS NOT NULL')}
 SELECT k AS cod_cliente_homologado,
   round((CAST(m AS DOUBLE) - min(CAST(m AS DOUBLE)) OVER ())
         / greatest(max(CAST(m AS DOUBLE)) OVER () - min(CAST(m AS DOUBLE)) OVER (), 1e-9), 6) AS margen_norm,

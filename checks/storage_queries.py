@@ -1 +1,127 @@
-"""Pending."""
+"""Writes to every layer, read back."""
+
+from __future__ import annotations
+
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from allotment.runtime import materialise, scratch_path
+from allotment.sources import files, sinks
+
+from . import inputs
+from .quality_queries import gold_like
+from .registry import query
+
+RANKED = """ranked AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS cod_cliente,
+         row_number() OVER (ORDER BY c_acctbal DESC, CAST(c_custkey AS VARCHAR)) AS prioridad FROM customer)"""
+
+
+def fresh_name(label: str) -> str:
+    return f"{label}_{uuid4().hex}"
+
+
+def forget(spark: SparkSession, *tables: str) -> None:
+    """Drop the catalogue entries; the tables are external, so their files stay."""
+    for table in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+@query("""SELECT p_partkey, p_name, p_size, (SELECT count(*) FROM part) AS escritas FROM part""")
+def bronze_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice to the same path (overwrite), with the observed count."""
+    path = scratch_path(spark, "bronze")
+    part = inputs.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    sinks.write_bronze(part.limit(0), path)
+    rows = sinks.write_bronze(part, path)
+    return spark.read.parquet(path).withColumn("escritas", F.lit(rows).cast("bigint"))
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, (SELECT count(*) FROM orders) AS escritas FROM orders""")
+def silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second refresh replaces data and schema."""
+    table, path = fresh_name("silver"), scratch_path(spark, "silver")
+    orders = inputs.table(spark, sf_dir, "orders")
+    sinks.refresh_table(orders.select("o_orderkey", "o_totalprice"), table, path)
+    rows = sinks.refresh_table(orders.select("o_orderkey", "o_custkey", "o_orderstatus"), table, path)
+    result = spark.read.schema(spark.table(table).schema).parquet(path)
+    forget(spark, table)
+    return result.withColumn("escritas", F.lit(rows).cast("bigint"))
+
+
+@query(f"""WITH {RANKED}
+SELECT 'snapshot' AS origen, 'run-2' AS execution_id, * FROM ranked
+UNION ALL SELECT 'history', 'run-1', * FROM ranked UNION ALL SELECT 'history', 'run-2', * FROM ranked""")
+def snapshot_and_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs: the snapshot holds the second, the history both."""
+    snapshot, history = fresh_name("snapshot"), fresh_name("history")
+    paths = scratch_path(spark, "snapshot"), scratch_path(spark, "history")
+    for run in ("run-1", "run-2"):
+        sinks.write_gold(
+            gold_like(spark, sf_dir, run), snapshot, history, snapshot_path=paths[0], history_path=paths[1]
+        )
+    forget(spark, snapshot, history)
+    read = lambda path, origin: spark.read.parquet(path).select(
+        F.lit(origin).alias("origen"), "execution_id", "cod_cliente", "prioridad"
+    )
+    return read(paths[0], "snapshot").unionByName(read(paths[1], "history"))
+
+
+@query("""SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_acctbal FROM supplier
+UNION ALL SELECT s_suppkey, NULL, s_acctbal FROM supplier""")
+def log_append_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second append with a new column and without an old one."""
+    table, path = fresh_name("log"), scratch_path(spark, "log")
+    supplier = inputs.table(spark, sf_dir, "supplier")
+    sinks.append_rows(supplier.select("s_suppkey", "s_name"), table, path)
+    sinks.append_rows(supplier.select("s_acctbal", "s_suppkey"), table, path)
+    result = spark.read.schema(spark.table(table).schema).parquet(path)
+    forget(spark, table)
+    return result
+
+
+@query(f"""WITH {RANKED},
+n AS (SELECT count(*) AS n FROM customer)
+SELECT cod_cliente, prioridad, 'N' AS "Estatus", 2 AS veces_append, 1 AS veces_reemplazo,
+  n AS rows_read, n AS rows_written, 'success' AS status FROM ranked, n""")
+def publication_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append twice, then replace; what each target holds and the last metric record."""
+    appended, replaced = scratch_path(spark, "published"), scratch_path(spark, "published")
+    index = gold_like(spark, sf_dir)
+    for _ in range(2):
+        metric = sinks.publish(index, appended, "append", write=sinks.publish_to_path)
+        sinks.publish(index, replaced, "truncate_insert", write=sinks.publish_to_path)
+    keys = ["cod_cliente", "prioridad", "Estatus"]
+    count = lambda path, name: spark.read.parquet(path).groupBy(*keys).agg(F.count("*").cast("int").alias(name))
+    both = count(appended, "veces_append").join(count(replaced, "veces_reemplazo"), keys)
+    return both.select(
+        *keys, "veces_append", "veces_reemplazo",
+        F.lit(metric["rows_read"]).cast("bigint").alias("rows_read"),
+        F.lit(metric["rows_written"]).cast("bigint").alias("rows_written"),
+        F.lit(metric["status"]).alias("status"),
+    )
+
+
+@query("""SELECT c_nationkey AS pais, 'csv' AS tipo, count(*) AS rows_read, true AS mismo_tamano
+FROM customer GROUP BY ALL""")
+def csv_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV files by nation, landed elsewhere, then listed and counted there."""
+    source, target = scratch_path(spark, "portal"), scratch_path(spark, "landed")
+    customers = inputs.table(spark, sf_dir, "customer").withColumn("pais", F.col("c_nationkey"))
+    customers.write.partitionBy("pais").option("header", "true").csv(source)
+    country = F.regexp_extract("archivo_origen", r"pais=(\d+)", 1).try_cast("int")
+    landed = materialise(files.land(spark, source, target), "landing")  # copies once
+    copied = (
+        landed.filter(F.col("archivo_origen").endswith(".csv"))
+        .groupBy(country.alias("pais")).agg(F.sum("bytes_read").alias("copied"))
+    )
+    found = (
+        files.inventory(spark, target)
+        .withColumn("pais", country)
+        .groupBy("pais", "tipo")
+        .agg(F.sum("rows_read").alias("rows_read"), F.sum("bytes_read").alias("found"))
+        .filter("tipo = 'csv'")
+    )
+    return found.join(copied, "pais").select("pais", "tipo", "rows_read", (F.col("found") == F.col("copied")).alias("mismo_tamano"))
