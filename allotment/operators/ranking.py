@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,30 +27,33 @@ def min_max_normalise(
     stability: str = "cv_margen_bruto",
     distance: str = "distancia",
     mean_margin: str = "margen_bruto_prom",
+    bounds: Mapping[str, tuple[float | None, float | None]] | None = None,
 ) -> DataFrame:
     """Add each present measure scaled to [0, 1] over the whole frame.
 
     Distance and stability are inverted (1 is best). Absent measures are
-    skipped; a measure that is NULL everywhere stays NULL. All statistics come
+    skipped; a measure that is NULL everywhere stays NULL. Known ``bounds``
+    (measure -> lowest, highest) save the pass that finds them; all others come
     from one aggregate, read back as a scalar subquery.
     """
     columns = {"margin": margin, "stability": stability, "distance": distance, "mean_margin": mean_margin}
     present = [name for name, there in present_measures(df, columns).items() if there]
+    if bounds is not None:
+        present = [name for name in present if name in bounds]
     if not present:
         return df
-    bounds = [
-        part
-        for name in present
-        for part in (
-            F.min(F.col(columns[name]).cast("double")).alias(f"{name}_low"),
-            F.max(F.col(columns[name]).cast("double")).alias(f"{name}_high"),
-        )
-    ]
-    stats = df.agg(*bounds).select(F.struct("*")).scalar()
+    values = {name: F.col(columns[name]).cast("double") for name in present}
+    if bounds is None:
+        stats = df.agg(*[
+            F.struct(F.min(value), F.max(value)).alias(name) for name, value in values.items()
+        ]).select(F.struct("*")).scalar()
+        limits = {name: (stats[name]["col1"], stats[name]["col2"]) for name in present}
+    else:
+        limits = {name: tuple(F.lit(end).cast("double") for end in bounds[name]) for name in present}
 
     def scaled(name: str) -> Column:
-        low, high = stats.getField(f"{name}_low"), stats.getField(f"{name}_high")
-        share = (F.col(columns[name]).cast("double") - low) / F.greatest(high - low, F.lit(SMALLEST_RANGE))
+        low, high = limits[name]
+        share = (values[name] - low) / F.greatest(high - low, F.lit(SMALLEST_RANGE))
         return share if NORMALISED[name][1] else 1 - share
 
     return df.withColumns({NORMALISED[name][0]: scaled(name) for name in present})

@@ -13,12 +13,13 @@ HOT_SHARE = 1000
 HOT_MINIMUM = 100_000
 
 
-def hot_keys(sizes: DataFrame, size: str, minimum: int = HOT_MINIMUM) -> DataFrame | None:
+def hot_keys(
+    sizes: DataFrame, size: str, total: int | None, largest: int | None, minimum: int = HOT_MINIMUM
+) -> DataFrame | None:
     """Rows of ``sizes`` (one per key) whose key is hot, or None when none is.
 
-    Runs one aggregate over ``sizes``, which should be materialised.
+    ``total`` and ``largest`` are the sum and the maximum of the sizes.
     """
-    total, largest = sizes.agg(F.sum(size), F.max(size)).first()
     limit = max(minimum, (total or 0) // HOT_SHARE)
     if (largest or 0) <= limit:
         return None
@@ -55,25 +56,27 @@ def join_to_groups(
     return hot_part.unionByName(cold_part)
 
 
-def repeat_rows(df: DataFrame, copies: str, number: str, chunk: int = 4096) -> DataFrame:
+def repeat_rows(df: DataFrame, copies: str, most: int | None, number: str, chunk: int = 4096) -> DataFrame:
     """Each row ``copies`` times (at least once), numbered 1.. in ``number``.
 
-    Rows with many copies are first cut into chunks that are spread over the
-    tasks, so neither an array nor a task has to hold all copies of one row.
+    ``most`` is the largest number of copies. Rows with many copies are first
+    cut into chunks that are spread over the tasks, so neither an array nor a
+    task has to hold all copies of one row.
     """
-    times = F.greatest(F.coalesce(F.col(copies), F.lit(1)), F.lit(1)).cast("bigint")
-    most = df.agg(F.max(times)).first()[0] or 1
-    if most == 1:
-        return df.withColumn(number, F.lit(1).cast("bigint"))
-    few = df.filter(times <= chunk).withColumn(number, F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
+    one, step = F.lit(1).cast("bigint"), F.lit(chunk).cast("bigint")
+    if (most or 1) <= 1:
+        return df.withColumn(number, one)
+    times = F.greatest(F.coalesce(F.col(copies), one), one).cast("bigint")
+    few = df.filter(times <= step).withColumn(number, F.explode(F.sequence(one, times)))
     if most <= chunk:
         return few
-    step = F.lit(chunk).cast("bigint")
     starts = F.sequence(F.lit(0).cast("bigint"), F.floor((times - 1) / step).cast("bigint"))
-    many = df.filter(times > chunk).withColumn("_chunk", F.explode(starts))
-    spread = many.repartition(*[c for c in many.columns])
-    base = F.col("_chunk") * step
-    many = spread.withColumn(
-        number, base + F.explode(F.sequence(F.lit(1).cast("bigint"), F.least(step, times - base)))
-    ).drop("_chunk")
+    many = df.filter(times > step).withColumn("_chunk", F.explode(starts))
+    done = F.col("_chunk") * step
+    many = (
+        many.repartition(*many.columns)
+        .withColumn(number, F.explode(F.sequence(one, F.least(step, times - done))))
+        .withColumn(number, F.col(number) + done)
+        .drop("_chunk")
+    )
     return few.unionByName(many)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import contracts as c
 from ..functions.casts import to_contract_type
 from ..operators import distance, measures, ranking, skew
-from ..runtime import materialise
+from ..runtime import materialise, materialise_watching
 
 CHAIN_KEY = "cod_cliente_homologado"
 SCORED = ("margen_porcentual", "margen_porcentual_prom", "distancia_norm")
@@ -104,9 +104,11 @@ def chain_measures(monthly: DataFrame, catalogue: DataFrame) -> DataFrame:
     return sums.join(spread, CHAIN_KEY, "left")
 
 
-def scored(df: DataFrame, weights: tuple[float, float, float], name: str = "score") -> DataFrame:
+def scored(
+    df: DataFrame, weights: tuple[float, float, float], name: str = "score", bounds: Mapping | None = None
+) -> DataFrame:
     """Scale the distance over the frame and weigh it with the two ratios."""
-    return ranking.weighted_score(ranking.min_max_normalise(df), weights, SCORED, name)
+    return ranking.weighted_score(ranking.min_max_normalise(df, bounds=bounds), weights, SCORED, name)
 
 
 def previous_priorities(customers: DataFrame) -> DataFrame:
@@ -143,22 +145,28 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     attribute rows or previous priorities has one row for each combination.
     """
     check_inputs(inputs)
+    # The write of either frame also yields the figures that shape the later steps.
+    nearest, farthest = F.min("distancia"), F.max("distancia")
     monthly = materialise(window_months(inputs, options), "monthly")
-    catalogue = materialise(customer_catalogue(monthly, inputs["customers"], options), "catalogue")
-    chains = materialise(chain_measures(monthly, catalogue), "chains")
-
-    ratios = ["margen_porcentual", "margen_porcentual_prom", "distancia"]
-    by_chain = scored(chains.select(CHAIN_KEY, *ratios), options.chain_weights, "chain_score").select(
-        CHAIN_KEY, "chain_score", "margen_porcentual"
+    catalogue, per_customer = materialise_watching(
+        customer_catalogue(monthly, inputs["customers"], options), "catalogue",
+        {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
     )
+    chains, per_chain = materialise_watching(
+        chain_measures(monthly, catalogue), "chains",
+        {"low": nearest, "high": farthest, "members": F.sum("members"), "largest": F.max("members")},
+    )
+
+    by_chain = scored(
+        chains, options.chain_weights, "chain_score", {"distance": (per_chain["low"], per_chain["high"])}
+    ).select(CHAIN_KEY, "chain_score", "margen_porcentual")
     by_customer = scored(
-        catalogue.select("cod_cliente", CHAIN_KEY, "attribute_rows", *ratios),
-        options.customer_weights,
-        "customer_score",
+        catalogue, options.customer_weights, "customer_score", {"distance": (per_customer["low"], per_customer["high"])}
     ).select("cod_cliente", CHAIN_KEY, "attribute_rows", "customer_score")
 
-    rows = skew.repeat_rows(with_priorities(by_customer, inputs, options), "attribute_rows", "copy")
-    hot = skew.hot_keys(chains.select(CHAIN_KEY, "members"), "members", options.hot_minimum)
+    prioritised = with_priorities(by_customer, inputs, options)
+    rows = skew.repeat_rows(prioritised, "attribute_rows", per_customer["copies"], "copy")
+    hot = skew.hot_keys(chains, "members", per_chain["members"], per_chain["largest"], options.hot_minimum)
     assembled = skew.join_to_groups(rows, by_chain, [CHAIN_KEY], hot)
 
     # A row without a customer code has no customer rank to sort by.

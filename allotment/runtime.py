@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Mapping
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _LOCAL_ROOT: str | None = None
 
@@ -40,7 +41,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     survives the loss of executors without recomputing its inputs, prunes
     columns, and tells the planner its true size.
     """
+    return materialise_watching(df, label, {})[0]
+
+
+def materialise_watching(
+    df: DataFrame, label: str, watch: Mapping[str, Column]
+) -> tuple[DataFrame, dict[str, object]]:
+    """The same, with aggregates over all rows taken by the job that writes them."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not watch:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), {}
+    seen = Observation()
+    df.observe(seen, *[column.alias(name) for name, column in watch.items()]).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), dict(seen.get)

@@ -38,7 +38,7 @@ def file_type(name: Column) -> Column:
 
 
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Per CSV file ``(archivo_origen, rows_read)``: lines that hold text, less the header.
+    """Per CSV file ``(uri, rows_read)``: lines that hold text, less the header.
 
     Counted before the shuffle, so one very large file is counted by all the
     tasks that read a part of it.
@@ -47,24 +47,29 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
         spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("recursiveFileLookup", "true")
         .text(path)
-        .select(F.col("_metadata.file_path").alias("archivo_origen"), F.col("value"))
+        .select(F.col("_metadata.file_path").alias("uri"), F.col("value"))
     )
     pieces = F.split(F.regexp_replace("value", BYTE_ORDER_MARK, ""), OTHER_LINE_ENDS)
     filled = F.size(F.filter(pieces, lambda piece: piece.rlike(SOME_TEXT)))
     return (
-        lines.groupBy("archivo_origen")
+        lines.groupBy("uri")
         .agg(F.sum(filled).alias("_filled"))
-        .select("archivo_origen", F.greatest(F.col("_filled") - 1, F.lit(0)).cast("bigint").alias("rows_read"))
+        .select("uri", F.greatest(F.col("_filled") - 1, F.lit(0)).cast("bigint").alias("rows_read"))
     )
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """``(archivo_origen, bytes_read)`` of every non-empty file below ``path``.
+    """``(archivo_origen, bytes_read, uri)`` of every non-empty file below ``path``.
 
-    ``content`` is not selected, so no file is opened.
+    ``uri`` is the percent-encoded path. ``content`` is not selected, so no
+    file is opened.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(F.col("path").alias("archivo_origen"), F.col("length").alias("bytes_read"))
+    return files.select(
+        F.col("path").alias("archivo_origen"),
+        F.col("length").alias("bytes_read"),
+        F.col("_metadata.file_path").alias("uri"),
+    )
 
 
 def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
@@ -82,7 +87,7 @@ def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None)
             .withColumn("bytes_read", F.coalesce("bytes_read", F.lit(0)))
         )
     kind = file_type(F.col("archivo_origen"))
-    return found.join(csv_rows(spark, path), "archivo_origen", "left").select(
+    return found.join(csv_rows(spark, path), "uri", "left").select(
         "archivo_origen",
         kind.alias("tipo"),
         F.col("bytes_read").cast("bigint").alias("bytes_read"),
@@ -121,4 +126,4 @@ def land(spark: SparkSession, source: str, target: str) -> DataFrame:
             yield batch.assign(archivo_destino=[f"{target.rstrip('/')}/{name}" for name in names])
 
     schema = "archivo_origen string, bytes_read bigint, archivo_destino string"
-    return listing(spark, source).mapInPandas(copy, schema)
+    return listing(spark, source).drop("uri").mapInPandas(copy, schema)

@@ -1,0 +1,306 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from allotment import contracts as c
+from allotment.operators import control
+from allotment.sources import extract, files, jdbc, sinks, tables
+
+from .test_control import legacy
+
+LINK = jdbc.Connection("jdbc:db://host/base", "reader", "s3cret", "org.example.Driver")
+
+
+# --- tables -------------------------------------------------------------------------
+
+def test_table_probe(spark):
+    spark.range(1).createOrReplaceTempView("probe_view")
+    assert tables.table_exists(spark, "probe_view")
+    assert not tables.table_exists(spark, "no_such_table")
+    assert not tables.table_exists(spark, "no_such_schema.no_such_table")
+    assert not tables.table_exists(spark, "not a name")
+    assert tables.table_or_none(spark, None) is None
+    spark.catalog.dropTempView("probe_view")
+
+
+def test_roles(spark):
+    spark.range(3).createOrReplaceTempView("role_view")
+    frames = tables.read_roles(spark, {role: "role_view" for role in c.INPUT_ROLES} | {"materials": spark.range(5)})
+    assert {role: df.count() for role, df in frames.items()} == {role: 3 for role in c.INPUT_ROLES} | {"materials": 5}
+    with pytest.raises(c.ContractError, match="previous_index"):
+        tables.read_roles(spark, {role: "role_view" for role in c.INPUT_ROLES if role != "previous_index"})
+
+
+# --- JDBC: no database is started, so options and calls are checked -----------------
+
+def test_read_options():
+    options = jdbc.read_options(LINK, query="SELECT 1")
+    assert options["query"] == "SELECT 1" and options["driver"] == "org.example.Driver" and "dbtable" not in options
+    split = jdbc.Split("id", 0, 1000, 16)
+    options = jdbc.read_options(LINK, query="SELECT 1", split=split)
+    assert options["dbtable"] == "(SELECT 1) q" and options["numPartitions"] == "16" and "query" not in options
+    assert jdbc.read_options(LINK, table="s.t", split=split)["dbtable"] == "s.t"
+    for source in ({}, {"query": "q", "table": "t"}):
+        with pytest.raises(c.ContractError):
+            jdbc.read_options(LINK, **source)
+
+
+def test_write_options():
+    assert jdbc.write_mode(" Append ") == ("append", False)
+    assert jdbc.write_mode("overwrite") == ("overwrite", False)
+    assert jdbc.write_mode("truncate_insert") == ("overwrite", True)
+    with pytest.raises(c.ContractError):
+        jdbc.write_mode("replace")
+    options = jdbc.write_options(LINK, "dbo.t", "truncate_insert")
+    assert options["truncate"] == "true" and options["batchsize"] == "10000" and options["dbtable"] == "dbo.t"
+    assert "truncate" not in jdbc.write_options(LINK, "dbo.t", "append")
+
+
+def test_password_does_not_show():
+    assert "s3cret" not in repr(LINK)
+
+
+class Writer:
+    """Records what a frame's writer is asked to do."""
+
+    def __init__(self):
+        self.calls = {}
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls[name] = args or kwargs
+            return self
+
+        return call
+
+
+class Frame:
+    def __init__(self):
+        self.write = Writer()
+
+
+def test_write_jdbc():
+    frame = Frame()
+    jdbc.write_jdbc(frame, LINK, "dbo.t", "truncate_insert", connections=8)
+    calls = frame.write.calls
+    assert calls["format"] == ("jdbc",) and calls["mode"] == ("overwrite",) and "save" in calls
+    assert calls["options"]["truncate"] == "true" and calls["options"]["numPartitions"] == "8"
+
+
+def test_failing_publication_is_a_record_without_secrets(spark):
+    def fail(rows, target, mode):
+        raise RuntimeError("login of reader with s3cret failed")
+
+    index = spark.createDataFrame([("a", 1, "N", None)], "cod_cliente string, prioridad bigint, Estatus string, create_timestamp timestamp")
+    record = sinks.publish(index, "dbo.t", "append", connection=LINK, write=fail)
+    assert record["status"] == "error" and record["rows_written"] == 0
+    assert "s3cret" not in record["error_message"] and "<redacted>" in record["error_message"]
+    assert sinks.publish(index, "t", "replace", write=fail)["status"] == "error"
+    assert "Estatus" in sinks.publish(index.drop("Estatus"), "t", write=fail)["error_message"]
+    assert sinks.publish(index, "t")["status"] == "error"
+
+
+def test_publication(spark, tmp_path):
+    target = str(tmp_path / "published")
+    index = spark.range(7).select(
+        F.col("id").cast("string").alias("cod_cliente"), F.col("id").alias("prioridad"), F.lit("N").alias("Estatus"),
+        F.current_timestamp().alias("create_timestamp"), F.lit("x").alias("extra"),
+    )
+    record = sinks.publish(index, target, write=sinks.publish_to_path)
+    assert (record["rows_read"], record["rows_written"], record["status"]) == (7, 7, "success")
+    assert set(record) == set(c.PUBLICATION_METRIC_SCHEMA.names)
+    assert spark.read.parquet(target).columns == c.PUBLICATION_COLUMNS
+
+
+# --- sinks --------------------------------------------------------------------------
+
+def test_bronze_counts_while_writing(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    assert sinks.write_bronze(spark.range(100), path) == 100
+    assert sinks.write_bronze(spark.range(3).withColumn("x", F.lit(1)), path, partition_by=["x"]) == 3
+    assert spark.read.parquet(path).count() == 3
+    assert sinks.write_bronze(spark.range(0), path) == 0
+
+
+def test_output_format():
+    assert sinks.output_format({"extension_archivo_destino": ".parquet"}) == "parquet"
+    assert sinks.output_format({"tipo_carga": "Parquet"}) == "parquet"
+    assert sinks.output_format({"extension_archivo_destino": ".csv"}) == "delta"
+    assert sinks.output_format({"extension_archivo_destino": ".csv"}, default="parquet") == "parquet"
+    assert sinks.output_format({"tipo_carga": "delta"}, default="parquet") == "delta"
+
+
+def test_refresh_replaces_data_and_schema(spark):
+    assert sinks.refresh_table(spark.range(5), "silver_t") == 5
+    assert sinks.refresh_table(spark.range(2).withColumn("x", F.lit(1)), "silver_t") == 2
+    assert spark.table("silver_t").columns == ["id", "x"]
+    assert sinks.empty_like(spark.table("silver_t")).count() == 0
+    spark.sql("DROP TABLE silver_t")
+
+
+def test_snapshot_and_history_agree(spark):
+    for run in ("r1", "r2"):
+        # A random column stands for anything that differs between evaluations.
+        df = spark.range(50).select("id", F.rand().alias("x"), F.lit(run).alias("run"))
+        assert sinks.write_gold(df, "snap_t", "hist_t") == 50
+    snapshot, history = spark.table("snap_t"), spark.table("hist_t")
+    assert history.count() == 100
+    assert snapshot.exceptAll(history.filter("run = 'r2'")).isEmpty()
+    spark.sql("DROP TABLE snap_t")
+    spark.sql("DROP TABLE hist_t")
+
+
+def test_append_widens_and_fills(spark):
+    sinks.append_rows(spark.createDataFrame([(1, "a")], "id int, x string"), "log_t")
+    sinks.append_rows(spark.createDataFrame([(2.5, 2)], "y double, id int"), "log_t")
+    assert sorted(map(tuple, spark.table("log_t").collect())) == [(1, "a", None), (2, None, 2.5)]
+    spark.sql("DROP TABLE log_t")
+
+
+# --- extraction ---------------------------------------------------------------------
+
+RECORD = {"columnas_archivo_fuente": "a, b", "ruta_archivo_fuente": "s", "nombre_archivo_fuente": "t", "filtros_archivo_fuente": "WHERE a >= 1"}
+
+
+def read(spark, record):
+    return spark.createDataFrame([(0, 1, 2), (1, 2, 3)], "a int, b int, c int")
+
+
+def test_extract(spark):
+    assert [tuple(r) for r in extract.extract(spark, RECORD, read).collect()] == [(1, 2)]
+    assert extract.extract(spark, RECORD | {"columnas_archivo_fuente": "*", "filtros_archivo_fuente": None}, read).count() == 2
+
+
+@pytest.mark.parametrize("change", [
+    {"filtros_archivo_fuente": "WHERE 1=1; DROP TABLE x"}, {"filtros_archivo_fuente": "WHERE a = 1 -- x"},
+    {"filtros_archivo_fuente": "WHERE /* */ a = 1"}, {"columnas_archivo_fuente": "a; b"}, {"columnas_archivo_fuente": "a\x00"},
+    {"columnas_archivo_fuente": " "}, {"ruta_archivo_fuente": None}, {"nombre_archivo_fuente": ""},
+])
+def test_extract_rejects(spark, change):
+    with pytest.raises(c.ContractError):
+        extract.extract(spark, RECORD | change, read)
+
+
+def test_extract_pushes_columns_and_filter_down(spark, tmp_path):
+    from .plans import formatted
+
+    path = str(tmp_path / "source")
+    read(spark, None).write.parquet(path)
+    plan = formatted(extract.extract(spark, RECORD, lambda s, r: s.read.parquet(path)))
+    assert "GreaterThanOrEqual(a,1)" in plan and "ReadSchema: struct<a:int,b:int>" in plan
+
+
+def test_target_path():
+    record = {"ruta_archivo_destino": "/sap/x/", "nombre_archivo_destino": "f", "extension_archivo_destino": "parquet"}
+    assert extract.target_path("abfss://b@s/", record) == "abfss://b@s/sap/x/f.parquet"
+    assert extract.target_path("/r", record | {"ruta_archivo_destino": None, "extension_archivo_destino": ""}) == "/r/f"
+
+
+def loads(spark, *names):
+    frames = [legacy(spark, NombreArchivoFuente=name, NombreArchivoDestino=name, OrdenEjecucion=str(i), ColumnasArchivoFuente="*")
+              for i, name in enumerate(names)]
+    df = frames[0]
+    for frame in frames[1:]:
+        df = df.unionByName(frame)
+    return control.active_loads(control.normalise_control(df))
+
+
+def partly(spark, record):
+    if record["nombre_archivo_fuente"].startswith("bad"):
+        raise RuntimeError("unreachable")
+    return read(spark, record)
+
+
+def run_all(spark, tmp_path, *names, **options):
+    return extract.extract_all(
+        spark, loads(spark, *names), str(tmp_path), execution_id="run-1", process_name="p", source_system="SapHana",
+        read=partly, **options,
+    )
+
+
+def test_a_failing_object_does_not_stop_the_others(spark, tmp_path):
+    with pytest.raises(extract.ExtractionError, match="bad: unreachable") as caught:
+        run_all(spark, tmp_path, "one", "bad", "two")
+    expected = [("SCHEMA.one", 2, "success"), ("SCHEMA.bad", 0, "failed"), ("SCHEMA.two", 2, "success")]
+    assert [(r.source_object, r.rows_written, r.status) for r in caught.value.metrics.collect()] == expected
+    assert spark.table(c.TABLE_METRICS_VIEW).count() == 3
+    landed = spark.read.parquet(str(tmp_path / "sap/path/two.parquet"))
+    assert landed.columns[-5:] == ["ingestion_timestamp", "source_system", "process_name", "execution_id", "source_object"]
+
+
+def test_fail_fast(spark, tmp_path):
+    metrics = run_all(spark, tmp_path, "bad", "one", fail_fast=True, raise_errors=False)
+    assert metrics.count() == 1 and metrics.schema == c.TABLE_METRIC_SCHEMA
+
+
+# --- files --------------------------------------------------------------------------
+
+CONTENTS = {
+    "two rows.csv": b"a,b\n1,2\n3,4\n",
+    "sub/crlf.CSV": b"\xef\xbb\xbfa,b\r\n\r\n1,2\r\n \t \r\n3,4",
+    "only_header.csv": b"a,b\n",
+    "blank.csv": b"\n  \n\t\n",
+    "mark.csv": b"\xef\xbb\xbf",
+    "odd_ends.csv": "h 1\x0b2\x0c\x0c3\x1d".encode(),
+    "broken.csv": b"h\n\xff\xfe\n2\n",
+    "book.xlsx": b"PK\x03\x04 opaque",
+    "old.XLS": b"\xd0\xcf",
+    "notes.pdf": b"%PDF\n\n",
+    "empty.csv": b"",
+}
+
+
+def expected_rows(name, content):
+    if not name.lower().endswith(".csv"):
+        return None
+    lines = [line for line in content.decode("utf-8-sig", errors="replace").splitlines() if line.strip()]
+    return max(len(lines) - 1, 0)
+
+
+@pytest.fixture
+def folder(tmp_path):
+    root = tmp_path / "portal"
+    for name, content in CONTENTS.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+    return root
+
+
+def test_inventory(spark, folder):
+    found = {
+        r.archivo_origen.split("/portal/")[1]: (r.tipo, r.bytes_read, r.rows_read)
+        for r in files.inventory(spark, str(folder)).collect()
+    }
+    kinds = {"xlsx": "excel", "xls": "excel", "csv": "csv"}
+    assert found == {
+        name: (kinds.get(name.rsplit(".")[-1].lower(), "binary"), len(content), expected_rows(name, content))
+        for name, content in CONTENTS.items() if content
+    }
+
+
+def test_inventory_lists_expected_empty_files(spark, folder):
+    expected = spark.createDataFrame([(f"file:{folder}/empty.csv",), (f"file:{folder}/notes.pdf",)], "archivo_origen string")
+    found = files.inventory(spark, str(folder), expected)
+    assert found.count() == len(CONTENTS)
+    empty = found.filter(F.col("archivo_origen").endswith("empty.csv")).first()
+    assert (empty.tipo, empty.bytes_read, empty.rows_read) == ("csv", 0, 0)
+
+
+def test_inventory_without_csv(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"x")
+    assert [r.rows_read for r in files.inventory(spark, str(tmp_path)).collect()] == [None]
+
+
+def test_land_copies_the_bytes(spark, folder, tmp_path):
+    target = tmp_path / "bronze"
+    landed = files.land(spark, str(folder), str(target)).collect()
+    assert sum(r.bytes_read for r in landed) == sum(map(len, CONTENTS.values()))
+    for name, content in CONTENTS.items():
+        if content:
+            assert (target / name).read_bytes() == content
+    assert not [f for _, _, names in os.walk(target) for f in names if f.endswith(".partial")]
+    again = files.land(spark, f"file:{folder}", f"file:{target}").collect()
+    assert len(again) == len(landed)
