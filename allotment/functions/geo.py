@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from ..contracts import EARTH_RADIUS_KM
 
 
+SIGNED_NUMBER = r"^-?(\d+[.]?\d*|[.]\d+)$"
+
+
 def parse_coordinate(text: Column) -> Column:
     """Degrees from noisy text: keep digits, dot and minus; NULL if no number is left."""
-    return F.regexp_replace(F.trim(text), r"[^\d.\-]", "").try_cast("double")
+    kept = F.regexp_replace(F.trim(text), r"[^\d.\-]", "")
+    return F.when(kept.rlike(SIGNED_NUMBER), kept).try_cast("double")
 
 
 def great_circle_km(lat: Column, lon: Column, lat_to: Column, lon_to: Column) -> Column:

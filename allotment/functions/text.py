@@ -21,21 +21,27 @@ def strip(text: Column) -> Column:
 
 
 def fold_accents(text: Column) -> Column:
-    """Replace Spanish accented vowels and ñ by their plain letters."""
-    return F.translate(text, ACCENTED, UNACCENTED)
+    """Replace Spanish accented vowels and ñ by their plain letters.
+
+    Pure ASCII text, which has as many bytes as characters, is left alone:
+    looking up every one of its characters would change nothing.
+    """
+    only_ascii = F.octet_length(text) == F.char_length(text)
+    return F.when(only_ascii, text).otherwise(F.translate(text, ACCENTED, UNACCENTED))
 
 
-def null_token_to_null(text: Column, any_case: bool = False) -> Column:
+def null_token_to_null(text: Column, any_case: bool = False, trimmed: bool = False) -> Column:
     """Trimmed text, or NULL when it only spells "no value".
 
     By default blanks are trimmed and the tokens compared exactly; with
-    ``any_case`` all white space is trimmed and case is ignored.
+    ``any_case`` all white space is trimmed and case is ignored. ``trimmed``
+    says that the text has been trimmed already.
     """
+    if not trimmed:
+        text = strip(text) if any_case else F.trim(text)
     if any_case:
-        trimmed = strip(text)
-        return F.when(~F.lower(trimmed).isin(NULL_TOKENS_ANY_CASE), trimmed)
-    trimmed = F.trim(text)
-    return F.when(~trimmed.isin(NULL_TOKENS), trimmed)
+        return F.when(~F.lower(text).isin(NULL_TOKENS_ANY_CASE), text)
+    return F.when(~text.isin(NULL_TOKENS), text)
 
 
 def carries_secret(url: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..contracts import require_columns
 from ..functions.casts import to_contract_type
-from ..functions.text import fold_accents, null_token_to_null
+from ..functions.text import fold_accents, null_token_to_null, strip
 
 
 def _map_strings(df: DataFrame, change) -> DataFrame:
@@ -23,7 +23,8 @@ def _map_strings(df: DataFrame, change) -> DataFrame:
 
 def clean_null_tokens(df: DataFrame, any_case: bool = False) -> DataFrame:
     """Trim every string column and turn "no value" spellings into NULL."""
-    return _map_strings(df, lambda text: null_token_to_null(text, any_case))
+    trimmed = _map_strings(df, strip if any_case else F.trim)
+    return _map_strings(trimmed, lambda text: null_token_to_null(text, any_case, trimmed=True))
 
 
 def fold_accents_in_strings(df: DataFrame) -> DataFrame:
@@ -49,21 +50,19 @@ def conform(
 ) -> DataFrame:
     """Rename, project to the contract, fold accents, clean NULL tokens and cast.
 
-    One ``select``: no shuffle, and only the contract's columns are read.
+    No shuffle, and only the contract's columns are read. Folding, cleaning and
+    casting are separate projections because each names its input several
+    times: nested into one, every mention would be computed again.
     """
     if renames:
         df = rename_columns(df, renames, label)
     require_columns(df, casts, label)
-    types = {field.name: field.dataType for field in df.schema.fields}
-
-    def column(name: str, target: str) -> Column:
-        value = F.col(f"`{name}`")
-        if isinstance(types[name], T.StringType):
-            value = null_token_to_null(fold_accents(value), any_case)
-        return to_contract_type(value, types[name], target, time_anchor).alias(name)
-
-    return df.select(
-        *[column(name, target) for name, target in casts.items()],
+    cleaned = clean_null_tokens(fold_accents_in_strings(df.select(*casts)), any_case)
+    return cleaned.select(
+        *[
+            to_contract_type(F.col(name), cleaned.schema[name].dataType, target, time_anchor).alias(name)
+            for name, target in casts.items()
+        ],
         F.lit(execution_id).alias("execution_id"),
     )
 
