@@ -76,6 +76,32 @@ def customer_places(served: DataFrame, options: IndexOptions = IndexOptions()) -
     return located.groupBy("cod_cliente").agg(F.max("distancia").alias("distancia"), rows.alias("attribute_rows"))
 
 
+def single_listings(customers: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
+    """Chain, distance and previous priority per customer, from one aggregate.
+
+    Only meant for customers with a single dimension row (``listings`` = 1).
+    """
+    known = customers.filter(F.col("cod_cliente").isNotNull())
+    located = distance.distance_to_centre(known, distance.centres(customers.sparkSession, options.centres))
+    served = F.col("id_centro").isin(options.codes)
+    return located.groupBy("cod_cliente").agg(
+        F.count("*").alias("listings"),
+        F.max(F.when(served, F.col("cod_cadena"))).alias("cod_cadena"),
+        F.max(F.when(served, F.col("distancia"))).alias("distancia"),
+        F.max(priority_of(customers)).alias("priorizacion"),
+    )
+
+
+def simple_catalogue(
+    monthly: DataFrame, customers: DataFrame, options: IndexOptions = IndexOptions()
+) -> DataFrame:
+    """The catalogue when no customer of the window has more than one dimension row."""
+    listed = single_listings(customers, options)
+    joined = measures.accumulate_dates(monthly, "cod_cliente").join(listed, "cod_cliente", "left")
+    one = F.lit(1).cast("bigint")
+    return measures.homologate(joined).withColumns({"copies": one, "attribute_rows": one})
+
+
 def customer_catalogue(
     monthly: DataFrame, customers: DataFrame, options: IndexOptions = IndexOptions()
 ) -> DataFrame:
@@ -111,31 +137,26 @@ def scored(
     return ranking.weighted_score(ranking.min_max_normalise(df, bounds=bounds), weights, SCORED, name)
 
 
+def priority_of(customers: DataFrame) -> Column:
+    """The previous priority as a number, so that 10 comes after 2."""
+    return to_contract_type(F.col("lprio"), customers.schema["lprio"].dataType, "int")
+
+
 def previous_priorities(customers: DataFrame) -> DataFrame:
     """Distinct known previous priorities, taken before any centre filter."""
-    priority = to_contract_type(F.col("lprio"), customers.schema["lprio"].dataType, "int")
     return (
-        customers.select("cod_cliente", priority.alias("priorizacion"))
+        customers.select("cod_cliente", priority_of(customers).alias("priorizacion"))
         .filter(F.col("priorizacion").isNotNull())
         .distinct()
     )
 
 
-def with_priorities(
-    catalogue: DataFrame, inputs: Mapping[str, DataFrame], options: IndexOptions
-) -> DataFrame:
-    """Add ``priorizacion``: the previous priority, else (if asked for) the group's order."""
-    df = catalogue.join(previous_priorities(inputs["customers"]), "cod_cliente", "left")
-    if not options.use_group_order:
-        return df
-    c.require_roles(inputs, ["priority_groups"])
-    groups = c.require_columns(inputs["priority_groups"], ["cod_cliente", "orden_grupo"], "priority_groups")
+def fill_from_groups(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """Fill missing priorities with the order of the customer's priority group."""
+    c.require_columns(groups, ["cod_cliente", "orden_grupo"], "priority_groups")
     order = groups.groupBy("cod_cliente").agg(F.min(F.col("orden_grupo").try_cast("int")).alias("orden_grupo"))
-    return (
-        df.join(order, "cod_cliente", "left")
-        .withColumn("priorizacion", F.coalesce("priorizacion", "orden_grupo"))
-        .drop("orden_grupo")
-    )
+    filled = F.coalesce("priorizacion", "orden_grupo")
+    return df.join(order, "cod_cliente", "left").withColumn("priorizacion", filled).drop("orden_grupo")
 
 
 def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = IndexOptions()) -> DataFrame:
@@ -147,11 +168,18 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     check_inputs(inputs)
     # The write of either frame also yields the figures that shape the later steps.
     nearest, farthest = F.min("distancia"), F.max("distancia")
+    customers = inputs["customers"]
     monthly = materialise(window_months(inputs, options), "monthly")
     catalogue, per_customer = materialise_watching(
-        customer_catalogue(monthly, inputs["customers"], options), "catalogue",
-        {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
+        simple_catalogue(monthly, customers, options), "catalogue",
+        {"low": nearest, "high": farthest, "copies": F.max("attribute_rows"), "listings": F.max("listings")},
     )
+    single = (per_customer["listings"] or 0) <= 1
+    if not single:
+        catalogue, per_customer = materialise_watching(
+            customer_catalogue(monthly, customers, options), "catalogue",
+            {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
+        )
     chains, per_chain = materialise_watching(
         chain_measures(monthly, catalogue), "chains",
         {"low": nearest, "high": farthest, "members": F.sum("members"), "largest": F.max("members")},
@@ -160,12 +188,16 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     by_chain = scored(
         chains, options.chain_weights, "chain_score", {"distance": (per_chain["low"], per_chain["high"])}
     ).select(CHAIN_KEY, "chain_score", "margen_porcentual")
-    by_customer = scored(
+    rows = scored(
         catalogue, options.customer_weights, "customer_score", {"distance": (per_customer["low"], per_customer["high"])}
-    ).select("cod_cliente", CHAIN_KEY, "attribute_rows", "customer_score")
-
-    prioritised = with_priorities(by_customer, inputs, options)
-    rows = skew.repeat_rows(prioritised, "attribute_rows", per_customer["copies"], "copy")
+    )
+    if not single:
+        rows = rows.join(previous_priorities(customers), "cod_cliente", "left")
+    rows = rows.select("cod_cliente", CHAIN_KEY, "attribute_rows", "customer_score", "priorizacion")
+    if options.use_group_order:
+        c.require_roles(inputs, ["priority_groups"])
+        rows = fill_from_groups(rows, inputs["priority_groups"])
+    rows = skew.repeat_rows(rows, "attribute_rows", per_customer["copies"], "copy")
     hot = skew.hot_keys(chains, "members", per_chain["members"], per_chain["largest"], options.hot_minimum)
     assembled = skew.join_to_groups(rows, by_chain, [CHAIN_KEY], hot)
 

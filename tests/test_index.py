@@ -110,6 +110,33 @@ def test_random_frames_against_brute_force(spark, seed):
     same(run(spark, fact, customers, hot_minimum=5), brute.priority_index(fact, customers, CUTOFF))
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_single_listings_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    codes = [f"c{i}" for i in range(40)]
+    fact = [
+        sale(rng.choice(codes + [None]), rng.randint(1, 12), rng.randint(-50, 80), rng.randint(-60, 200), rng.choice([2023, 2024]))
+        for _ in range(300)
+    ]
+    customers = [
+        customer(code, rng.choice(["big", "big", "ch", "c3", "", None]), rng.choice(["3900", "3903", "4100", None]),
+                 rng.choice(["9.1", "8.25 N", "n/a", None]), rng.choice(["-79.5", "-80.25W", ""]), rng.choice([None, None, 1, 2]))
+        for code in codes[:35] + [None, None]
+    ]
+    assert index.single_listings(frames(spark, fact, customers)["customers"]).agg(F.max("listings")).first()[0] == 1
+    same(run(spark, fact, customers), brute.priority_index(fact, customers, CUTOFF))
+
+
+def test_both_catalogues_agree_on_single_listings(spark):
+    inputs = frames(spark, EDGE_FACT, [customer("A", "CH1"), customer("B", centre="4100"), customer("C", " ", lat="x")])
+    monthly = index.window_months(inputs)
+    general = index.customer_catalogue(monthly, inputs["customers"])
+    columns = [name for name in general.columns if name != "attribute_rows"]
+    simple = index.simple_catalogue(monthly, inputs["customers"]).select(*columns)
+    left, right = (sorted(map(str, df.select(*columns).collect())) for df in (general, simple))
+    assert left == right
+
+
 def test_ranks_are_one_to_n(spark):
     fact = [sale(f"c{i:03d}", 1 + i % 6, 1, 2) for i in range(300)]
     found = run(spark, fact, [customer(f"c{i:03d}") for i in range(300)])
