@@ -15,6 +15,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..contracts import FILE_METRIC_SCHEMA, FILE_METRICS_VIEW
+from ..functions.text import strip
+from ..runtime import materialise
+from .tables import publish_view
+
 COPY_BYTES = 8 << 20
 
 # Java regular expressions. Line ends that str.splitlines() honours and Spark's
@@ -37,18 +42,16 @@ def file_type(name: Column) -> Column:
     )
 
 
-def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+def csv_rows(spark: SparkSession, path: str | list[str], only: str | None = "*.[cC][sS][vV]") -> DataFrame:
     """Per CSV file ``(uri, rows_read)``: lines that hold text, less the header.
 
     Counted before the shuffle, so one very large file is counted by all the
     tasks that read a part of it.
     """
-    lines = (
-        spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
-        .option("recursiveFileLookup", "true")
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("uri"), F.col("value"))
-    )
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if only:
+        reader = reader.option("pathGlobFilter", only)
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("uri"), F.col("value"))
     pieces = F.split(F.regexp_replace("value", BYTE_ORDER_MARK, ""), OTHER_LINE_ENDS)
     filled = F.size(F.filter(pieces, lambda piece: piece.rlike(SOME_TEXT)))
     return (
@@ -96,34 +99,110 @@ def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None)
 
 
 def _uri(path: str) -> str:
-    """Hadoop writes ``file:/x`` where Arrow wants ``file:///x``."""
-    return "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
+    """A percent-encoded URI with an authority part, as Arrow and Spark's metadata have it."""
+    if path.startswith("/"):
+        path = f"file:{path}"
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = f"file://{path[len('file:'):]}"
+    return quote(path, safe=":/@")
 
 
-def land(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy files unchanged from ``source`` to ``target``; one row per file with its size.
+def _without_scheme(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
+
 
-    The tasks stream the bytes from storage to storage in pieces, so a file may
-    be larger than a task's memory. A file appears under its final name only
-    when it is complete, so a repeated task does no harm.
+def _copy(source: str, target: str) -> int:
+    """Stream one file from storage to storage; its size in bytes.
+
+    The file appears under its final name only when it is complete, so a
+    repeated task does no harm.
     """
-    root = source.rstrip("/")
+    from pyarrow import fs
 
-    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
+    origin, inside = fs.FileSystem.from_uri(_uri(source))
+    store, final = fs.FileSystem.from_uri(_uri(target))
+    partial = f"{final}.{uuid4().hex}.partial"
+    store.create_dir(final.rpartition("/")[0], recursive=True)
+    with origin.open_input_stream(inside) as read, store.open_output_stream(partial) as out:
+        shutil.copyfileobj(read, out, COPY_BYTES)
+        size = out.tell()
+    store.move(partial, final)
+    return size
+
+
+def copy_files(pairs: DataFrame) -> DataFrame:
+    """Copy ``archivo_origen`` to ``archivo_destino`` of every row, unchanged; one metric row each.
 
-        store, base = fs.FileSystem.from_uri(_uri(target.rstrip("/")))
+    The tasks stream the bytes in pieces, so a file may be larger than a task's
+    memory. A file that cannot be copied gets status ``failed`` and its error.
+    Evaluate the result once (``materialise`` it): every evaluation copies.
+    """
+    def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            names = [path.split(root + "/", 1)[-1] for path in batch["archivo_origen"]]
-            for path, name in zip(batch["archivo_origen"], names):
-                origin, inside = fs.FileSystem.from_uri(quote(_uri(path), safe=":/"))
-                final = f"{base}/{name}"
-                partial = f"{final}.{uuid4().hex}.partial"
-                store.create_dir(final.rpartition("/")[0], recursive=True)
-                with origin.open_input_stream(inside) as read, store.open_output_stream(partial) as out:
-                    shutil.copyfileobj(read, out, COPY_BYTES)
-                store.move(partial, final)
-            yield batch.assign(archivo_destino=[f"{target.rstrip('/')}/{name}" for name in names])
-
-    schema = "archivo_origen string, bytes_read bigint, archivo_destino string"
-    return listing(spark, source).drop("uri").mapInPandas(copy, schema)
+            sizes, states, errors = [], [], []
+            for source, target in zip(batch["archivo_origen"], batch["archivo_destino"]):
+                try:
+                    sizes.append(_copy(source, target))
+                    errors.append("")
+                except Exception as error:  # recorded per file
+                    sizes.append(0)
+                    errors.append(str(error) or type(error).__name__)
+                states.append("failed" if errors[-1] else "success")
+            yield batch.assign(bytes_read=sizes, status=states, error_message=errors)
+
+    schema = "archivo_origen string, archivo_destino string, bytes_read bigint, status string, error_message string"
+    return pairs.select("archivo_origen", "archivo_destino").mapInPandas(copy, schema)
+
+
+def land(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copy every non-empty file below ``source`` to the same place below ``target``."""
+    root = source.rstrip("/").removeprefix("file:")
+    start = F.instr("archivo_origen", f"{root}/") + len(root) + 1
+    name = F.col("archivo_origen").substr(start, F.length("archivo_origen"))
+    pairs = listing(spark, source).withColumn("archivo_destino", F.concat(F.lit(f"{target.rstrip('/')}/"), name))
+    return copy_files(pairs)
+
+
+def land_controlled(
+    spark: SparkSession, control: DataFrame, source_root: str, target_root: str
+) -> DataFrame:
+    """Land the files a normalised control frame lists; one metric row per file.
+
+    A row names the source file (path and name below ``source_root``) and the
+    target (path, name and extension below ``target_root``). Rows are counted
+    in CSV files only, after they have landed. Files that fail do not stop the
+    others; the caller decides whether to raise.
+    """
+    def blank_to_null(name: str) -> Column:
+        return F.when(strip(F.col(name)) != "", strip(F.col(name)))
+
+    def below(root: str, *parts: Column) -> Column:
+        clean = [F.regexp_replace(part, "^/+|/+$", "") for part in parts]
+        return F.concat_ws("/", F.lit(root.rstrip("/")), *[F.when(part != "", part) for part in clean])
+
+    extension = blank_to_null("extension_archivo_destino")
+    suffix = F.coalesce(F.when(extension.startswith("."), extension).otherwise(F.concat(F.lit("."), extension)), F.lit(""))
+    pairs = control.select(
+        below(source_root, F.col("ruta_archivo_fuente"), blank_to_null("nombre_archivo_fuente")).alias("archivo_origen"),
+        below(target_root, F.col("ruta_archivo_destino"), F.concat(blank_to_null("nombre_archivo_destino"), suffix))
+        .alias("archivo_destino"),
+        file_type(F.coalesce(extension, F.col("nombre_archivo_fuente"))).alias("tipo"),
+    )
+    # Spread the files: the control rows may all sit in one partition.
+    copied = materialise(copy_files(pairs.repartition("archivo_origen", "archivo_destino")), "landing")
+    landed = copied.join(pairs.distinct(), ["archivo_origen", "archivo_destino"])
+    csv = landed.filter("tipo = 'csv' AND status = 'success'").select("archivo_destino").distinct()
+    # The control table lists the files one by one, so their names can pass the driver.
+    paths = [row.archivo_destino for row in csv.toLocalIterator()]
+    if paths:
+        # Spark reports the percent-encoded URI of a file, the control table its plain path.
+        plain = F.try_url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+        counts = csv_rows(spark, paths, only=None).withColumn("_file", _without_scheme(plain)).drop("uri")
+        counted = csv.withColumn("_file", _without_scheme(F.col("archivo_destino"))).join(counts, "_file", "left")
+        rows = counted.select("archivo_destino", F.coalesce("rows_read", F.lit(0)).alias("rows_read"))
+        landed = landed.join(rows, "archivo_destino", "left")
+    else:
+        landed = landed.withColumn("rows_read", F.lit(None).cast("bigint"))
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    metrics = landed.withColumn("metric_timestamp_utc", now).select(*FILE_METRIC_SCHEMA.names)
+    return publish_view(metrics, FILE_METRICS_VIEW)

@@ -298,9 +298,43 @@ def test_land_copies_the_bytes(spark, folder, tmp_path):
     target = tmp_path / "bronze"
     landed = files.land(spark, str(folder), str(target)).collect()
     assert sum(r.bytes_read for r in landed) == sum(map(len, CONTENTS.values()))
+    assert {r.status for r in landed} == {"success"}
     for name, content in CONTENTS.items():
         if content:
             assert (target / name).read_bytes() == content
     assert not [f for _, _, names in os.walk(target) for f in names if f.endswith(".partial")]
     again = files.land(spark, f"file:{folder}", f"file:{target}").collect()
     assert len(again) == len(landed)
+
+
+def test_controlled_landing(spark, folder, tmp_path):
+    target = tmp_path / "bronze"
+    files_listed = [
+        ("two rows.csv", "a+b %41 rows", ".csv"), ("crlf.CSV", "crlf", "csv"), ("crlf.CSV", "crlf2", ".CSV"), ("empty.csv", "empty", ".csv"),
+        ("book.xlsx", "book", ".xlsx"), ("lost.csv", "lost", ".csv"), ("notes.pdf", "notes", ""),
+        ("only_header.csv", "plain", None),
+    ]
+    frames = [
+        legacy(spark, RutaArchivoFuente="/sub/" if source == "crlf.CSV" else "", NombreArchivoFuente=source, RutaArchivoDestino="/portal/x/",
+               NombreArchivoDestino=name, ExtencionArchivoDestino=extension)
+        for source, name, extension in files_listed
+    ]
+    listed = frames[0]
+    for frame in frames[1:]:
+        listed = listed.unionByName(frame)
+    metrics = files.land_controlled(spark, control.normalise_control(listed), str(folder), str(target))
+    assert metrics.schema.names == c.FILE_METRIC_SCHEMA.names
+    found = {r.archivo_destino.split("/portal/x/")[1]: (r.status, r.bytes_read, r.rows_read) for r in metrics.collect()}
+    size = lambda name: len(CONTENTS[name])
+    assert found == {
+        "a+b %41 rows.csv": ("success", size("two rows.csv"), 2),
+        "crlf.csv": ("success", size("sub/crlf.CSV"), None),  # the type goes by ".csv" with its dot
+        "crlf2.CSV": ("success", size("sub/crlf.CSV"), 2),
+        "empty.csv": ("success", 0, 0),
+        "book.xlsx": ("success", size("book.xlsx"), None),
+        "lost.csv": ("failed", 0, None),
+        "notes": ("success", size("notes.pdf"), None),
+        "plain": ("success", size("only_header.csv"), 0),
+    }
+    assert (target / "portal/x/book.xlsx").read_bytes() == CONTENTS["book.xlsx"]
+    assert spark.table(c.FILE_METRICS_VIEW).filter("status = 'failed'").first().error_message
