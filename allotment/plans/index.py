@@ -76,27 +76,30 @@ def customer_places(served: DataFrame, options: IndexOptions = IndexOptions()) -
     return located.groupBy("cod_cliente").agg(F.max("distancia").alias("distancia"), rows.alias("attribute_rows"))
 
 
-def single_listings(customers: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
-    """Chain, distance and previous priority per customer, from one aggregate.
+def listed_once(customers: DataFrame) -> bool:
+    """True when no customer code has more than one dimension row.
 
-    Only meant for customers with a single dimension row (``listings`` = 1).
+    One pass over the code column; repeated codes are counted before the shuffle.
     """
-    known = customers.filter(F.col("cod_cliente").isNotNull())
-    located = distance.distance_to_centre(known, distance.centres(customers.sparkSession, options.centres))
-    served = F.col("id_centro").isin(options.codes)
-    return located.groupBy("cod_cliente").agg(
-        F.count("*").alias("listings"),
-        F.max(F.when(served, F.col("cod_cadena"))).alias("cod_cadena"),
-        F.max(F.when(served, F.col("distancia"))).alias("distancia"),
-        F.max(priority_of(customers)).alias("priorizacion"),
-    )
+    counts = customers.filter(F.col("cod_cliente").isNotNull()).groupBy("cod_cliente").count()
+    return (counts.agg(F.max("count")).first()[0] or 0) <= 1
 
 
-def simple_catalogue(
+def single_catalogue(
     monthly: DataFrame, customers: DataFrame, options: IndexOptions = IndexOptions()
 ) -> DataFrame:
-    """The catalogue when no customer of the window has more than one dimension row."""
-    listed = single_listings(customers, options)
+    """The catalogue when every customer is listed once: one join, nothing to deduplicate.
+
+    It also carries the previous priority.
+    """
+    located = distance.distance_to_centre(customers, distance.centres(customers.sparkSession, options.centres))
+    served = F.col("id_centro").isin(options.codes)
+    listed = located.select(
+        "cod_cliente",
+        F.when(served, F.col("cod_cadena")).alias("cod_cadena"),
+        F.when(served, F.col("distancia")).alias("distancia"),
+        priority_of(customers).alias("priorizacion"),
+    )
     joined = measures.accumulate_dates(monthly, "cod_cliente").join(listed, "cod_cliente", "left")
     one = F.lit(1).cast("bigint")
     return measures.homologate(joined).withColumns({"copies": one, "attribute_rows": one})
@@ -170,16 +173,12 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     nearest, farthest = F.min("distancia"), F.max("distancia")
     customers = inputs["customers"]
     monthly = materialise(window_months(inputs, options), "monthly")
+    single = listed_once(customers)
+    build = single_catalogue if single else customer_catalogue
     catalogue, per_customer = materialise_watching(
-        simple_catalogue(monthly, customers, options), "catalogue",
-        {"low": nearest, "high": farthest, "copies": F.max("attribute_rows"), "listings": F.max("listings")},
+        build(monthly, customers, options), "catalogue",
+        {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
     )
-    single = (per_customer["listings"] or 0) <= 1
-    if not single:
-        catalogue, per_customer = materialise_watching(
-            customer_catalogue(monthly, customers, options), "catalogue",
-            {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
-        )
     chains, per_chain = materialise_watching(
         chain_measures(monthly, catalogue), "chains",
         {"low": nearest, "high": farthest, "members": F.sum("members"), "largest": F.max("members")},
