@@ -29,9 +29,20 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's part of the scratch folder."""
+    return f"{scratch_root(spark)}/allotment/{spark.conf.get('spark.app.id')}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path under the scratch folder."""
-    return f"{scratch_root(spark)}/allotment/{label}-{uuid4().hex}"
+    """A fresh, never reused path in the application's scratch folder."""
+    return f"{run_folder(spark)}/{label}-{uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application left in scratch; frames built on it stop working."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

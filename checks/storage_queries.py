@@ -7,6 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from allotment.operators.control import normalise_control
 from allotment.runtime import materialise, scratch_path
 from allotment.sources import files, sinks
 
@@ -125,3 +126,29 @@ def csv_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("tipo = 'csv'")
     )
     return found.join(copied, "pais").select("pais", "tipo", "rows_read", (F.col("found") == F.col("copied")).alias("mismo_tamano"))
+
+
+@query("""SELECT c_nationkey AS pais, CAST(count(*) AS BIGINT) AS rows_read, 0 AS fallidos FROM customer GROUP BY ALL
+UNION ALL SELECT -1, NULL, 1""")
+def file_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV files, landed one by one as a control frame lists them; one listed file is missing."""
+    source, target = scratch_path(spark, "portal"), scratch_path(spark, "landed")
+    customers = inputs.table(spark, sf_dir, "customer").withColumn("pais", F.col("c_nationkey"))
+    customers.write.partitionBy("pais").option("header", "true").csv(source)
+    parts = F.split(F.col("archivo_origen"), "/")
+    listed = files.listing(spark, source).filter(F.col("archivo_origen").endswith(".csv")).select(
+        F.element_at(parts, -2).alias("RutaArchivoFuente"),
+        F.element_at(parts, -1).alias("NombreArchivoFuente"),
+        F.element_at(parts, -2).alias("RutaArchivoDestino"),
+        F.regexp_replace(F.element_at(parts, -1), r"[.]csv$", "").alias("NombreArchivoDestino"),
+    )
+    missing = listed.limit(1).select(
+        F.lit("pais=-1").alias("RutaArchivoFuente"), F.lit("none.csv").alias("NombreArchivoFuente"),
+        F.lit("pais=-1").alias("RutaArchivoDestino"), F.lit("none").alias("NombreArchivoDestino"),
+    )
+    rows = listed.unionByName(missing).withColumn("ExtencionArchivoDestino", F.lit(".csv"))
+    metrics = files.land_controlled(spark, normalise_control(rows), source, target)
+    country = F.regexp_extract("archivo_origen", r"pais=(-?\d+)", 1).cast("int")
+    return metrics.groupBy(country.alias("pais")).agg(
+        F.sum("rows_read").alias("rows_read"), F.count_if(F.col("status") == "failed").cast("int").alias("fallidos")
+    )

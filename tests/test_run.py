@@ -126,3 +126,14 @@ def test_scratch_needs_shared_storage_on_a_cluster(monkeypatch):
         runtime.scratch_root(Session(spark_master="spark://host"))
     local = runtime.scratch_root(Session(spark_master="local[2]"))
     assert local == runtime.scratch_root(Session(spark_master="local[2]"))
+
+
+def test_scratch_can_be_dropped(spark, monkeypatch, tmp_path):
+    from allotment import runtime
+
+    monkeypatch.setattr(runtime, "scratch_root", lambda session: str(tmp_path))
+    kept = runtime.materialise(spark.range(3), "x")
+    assert kept.count() == 3 and list((tmp_path / "allotment").iterdir())
+    runtime.drop_scratch(spark)
+    assert not list((tmp_path / "allotment").iterdir())
+    runtime.drop_scratch(spark)

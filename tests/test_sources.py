@@ -174,6 +174,16 @@ def test_extract(spark):
     assert extract.extract(spark, RECORD | {"columnas_archivo_fuente": "*", "filtros_archivo_fuente": None}, read).count() == 2
 
 
+def test_database_reader_splits_by_object(monkeypatch):
+    seen = []
+    monkeypatch.setattr(extract, "read_jdbc", lambda spark, link, **source: seen.append(source))
+    split = jdbc.Split("id", 0, 10, 4)
+    read_object = extract.read_database(LINK, {"s.t": split})
+    read_object(None, RECORD)
+    read_object(None, RECORD | {"nombre_archivo_fuente": "u"})
+    assert seen == [{"table": "s.t", "split": split}, {"table": "s.u", "split": None}]
+
+
 @pytest.mark.parametrize("change", [
     {"filtros_archivo_fuente": "WHERE 1=1; DROP TABLE x"}, {"filtros_archivo_fuente": "WHERE a = 1 -- x"},
     {"filtros_archivo_fuente": "WHERE /* */ a = 1"}, {"columnas_archivo_fuente": "a; b"}, {"columnas_archivo_fuente": "a\x00"},
