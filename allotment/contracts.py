@@ -123,9 +123,9 @@ CONTROL_COLUMNS: dict[str, tuple[str, list[str]]] = {
 TRUE_WORDS = ["1", "true", "t", "yes", "y", "si", "s", "activo", "active"]
 SOURCE_SYSTEMS = ["SapHana", "sharepoint"]
 SOURCE_OWNERS = ["VistasSapHana", "DatosPortalDeInformacion"]
-CONTROL_VIEW = "vw_control_cargas_priorizacion_stock"
-TABLE_METRICS_VIEW = "vw_metrics_ext_saphana_priorizacion_stock"
-FILE_METRICS_VIEW = "vw_metrics_ext_sharepoint_priorizacion_stock"
+CONTROL_VIEW = "vw_control_cargas"
+TABLE_METRICS_VIEW = "vw_metrics_ext_saphana"
+FILE_METRICS_VIEW = "vw_metrics_ext_sharepoint"
 CONTROL_KEY = [
     "proceso_id", "sistema_fuente_id", "propietario_fuente_id", "ruta_archivo_fuente",
     "nombre_archivo_fuente", "ruta_archivo_destino", "nombre_archivo_destino",
