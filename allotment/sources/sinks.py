@@ -69,12 +69,23 @@ def _widen(spark: SparkSession, table: str, schema: T.StructType) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
 
 
-def append_rows(df: DataFrame, table: str, path: str | None = None, file_format: str = "parquet") -> int:
-    """Append to a log table by column name; new columns are added, absent ones are NULL."""
+def append_rows(
+    df: DataFrame,
+    table: str,
+    path: str | None = None,
+    file_format: str = "parquet",
+    partition_by: list[str] | None = None,
+) -> int:
+    """Append to a log table by column name; new columns are added, absent ones are NULL.
+
+    ``path`` and ``partition_by`` apply when the table is created; partition a
+    growing table by its run, so that reading one run skips the others.
+    """
     spark = df.sparkSession
     if not table_exists(spark, table):
         def create(rows: DataFrame) -> None:
             out = rows.write.format(file_format).mode("append")
+            out = out.partitionBy(*partition_by) if partition_by else out
             (out.option("path", path) if path else out).saveAsTable(table)
 
         return counted(df, create)
@@ -94,6 +105,7 @@ def write_gold(
     file_format: str = "parquet",
     snapshot_path: str | None = None,
     history_path: str | None = None,
+    history_partition_by: list[str] | None = None,
 ) -> int:
     """Replace the snapshot and append the very same rows to the history.
 
@@ -102,7 +114,7 @@ def write_gold(
     """
     spark = df.sparkSession
     rows = refresh_table(df, snapshot, snapshot_path, file_format)
-    append_rows(spark.table(snapshot), history, history_path, file_format)
+    append_rows(spark.table(snapshot), history, history_path, file_format, history_partition_by)
     return rows
 
 

@@ -9,6 +9,7 @@ from allotment import contracts as c
 from allotment.operators import control
 from allotment.sources import extract, files, jdbc, sinks, tables
 
+from .plans import formatted
 from .test_control import legacy
 
 LINK = jdbc.Connection("jdbc:db://host/base", "reader", "s3cret", "org.example.Driver")
@@ -160,6 +161,17 @@ def test_append_widens_and_fills(spark):
     spark.sql("DROP TABLE log_t")
 
 
+def test_history_partitioned_by_run(spark):
+    for run in ("r1", "r2"):
+        df = spark.range(5).select("id", F.lit(run).alias("run"), F.lit("N").alias("Estatus"))
+        sinks.write_gold(df if run == "r1" else df.withColumn("extra", F.lit(1)), "snap_p", "hist_p", history_partition_by=["run"])
+    history = spark.table("hist_p")
+    assert sorted(map(tuple, history.groupBy("run").agg(F.count("*"), F.count("extra")).collect())) == [("r1", 5, 0), ("r2", 5, 5)]
+    assert "PartitionFilters: [isnotnull(run" in formatted(history.filter("run = 'r2'"))
+    spark.sql("DROP TABLE snap_p")
+    spark.sql("DROP TABLE hist_p")
+
+
 # --- extraction ---------------------------------------------------------------------
 
 RECORD = {"columnas_archivo_fuente": "a, b", "ruta_archivo_fuente": "s", "nombre_archivo_fuente": "t", "filtros_archivo_fuente": "WHERE a >= 1"}
@@ -195,8 +207,6 @@ def test_extract_rejects(spark, change):
 
 
 def test_extract_pushes_columns_and_filter_down(spark, tmp_path):
-    from .plans import formatted
-
     path = str(tmp_path / "source")
     read(spark, None).write.parquet(path)
     plan = formatted(extract.extract(spark, RECORD, lambda s, r: s.read.parquet(path)))
