@@ -1,9 +1,10 @@
 """The customer priority index.
 
-The fact is scanned once: its window is summed to one row per customer and
-date, and that frame is written to scratch. Two more frames of one row per
-customer and one row per chain are written, and everything after them
-(normalisation, scores, assembly, rank) reads only those.
+The fact is scanned once. Its window is summed to one row per customer and date;
+those rows are shuffled by customer, get the customer's totals and listings
+attached there, and are written to scratch. Chains are one aggregate of that
+frame, customers are its rows marked ``primera``, so neither needs another join
+with the months.
 
 The final order is by previous priority, chain rank and customer rank. A rank
 is just the position in (score descending, code), so the final sort uses the
@@ -16,11 +17,13 @@ import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import contracts as c
 from ..functions.casts import to_contract_type
+from ..functions.margin import guarded_ratio
 from ..operators import distance, measures, ranking, skew
 from ..runtime import materialise, materialise_watching
 
@@ -85,52 +88,105 @@ def listed_once(customers: DataFrame) -> bool:
     return (counts.agg(F.max("count")).first()[0] or 0) <= 1
 
 
-def single_catalogue(
-    monthly: DataFrame, customers: DataFrame, options: IndexOptions = IndexOptions()
-) -> DataFrame:
-    """The catalogue when every customer is listed once: one join, nothing to deduplicate.
+def with_customer_measures(monthly: DataFrame) -> DataFrame:
+    """Add the customer's sums and ratios to each of its dates; ``primera`` marks the first.
+
+    A customer has at most one row per date and the window is some months long,
+    so no customer has more than a few hundred rows here.
+    """
+    by_date = Window.partitionBy("cod_cliente").orderBy("fecha")
+    every = by_date.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ratio = guarded_ratio(F.col("margen_bruto"), F.col("venta_neta"))
+    return monthly.withColumns({
+        "margen_bruto_sum": F.sum("margen_bruto").over(every),
+        "venta_neta_sum": F.sum("venta_neta").over(every),
+        "margen_porcentual_prom": F.avg(ratio).over(every),
+        "primera": F.row_number().over(by_date) == 1,
+    }).withColumn("margen_porcentual", guarded_ratio(F.col("margen_bruto_sum"), F.col("venta_neta_sum")))
 
-    It also carries the previous priority.
+
+def single_listings(customers: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
+    """Chain, distance and previous priority, when every customer is listed once.
+
+    Nothing has to be deduplicated, so this is a projection.
     """
     located = distance.distance_to_centre(customers, distance.centres(customers.sparkSession, options.centres))
     served = F.col("id_centro").isin(options.codes)
-    listed = located.select(
+    one = F.lit(1).cast("bigint")
+    return located.select(
         "cod_cliente",
         F.when(served, F.col("cod_cadena")).alias("cod_cadena"),
         F.when(served, F.col("distancia")).alias("distancia"),
+        one.alias("copies"),
+        one.alias("attribute_rows"),
         priority_of(customers).alias("priorizacion"),
     )
-    joined = measures.accumulate_dates(monthly, "cod_cliente").join(listed, "cod_cliente", "left")
-    one = F.lit(1).cast("bigint")
-    return measures.homologate(joined).withColumns({"copies": one, "attribute_rows": one})
 
 
-def customer_catalogue(
-    monthly: DataFrame, customers: DataFrame, options: IndexOptions = IndexOptions()
+def all_listings(customers: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
+    """One row per customer and chain it is listed under, whatever the dimension repeats."""
+    served = served_customers(customers, options)
+    links = measures.chain_links(served, options.on_duplicate)
+    return links.join(customer_places(served, options), "cod_cliente")
+
+
+def linked_months(
+    monthly: DataFrame, listings: DataFrame, hot_minimum: int = skew.HOT_MINIMUM
 ) -> DataFrame:
-    """Every customer of the window with measures, distance and one row per chain listing.
+    """Months with the customer's measures, under each of its listings.
 
     Customers of other centres stay in: they have no chain and no distance.
     """
-    served = served_customers(customers, options)
-    links = measures.chain_links(served, options.on_duplicate)
-    joined = (
-        measures.accumulate_dates(monthly, "cod_cliente")
-        .join(links, "cod_cliente", "left")
-        .join(customer_places(served, options), "cod_cliente", "left")
-    )
+    if isinstance(monthly.schema["fecha"].dataType, T.DateType):
+        joined = with_customer_measures(monthly).join(listings, "cod_cliente", "left")
+    else:
+        joined = _linked_moments(monthly, listings, hot_minimum)
     return measures.homologate(joined).withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
-def chain_measures(monthly: DataFrame, catalogue: DataFrame) -> DataFrame:
+def _linked_moments(monthly: DataFrame, listings: DataFrame, hot_minimum: int) -> DataFrame:
+    """The same where ``fecha`` is a time or a text, of which one customer may have any number.
+
+    The customers' rows are aggregated, not gathered in a window, and joined
+    back with the hot customers apart.
+    """
+    moments = materialise(monthly, "moments")
+    extent = moments.groupBy("cod_cliente").agg(F.count("*").alias("rows"), F.min("fecha").alias("first"))
+    totals = measures.accumulate_dates(moments, "cod_cliente").alias("t")
+    same = F.col("t.cod_cliente").eqNullSafe(F.col("e.cod_cliente"))
+    customers = totals.join(extent.alias("e"), same).select("t.*", "rows", "first")
+    customers, size = materialise_watching(
+        customers.join(listings, "cod_cliente", "left"), "customers",
+        {"rows": F.sum("rows"), "largest": F.max("rows")},
+    )
+    hot = skew.hot_keys(customers, "rows", size["rows"], size["largest"], hot_minimum)
+    joined = skew.join_to_groups(moments, customers, ["cod_cliente"], hot)
+    return joined.withColumn("primera", F.col("fecha") == F.col("first")).drop("rows", "first")
+
+
+def chain_measures(linked: DataFrame) -> DataFrame:
     """Measures, largest distance and number of listings per chain.
 
-    Chains whose margin sum is unknown are left out.
+    Sums count a month once per copy of its listing. Chains whose margin sum is
+    unknown are left out.
     """
-    linked = measures.link_months(monthly, catalogue.select("cod_cliente", "cod_cadena", "copies"))
-    sums = measures.accumulate(linked, CHAIN_KEY).filter(F.col("margen_bruto_sum").isNotNull())
-    spread = catalogue.groupBy(CHAIN_KEY).agg(F.max("distancia").alias("distancia"), F.count("*").alias("members"))
-    return sums.join(spread, CHAIN_KEY, "left")
+    copies = F.col("copies").cast("int")
+    by_date = linked.groupBy(CHAIN_KEY, "fecha").agg(
+        F.sum(F.col("margen_bruto") * copies).alias("margen_bruto"),
+        F.sum(F.col("venta_neta") * copies).alias("venta_neta"),
+        F.max("distancia").alias("distancia"),
+        F.count_if("primera").alias("members"),
+    )
+    ratio = guarded_ratio(F.col("margen_bruto"), F.col("venta_neta"))
+    sums = by_date.groupBy(CHAIN_KEY).agg(
+        F.sum("margen_bruto").alias("margen_bruto_sum"),
+        F.sum("venta_neta").alias("venta_neta_sum"),
+        F.avg(ratio).alias("margen_porcentual_prom"),
+        F.max("distancia").alias("distancia"),
+        F.sum("members").alias("members"),
+    )
+    overall = guarded_ratio(F.col("margen_bruto_sum"), F.col("venta_neta_sum"))
+    return sums.withColumn("margen_porcentual", overall).filter(F.col("margen_bruto_sum").isNotNull())
 
 
 def scored(
@@ -172,15 +228,14 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     # The write of either frame also yields the figures that shape the later steps.
     nearest, farthest = F.min("distancia"), F.max("distancia")
     customers = inputs["customers"]
-    monthly = materialise(window_months(inputs, options), "monthly")
     single = listed_once(customers)
-    build = single_catalogue if single else customer_catalogue
-    catalogue, per_customer = materialise_watching(
-        build(monthly, customers, options), "catalogue",
+    listings = single_listings(customers, options) if single else all_listings(customers, options)
+    linked, per_customer = materialise_watching(
+        linked_months(window_months(inputs, options), listings, options.hot_minimum), "linked",
         {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
     )
     chains, per_chain = materialise_watching(
-        chain_measures(monthly, catalogue), "chains",
+        chain_measures(linked), "chains",
         {"low": nearest, "high": farthest, "members": F.sum("members"), "largest": F.max("members")},
     )
 
@@ -188,7 +243,7 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
         chains, options.chain_weights, "chain_score", {"distance": (per_chain["low"], per_chain["high"])}
     ).select(CHAIN_KEY, "chain_score", "margen_porcentual")
     rows = scored(
-        catalogue, options.customer_weights, "customer_score", {"distance": (per_customer["low"], per_customer["high"])}
+        linked.filter("primera"), options.customer_weights, "customer_score", {"distance": (per_customer["low"], per_customer["high"])}
     )
     if not single:
         rows = rows.join(previous_priorities(customers), "cod_cliente", "left")

@@ -131,10 +131,9 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def levels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(customers with listings, chains), both written once."""
-    customers = inputs.customers(spark, sf_dir)
-    monthly = materialise(months(spark, sf_dir), "monthly")
-    catalogue = materialise(index.customer_catalogue(monthly, customers), "catalogue")
-    return catalogue, materialise(index.chain_measures(monthly, catalogue), "chains")
+    listings = index.all_listings(inputs.customers(spark, sf_dir))
+    linked = materialise(index.linked_months(months(spark, sf_dir), listings), "linked")
+    return linked.filter("primera"), materialise(index.chain_measures(linked), "chains")
 
 
 # --- window and sums ---------------------------------------------------------

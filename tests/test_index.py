@@ -13,6 +13,7 @@ from allotment.contracts import ContractError
 from allotment.plans import index
 
 from . import brute
+from .plans import physical
 
 FACT = T.StructType([
     T.StructField("cod_cliente", T.StringType()),
@@ -127,12 +128,12 @@ def test_single_listings_against_brute_force(spark, seed):
     same(run(spark, fact, customers), brute.priority_index(fact, customers, CUTOFF))
 
 
-def test_both_catalogues_agree_on_single_listings(spark):
+def test_both_ways_agree_on_single_listings(spark):
     inputs = frames(spark, EDGE_FACT, [customer("A", "CH1"), customer("B", centre="4100"), customer("C", " ", lat="x")])
-    monthly = index.window_months(inputs)
-    general = index.customer_catalogue(monthly, inputs["customers"])
+    monthly, customers = index.window_months(inputs), inputs["customers"]
+    general = index.linked_months(monthly, index.all_listings(customers))
+    simple = index.linked_months(monthly, index.single_listings(customers))
     columns = [name for name in general.columns if name != "attribute_rows"]
-    simple = index.single_catalogue(monthly, inputs["customers"]).select(*columns)
     left, right = (sorted(map(str, df.select(*columns).collect())) for df in (general, simple))
     assert left == right
 
@@ -144,6 +145,26 @@ def test_ranks_are_one_to_n(spark):
     assert [row[0] for row in found] == [f"c{i:03d}" for i in range(300)]  # all tied: by code
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "string"])
+def test_dates_of_other_types(spark, kind):
+    expected = brute.priority_index(EDGE_FACT, EDGE_CUSTOMERS, CUTOFF)
+    inputs = frames(spark, EDGE_FACT, EDGE_CUSTOMERS)
+    for role in ("profitability", "cost_to_serve"):
+        inputs[role] = inputs[role].withColumn("fecha", F.col("fecha").cast(kind))
+    for minimum in (1, 1000):
+        ranked = index.priority_index(inputs, index.IndexOptions(hot_minimum=minimum))
+        same([tuple(row) for row in ranked.orderBy("prioridad").collect()], expected)
+
+
+def test_moments_of_one_day_count_apart(spark):
+    inputs = frames(spark, [sale("A", 5, 1, 2), sale("A", 5, 1, 4)], [customer("A")])
+    moments = inputs["profitability"].withColumn("fecha", F.expr(
+        "cast(fecha as timestamp) + make_interval(0, 0, 0, 0, cast(valor_neto as int))"))
+    chains = index.chain_measures(index.linked_months(
+        index.window_months(inputs | {"profitability": moments}), index.all_listings(inputs["customers"])))
+    assert chains.first().margen_porcentual_prom == pytest.approx((1 / 2 + 1 / 4) / 2)
+
+
 def test_cutoff_can_be_given_and_need_not_start_a_month(spark):
     fact = [sale("A", 5, 1, 4), sale("B", 6, 1, 2)]
     assert [r[0] for r in run(spark, fact, [], cutoff="2024-05-31")] == ["A"]
@@ -211,3 +232,17 @@ def test_without_ansi_the_result_is_the_same(spark):
 def test_stamp(spark):
     row = index.stamp(spark.createDataFrame([("A", 1, 0.5)], "cod_cliente string, prioridad bigint, margen_porcentual double"), "run-9").first()
     assert (row.Estatus, row.execution_id) == ("N", "run-9") and row.create_timestamp is not None
+
+
+def test_months_are_shuffled_by_customer_once(spark):
+    inputs = frames(spark, EDGE_FACT, [customer("A", "CH1")])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        listings = index.single_listings(inputs["customers"])
+        linked = index.linked_months(index.window_months(inputs), listings)
+        plan = physical(linked)
+        # Sums per customer and date; those by customer; the dimension by customer.
+        assert plan.count("Exchange hashpartitioning") == 3
+        assert "SinglePartition" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
