@@ -6,12 +6,9 @@ are counted by the tasks that read the text.
 
 from __future__ import annotations
 
-import shutil
 from collections.abc import Iterator
-from urllib.parse import quote
-from uuid import uuid4
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +17,9 @@ from ..functions.text import strip
 from ..runtime import materialise
 from .tables import publish_view
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 COPY_BYTES = 8 << 20
 
 # Java regular expressions. Line ends that str.splitlines() honours and Spark's
@@ -98,51 +98,53 @@ def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None)
     )
 
 
-def _uri(path: str) -> str:
-    """A percent-encoded URI with an authority part, as Arrow and Spark's metadata have it."""
-    if path.startswith("/"):
-        path = f"file:{path}"
-    if path.startswith("file:/") and not path.startswith("file://"):
-        path = f"file://{path[len('file:'):]}"
-    return quote(path, safe=":/@")
-
-
 def _without_scheme(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "/")
 
 
-def _copy(source: str, target: str) -> int:
-    """Stream one file from storage to storage; its size in bytes.
-
-    The file appears under its final name only when it is complete, so a
-    repeated task does no harm.
-    """
-    from pyarrow import fs
-
-    origin, inside = fs.FileSystem.from_uri(_uri(source))
-    store, final = fs.FileSystem.from_uri(_uri(target))
-    partial = f"{final}.{uuid4().hex}.partial"
-    store.create_dir(final.rpartition("/")[0], recursive=True)
-    with origin.open_input_stream(inside) as read, store.open_output_stream(partial) as out:
-        shutil.copyfileobj(read, out, COPY_BYTES)
-        size = out.tell()
-    store.move(partial, final)
-    return size
-
-
 def copy_files(pairs: DataFrame) -> DataFrame:
     """Copy ``archivo_origen`` to ``archivo_destino`` of every row, unchanged; one metric row each.
 
     The tasks stream the bytes in pieces, so a file may be larger than a task's
-    memory. A file that cannot be copied gets status ``failed`` and its error.
-    Evaluate the result once (``materialise`` it): every evaluation copies.
+    memory. A file appears under its final name only when it is complete, so a
+    repeated task does no harm. A file that cannot be copied gets status
+    ``failed`` and its error. Evaluate the result once (``materialise`` it):
+    every evaluation copies.
     """
+    piece = COPY_BYTES
+
+    # Everything the tasks run is defined in here: they need Arrow, but not this package.
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import shutil
+        from urllib.parse import quote
+        from uuid import uuid4
+
+        from pyarrow import fs
+
+        def locate(path: str):
+            """File system and inner path; Hadoop's ``file:/x`` is Arrow's ``file:///x``."""
+            if path.startswith("/"):
+                path = f"file:{path}"
+            if path.startswith("file:/") and not path.startswith("file://"):
+                path = f"file://{path[len('file:'):]}"
+            return fs.FileSystem.from_uri(quote(path, safe=":/@"))
+
+        def copy_one(source: str, target: str) -> int:
+            origin, inside = locate(source)
+            store, final = locate(target)
+            partial = f"{final}.{uuid4().hex}.partial"
+            store.create_dir(final.rpartition("/")[0], recursive=True)
+            with origin.open_input_stream(inside) as read, store.open_output_stream(partial) as out:
+                shutil.copyfileobj(read, out, piece)
+                size = out.tell()
+            store.move(partial, final)
+            return size
+
         for batch in batches:
             sizes, states, errors = [], [], []
             for source, target in zip(batch["archivo_origen"], batch["archivo_destino"]):
                 try:
-                    sizes.append(_copy(source, target))
+                    sizes.append(copy_one(source, target))
                     errors.append("")
                 except Exception as error:  # recorded per file
                     sizes.append(0)
