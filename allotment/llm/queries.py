@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import encode_decode
 from .simhash import near_duplicates
 from .tables import read
 
@@ -16,5 +19,13 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_near_dedup,)}
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_near_dedup, op9_bpe_round_trip)}
 ORACLES: dict[str, str] = {}
