@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_decode
+from .mixing import mix
 from .simhash import near_duplicates
 from .tables import read
 
@@ -27,5 +28,9 @@ def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_near_dedup, op9_bpe_round_trip)}
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read(spark, sf_dir, "documents")).drop("copies", "row")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_near_dedup, op9_bpe_round_trip, op10_source_mixing)}
 ORACLES: dict[str, str] = {}
