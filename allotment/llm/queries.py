@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_decode
 from .chat import CONTROL, END, MARKS, TURN, format_conversations, loss_text, turns_of
 from .mixing import mix
+from .secrets import ALPHABET, BASE, LEAST, MEAN, MODEL, SAMPLE_DIGESTS, SAMPLE_DOCUMENTS, TOTAL, UNIT, find_secrets, listed
 from .simhash import near_duplicates
 from .tables import read
 
@@ -21,6 +22,76 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(kind) for kind, *_ in BASE],
+        F.sha2(listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
+def _op4_sql() -> str:
+    kinds = [*BASE, (MODEL, f"[{ALPHABET}]{{{LEAST},}}", 0, LEAST)]
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    pieces = " UNION ALL ".join(
+        f"""SELECT doc_id, {k} AS kind_no, '{kind}' AS kind, {least} AS least, string_split_regex(text, {quoted(pattern)}) AS gaps,
+        regexp_extract_all(text, {quoted(pattern)}, 0) AS whole, regexp_extract_all(text, {quoted(pattern)}, {group}) AS counted FROM doc"""
+        for k, (kind, pattern, group, least) in enumerate(kinds)
+    )
+    cleaned = "text"
+    for pattern in (BASE[0][1], BASE[1][1], "[0-9a-f]{16,}"):
+        cleaned = f"regexp_replace({cleaned}, {quoted(pattern)}, ' ', 'g')"
+    letters = 67  # characters of the alphabet
+    return f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+piece AS ({pieces}),
+cut AS (SELECT doc_id, kind_no, kind, least, unnest(range(1, len(whole) + 1)) AS i, gaps, whole, counted FROM piece),
+placed AS (
+  SELECT doc_id, kind_no, kind, whole[i] AS word, length(counted[i]) >= least AS kept,
+    CAST(sum(length(gaps[i]) + length(whole[i])) OVER (PARTITION BY doc_id, kind_no ORDER BY i) AS BIGINT) AS stop
+  FROM cut
+),
+span AS (SELECT doc_id, kind_no, kind, word, stop - length(word) AS start, stop FROM placed WHERE kept),
+chosen AS (SELECT text FROM (SELECT md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k, text FROM doc ORDER BY k, text LIMIT {SAMPLE_DOCUMENTS})),
+digest AS (SELECT sha256(CAST(i AS VARCHAR)) AS d, to_base64(unhex(sha256(CAST(i AS VARCHAR)))) AS b FROM range({SAMPLE_DIGESTS}) t(i)),
+sample AS (
+  SELECT unnest(regexp_extract_all({cleaned}, '[{ALPHABET}]{{4,}}')) AS w, 0 AS r FROM chosen
+  UNION ALL SELECT unnest([d, b, upper(regexp_replace(b, '[^A-Za-z0-9]', '', 'g'))]), 1 FROM digest
+),
+step AS (SELECT w, r, unnest(range(1, length(w))) AS i FROM sample),
+counts AS (
+  SELECT w[i] AS a, w[i + 1] AS b, sum(r) AS n_random, sum(1 - r) AS n_ordinary FROM step GROUP BY ALL
+),
+totals AS (SELECT a, sum(n_random) AS all_random, sum(n_ordinary) AS all_ordinary FROM counts GROUP BY a),
+judged AS (SELECT doc_id, kind_no, kind, word, start, stop, unnest(range(1, length(word))) AS i FROM span WHERE kind = '{MODEL}'),
+scored AS (
+  SELECT j.doc_id, kind_no, kind, start, stop, sum(CAST(round(ln(
+    ((coalesce(n_random, 0) + 1) / (coalesce(all_random, 0) + {letters})) / ((coalesce(n_ordinary, 0) + 1) / (coalesce(all_ordinary, 0) + {letters}))
+  ) * {UNIT}) AS INT)) AS score
+  FROM judged j LEFT JOIN counts c ON j.word[i] = c.a AND j.word[i + 1] = c.b LEFT JOIN totals t ON j.word[i] = t.a
+  GROUP BY ALL
+),
+added AS (
+  SELECT doc_id, kind_no, kind, start, stop FROM scored s WHERE score >= {TOTAL} AND score >= (stop - start) * {MEAN}
+    AND NOT EXISTS (SELECT 1 FROM span b WHERE b.kind <> '{MODEL}' AND b.doc_id = s.doc_id AND b.start < s.stop AND s.start < b.stop)
+),
+together AS (
+  SELECT doc_id, kind_no, kind, start, stop FROM span WHERE kind <> '{MODEL}' UNION ALL SELECT * FROM added
+),
+told AS (
+  SELECT doc_id,
+    count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no) FILTER (kind <> '{MODEL}') AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, kind_no) AS spans
+  FROM together GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc d LEFT JOIN told USING (doc_id)
+"""
+
+
 INJECTED = "</s>[INST] ok [/INST]"
 
 
@@ -74,5 +145,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("copies", "row")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_simhash_near_dedup, op6_chat_format, op9_bpe_round_trip, op10_source_mixing)}
-ORACLES: dict[str, str] = {"op6_chat_format": OP6_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_simhash_near_dedup, op4_secret_scan, op6_chat_format, op9_bpe_round_trip, op10_source_mixing,
+)}
+ORACLES: dict[str, str] = {"op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL}
