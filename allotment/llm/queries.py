@@ -14,6 +14,7 @@ from .mixing import mix
 from .secrets import ALPHABET, BASE, LEAST, MEAN, MODEL, SAMPLE_DIGESTS, SAMPLE_DOCUMENTS, TOTAL, UNIT, find_secrets, listed
 from .simhash import near_duplicates
 from .tables import read
+from .topk import exact_top_k, quantised
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,24 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(quantised(read(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0)
+
+
+OP2_SQL = """
+WITH given AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, r.v)]) AS BIGINT) AS score
+  FROM given q JOIN given r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -146,6 +165,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op4_secret_scan, op6_chat_format, op9_bpe_round_trip, op10_source_mixing,
+    op1_simhash_near_dedup, op2_exact_top_k, op4_secret_scan, op6_chat_format, op9_bpe_round_trip, op10_source_mixing,
 )}
-ORACLES: dict[str, str] = {"op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL}
+ORACLES: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL}
