@@ -12,6 +12,7 @@ from .bpe import encode_decode
 from .caps import near_vectors
 from .chat import CONTROL, END, MARKS, TURN, format_conversations, loss_text, turns_of
 from .mixing import mix
+from .quality import judged
 from .secrets import ALPHABET, BASE, LEAST, MEAN, MODEL, SAMPLE_DIGESTS, SAMPLE_DOCUMENTS, TOTAL, UNIT, find_secrets, listed
 from .simhash import near_duplicates
 from .tables import read
@@ -157,6 +158,11 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return judged(docs, labels, "_verdict").select("doc_id", "_verdict.evidence", "_verdict.prior", "_verdict.p_good", "_verdict.kept")
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_decode(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select(
@@ -171,6 +177,6 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_exact_top_k, op4_secret_scan, op6_chat_format, op7_embedding_near_dedup,
-    op9_bpe_round_trip, op10_source_mixing,
+    op8_quality_classifier, op9_bpe_round_trip, op10_source_mixing,
 )}
 ORACLES: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL}
