@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_decode
 from .caps import near_vectors
 from .chat import CONTROL, END, MARKS, TURN, format_conversations, loss_text, turns_of
+from .html import extract
 from .mixing import mix
 from .quality import judged
 from .secrets import ALPHABET, BASE, LEAST, MEAN, MODEL, SAMPLE_DIGESTS, SAMPLE_DOCUMENTS, TOTAL, UNIT, find_secrets, listed
@@ -43,6 +44,10 @@ FROM scored QUALIFY rank <= 20
 """
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -176,7 +181,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_exact_top_k, op4_secret_scan, op6_chat_format, op7_embedding_near_dedup,
+    op1_simhash_near_dedup, op2_exact_top_k, op3_html_extraction, op4_secret_scan, op6_chat_format, op7_embedding_near_dedup,
     op8_quality_classifier, op9_bpe_round_trip, op10_source_mixing,
 )}
 ORACLES: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL}
