@@ -15,6 +15,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 LEAF, FAN = 2048, 1024
 
 
+def words_in(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def source_targets(
     sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: int = 3
 ) -> DataFrame:
@@ -114,7 +118,7 @@ def mix(
     same_id = Window.partitionBy("doc_id").orderBy("source", "size", "mark")
     sized = docs.select(
         F.col(id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        words_in(F.col(text)).alias("size"),
         F.xxhash64(text).alias("mark"),
     )
     sized = scratch.write(sized.withColumn("row", F.row_number().over(same_id)).drop("mark"), "sized")
@@ -156,12 +160,14 @@ def mix(
 
 def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` themselves, each as often as ``mix`` takes it, with all their columns."""
-    same_id = Window.partitionBy(F.col(id).cast("long")).orderBy(
-        F.col(source).cast("string"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)), F.xxhash64(text)
-    )
+    same_id = Window.partitionBy("id").orderBy("source", "size", "mark")
     taken = mix(docs, id, text, source, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("copies").alias("_copies")
+        F.col("doc_id").alias("_id"), F.col("row").alias("_number"), "copies"
     )
-    numbered = docs.withColumn("_number", F.row_number().over(same_id))
-    joined = numbered.join(taken, F.col(id).cast("long").eqNullSafe(F.col("_id")) & (F.col("_number") == F.col("_row")))
-    return joined.withColumn("_one", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    numbered = docs.select(
+        F.struct("*").alias("row"), F.col(id).cast("long").alias("id"), F.col(source).cast("string").alias("source"),
+        words_in(F.col(text)).alias("size"), F.xxhash64(text).alias("mark"),
+    ).withColumn("number", F.row_number().over(same_id))
+    joined = numbered.join(taken, F.col("id").eqNullSafe(F.col("_id")) & (F.col("number") == F.col("_number")))
+    copies = joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return copies.select(*[F.col("row")[c].alias(c) for c in docs.columns])

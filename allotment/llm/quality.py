@@ -132,14 +132,13 @@ def judged(
         F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("mass").alias("_mass"), F.col("n").alias("_n"),
         F.col("host_rate").alias("_rate"), k_path.alias("_k"),
     )
-    rows = docs.withColumn("_bins", binned(F.col(text).cast("string")))
-    rows = rows.join(rates, F.col(host).cast("string").eqNullSafe(F.col("_host")) & F.col(path).cast("string").eqNullSafe(F.col("_path")))
-    others = F.greatest(F.col("_mass") - expected(F.col("_bins")), F.lit(0.0))
-    prior = F.least(others, F.col("_n") - 1) + F.col("_k") * F.col("_rate")
-    prior = F.greatest(F.least(prior / (F.col("_n") - 1 + F.col("_k")), F.lit(1 - 1e-9)), F.lit(1e-9))
-    p_good = 1 / (1 + F.exp(-(F.col("_evidence") + _logit(F.col("_prior")))))
-    rows = rows.withColumns({"_evidence": evidence(F.col("_bins")), "_prior": prior}).withColumn("_p", p_good)
-    told = F.struct(
-        F.col("_evidence").alias("evidence"), F.col("_prior").alias("prior"), F.col("_p").alias("p_good"), (F.col("_p") >= threshold).alias("kept")
-    )
-    return rows.select(*[c for c in docs.columns if c != verdict], told.alias(verdict))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
+        binned(F.col(text).cast("string")).alias("bins"),
+    ).join(rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")))
+    others = F.least(F.greatest(F.col("_mass") - expected(F.col("bins")), F.lit(0.0)), F.col("_n") - 1)
+    prior = (others + F.col("_k") * F.col("_rate")) / (F.col("_n") - 1 + F.col("_k"))
+    rows = rows.withColumns({"evidence": evidence(F.col("bins")), "prior": F.greatest(F.least(prior, F.lit(1 - 1e-9)), F.lit(1e-9))})
+    rows = rows.withColumn("p", 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("prior"))))))
+    told = F.struct("evidence", "prior", F.col("p").alias("p_good"), (F.col("p") >= threshold).alias("kept"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != verdict], told.alias(verdict))

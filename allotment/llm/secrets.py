@@ -133,9 +133,9 @@ def find_secrets(
     least: int = LEAST,
     total: int = TOTAL,
     mean: int = MEAN,
-    carry: tuple[str, ...] = (),
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``text``, ``base``, ``spans`` and the columns of ``carry``.
+    """One row per row of ``docs``: ``doc_id``, ``text``, ``base``, ``spans``; with ``carry`` the whole row as ``row``.
 
     ``base`` has the spans of the fixed patterns; ``spans`` adds those of kind
     ``markov``: strings of ``least`` and more characters that overlap no base span
@@ -149,7 +149,7 @@ def find_secrets(
         samples = labelled_samples(docs, id, text)
     ratios = F.lit(np.array(ratio_table(samples).first()[0], dtype=np.int32))
     slim = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-                       *[F.col(c).alias(f"_carried_{c}") for c in carry])
+                       *([F.struct("*").alias("row")] if carry else []))
     word = f"[{ALPHABET}]{{{least},}}"
     slim = slim.withColumn("base", base_spans(F.col("text")))
     runs = _matches(F.col("text"), word, 0, least, len(BASE), MODEL)
@@ -160,7 +160,7 @@ def find_secrets(
     chosen = F.filter(judged, lambda x: (x["score"] >= total) & (x["score"] >= length(x) * mean) & free(x["span"]))
     return slim.withColumn("added", F.transform(chosen, lambda x: x["span"])).select(
         "doc_id", "text", "base", F.array_sort(F.concat("base", "added")).alias("spans"),
-        *[F.col(f"_carried_{c}").alias(c) for c in carry],
+        *(["row"] if carry else []),
     )
 
 
