@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .tables import Scratch
 
 #: Rows and queries of a block, queries that a task scores at once, and slices of the dimensions.
-ROW_BLOCK, QUERY_BLOCK, AT_ONCE, SLICES = 16384, 1024, 128, 4
+ROW_BLOCK, QUERY_BLOCK, AT_ONCE, SLICES = 16384, 1024, 128, 2
 
 
 def usable(vector: Column) -> Column:
@@ -54,14 +54,14 @@ def _row_blocks(rows: DataFrame, block: Column, dim: int) -> DataFrame:
 
 
 def _query_blocks(queries: DataFrame, dim: int, cut: bool = False) -> DataFrame:
-    """One row per block of queries, the same way; with ``cut``, each query's cutoff and lowest slice scores."""
+    """One row per block of queries, the same way; with ``cut``, each query's cutoff."""
 
     def pack(table: pa.Table) -> pa.Table:
         columns = {
             "block": pa.array([table["block"][0].as_py()], pa.int64()), "key": _bytes(table["key"].to_numpy()),
             "ids": _bytes(table["vec_id"].to_numpy()), "matrix": _bytes(_matrix(table["v"], dim)),
         }
-        return pa.table(columns | ({"cut": _bytes(np.array(table["cut"].to_pylist()), "<f8")} if cut else {}))
+        return pa.table(columns | ({"cut": _bytes(table["cut"].to_numpy())} if cut else {}))
 
     return queries.groupBy("block").applyInArrow(pack, "block long, key binary, ids binary, matrix binary" + ", cut binary" * cut)
 
@@ -72,6 +72,20 @@ def _number(kind: np.ndarray, other: np.ndarray) -> type:
     return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
 
 
+def _highest(part: np.ndarray, k: int, group: int = 32) -> np.ndarray:
+    """Places of the ``k`` highest numbers of each line, or all: first the groups with the highest maxima, then inside."""
+    lines, width = part.shape
+    if width <= k * group:
+        return np.argpartition(-part, k - 1, axis=1)[:, :k] if width > k else np.tile(np.arange(width), (lines, 1))
+    whole = width // group * group
+    groups = part[:, :whole].reshape(lines, -1, group)
+    top = np.argpartition(-groups.max(axis=2), k - 1, axis=1)[:, :k]
+    places = (top[:, :, None] * group + np.arange(group)).reshape(lines, -1)
+    places = np.concatenate([places, np.tile(np.arange(whole, width), (lines, 1))], axis=1)
+    inside = np.argpartition(-np.take_along_axis(part, places, axis=1), k - 1, axis=1)[:, :k]
+    return np.take_along_axis(places, inside, axis=1)
+
+
 def exact_top_k(
     rows: DataFrame, is_query: Column, k: int = 20, *, slices: int = SLICES, row_block: int = ROW_BLOCK, query_block: int = QUERY_BLOCK
 ) -> DataFrame:
@@ -83,14 +97,12 @@ def exact_top_k(
     filled up with zeros, repeated rows count once, NULL ids take no part; sums must
     fit a long. A score is the sum of the scores of a few slices of the dimensions:
 
-    1. every block of rows gives, for each query and slice, its ``k`` highest slice
-       scores and its lowest one. From the ``k`` highest of all blocks each query gets
-       a lower bound of its k-th score, taking the lowest slice score where a list
-       does not have the row;
-    2. the bound's even share per slice, above the lowest slice score, is sent along
-       with the query blocks; a row that reaches the bound reaches the share in a slice
-       at least, so only such rows are collected;
-    3. for these the remaining slices are added, rows below the bound fall out, and a
+    1. every block of rows lists, for each query and slice, its ``k`` highest slice scores;
+       the rows on these lists are added up over all slices, which their block holds, and
+       the k-th best of all blocks is a lower bound of the query's k-th score;
+    2. this cutoff is sent along with the query blocks. A row that reaches it reaches its
+       even share in one slice at least, so only rows that do so are collected;
+    3. for these the remaining slices are added, rows below the cutoff fall out, and a
        block returns its ``k`` best at most.
 
     Queries and rows meet in blocks of fixed size, so memory does not grow. Equal
@@ -125,66 +137,65 @@ def exact_top_k(
         return spread.join(packed, "block").repartition(F.col("block"), F.col("q_block"))
 
     def scored(row: dict) -> Iterator[tuple]:
-        """A few queries at a time: their keys and ids, the rows' keys and ids, the scores by slice."""
-        q_keys, q_ids, q = unpacked(row, "q_")
+        """A few queries at a time: which, the rows' keys and ids, and the scores by slice; own rows get the lowest."""
+        _, q_ids, q = unpacked(row, "q_")
         keys, ids, x = unpacked(row)
         kind = _number(q, x)
         x = x.astype(kind)
+        first, last = np.searchsorted(ids, q_ids, "left"), np.searchsorted(ids, q_ids, "right")
         for start in range(0, len(q_ids), AT_ONCE):
             some = slice(start, start + AT_ONCE)
             part = q[some].astype(kind)
-            own = q_ids[some, None] == ids[None, :]
-            yield some, q_keys[some], q_ids[some], keys, ids, own, [part[:, a:b] @ x[:, a:b].T for a, b in cuts]
+            parts = [part[:, a:b] @ x[:, a:b].T for a, b in cuts]
+            own = [(line, at) for line, (a, b) in enumerate(zip(first[some], last[some])) for at in range(a, b)]
+            yield some, keys, ids, parts, tuple(np.array(own, dtype=np.int64).reshape(-1, 2).T)
+
+    def best(line: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Places of the ``k`` best entries of each line; ties to the smaller id."""
+        order = np.lexsort((ids, -score, line))
+        line = line[order]
+        return order[np.arange(len(line)) - np.searchsorted(line, line) < k]
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for _, q_keys, _, keys, _, own, parts in scored(row):
-                    for number, part in enumerate(parts):
-                        low = part.min(axis=1)
-                        part = np.where(own, part.min() - 1, part)
-                        top = np.argpartition(-part, min(k, part.shape[1]) - 1, axis=1)[:, :k] if part.shape[1] > k else \
-                            np.tile(np.arange(part.shape[1]), (len(part), 1))
-                        there = ~np.take_along_axis(own, top, axis=1)
-                        at = np.nonzero(there)
-                        yield pa.RecordBatch.from_pydict({
-                            "q": np.r_[q_keys[at[0]], q_keys], "slice": np.full(len(at[0]) + len(q_keys), number, dtype=np.int32),
-                            "r": pa.array(np.r_[keys[top[at]], np.zeros_like(q_keys)], mask=np.r_[np.zeros(len(at[0]), bool), np.ones(len(q_keys), bool)]),
-                            "part": np.r_[np.take_along_axis(part, top, axis=1)[at], low].astype(np.int64),
-                        })
+                q_keys = np.frombuffer(row["q_key"], dtype="<i8")
+                for some, keys, ids, parts, own in scored(row):
+                    listed = np.concatenate([_highest(part, k + 1 + len(own[0])) for part in parts], axis=1)
+                    listed.sort(axis=1)
+                    new = np.c_[np.ones(len(listed), bool), listed[:, 1:] != listed[:, :-1]]
+                    line, at = np.nonzero(new)[0], listed[new]
+                    other = ~np.isin(line * len(ids) + at, own[0] * len(ids) + own[1])
+                    line, at = line[other], at[other]
+                    score = sum(part[line, at].astype(np.int64) for part in parts)
+                    kept = best(line, score, ids[at])
+                    yield pa.RecordBatch.from_pydict({"q": q_keys[some][line[kept]], "score": score[kept], "r": keys[at[kept]]})
 
     plain = scratch.write(_query_blocks(queries, dim), "query_blocks")
-    lists = scratch.write(met(plain).mapInArrow(gather, "q long, slice int, r long, part long"), "lists")
-    lowest = lists.where("r is null").groupBy("q", "slice").agg(F.min("part").alias("low"))
-    best = Window.partitionBy("q", "slice").orderBy(F.desc("part"), "r")
-    leading = lists.where("r is not null").withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
-    known = leading.join(lowest, ["q", "slice"]).groupBy("q", "r").agg(F.sum(F.col("part") - F.col("low")).alias("above"))
-    kth = known.groupBy("q").agg(F.get(F.sort_array(F.collect_list("above"), asc=False), F.lit(k - 1)).alias("above"))
-    lows = lowest.groupBy("q").agg(F.transform(F.array_sort(F.collect_list(F.struct("slice", "low"))), lambda x: x["low"].cast("double")).alias("lows"))
-    cutoffs = lows.join(kth, "q", "left").select(
-        F.col("q").alias("key"), F.concat(F.array(F.coalesce(F.col("above").cast("double"), F.lit(0.0))), "lows").alias("cut")
-    )
-    armed = scratch.write(_query_blocks(queries.join(cutoffs, "key"), dim, cut=True), "armed")
+    lists = met(plain).mapInArrow(gather, "q long, score long, r long")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "r"))
+    cutoffs = lists.withColumn("place", place).where(F.col("place") == k).select(F.col("q").alias("key"), F.col("score").alias("cut"))
+    lowest = F.lit(-(1 << 62)).cast("long")
+    cut = queries.join(cutoffs, "key", "left").withColumn("cut", F.coalesce("cut", lowest))
+    armed = scratch.write(_query_blocks(cut, dim, cut=True), "armed")
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                cut = np.frombuffer(row["q_cut"], dtype="<f8").reshape(-1, 1 + slices)
-                for some, q_keys, q_ids, keys, ids, own, parts in scored(row):
-                    above, low = cut[some, :1], cut[some, 1:]
-                    reached = np.zeros(own.shape, dtype=bool)
-                    for number, part in enumerate(parts):
-                        reached |= part >= low[:, number : number + 1] + above / slices
-                    at = np.nonzero(reached & ~own)
-                    score = sum(part[at].astype(np.int64) for part in parts)
-                    enough = score >= (above + low.sum(axis=1, keepdims=True))[at[0], 0]
-                    at, score = (at[0][enough], at[1][enough]), score[enough]
-                    order = np.lexsort((ids[at[1]], -score, at[0]))
-                    line = at[0][order]
-                    place = np.arange(len(line)) - np.searchsorted(line, line)
-                    kept = order[place < k]
+                q_ids, cut = (np.frombuffer(row[n], dtype="<i8") for n in ("q_ids", "q_cut"))
+                for some, keys, ids, parts, own in scored(row):
+                    share = -(-cut[some, None] // slices)
+                    reached = parts[0] >= share.astype(parts[0].dtype)
+                    for part in parts[1:]:
+                        reached |= part >= share.astype(part.dtype)
+                    reached[own] = False
+                    line, at = np.nonzero(reached)
+                    score = sum(part[line, at].astype(np.int64) for part in parts)
+                    enough = score >= cut[some][line]
+                    line, at, score = line[enough], at[enough], score[enough]
+                    kept = best(line, score, ids[at])
                     yield pa.RecordBatch.from_pydict({
-                        "query_id": q_ids[at[0][kept]], "vec_id": ids[at[1][kept]], "score": score[kept], "r": keys[at[1][kept]]
+                        "query_id": q_ids[some][line[kept]], "vec_id": ids[at[kept]], "score": score[kept], "r": keys[at[kept]]
                     })
 
     found = met(armed).mapInArrow(resolve, "query_id long, vec_id long, score long, r long")
