@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,16 +35,32 @@ def in_window(df: DataFrame, cutoff: dt.date | None, months: int, date: str = "f
     return df.filter(F.col(date).try_cast("date").between(F.add_months(end, 1 - months), end))
 
 
-def as_money(df: DataFrame, column: str) -> Column:
-    """The column as an exact decimal, so that sums do not depend on their order."""
-    if isinstance(df.schema[column].dataType, T.DecimalType):
+def as_amount(df: DataFrame, column: str) -> Column:
+    """The column in its own numeric type; floats and texts as double.
+
+    Decimals and integers give exact sums. Doubles keep all their digits, their
+    range and NaN; their sums may differ in the last bits with the order of the rows.
+    """
+    if isinstance(df.schema[column].dataType, (T.DecimalType, T.IntegralType)):
         return F.col(column)
-    return F.col(column).cast("decimal(18,4)")
+    return F.col(column).cast("double")
+
+
+def mean_ratio(ratio: Column, below: float = 1e9) -> Column:
+    """Mean of a double that does not depend on the order of the rows.
+
+    Values are added up as decimals with 18 places. Those from ``below`` on, and
+    NaN, would not fit and are added up as doubles.
+    """
+    fits = F.abs(ratio) < below
+    exact = F.coalesce(F.sum(F.when(fits, ratio.cast("decimal(38,18)"))).cast("double"), F.lit(0.0))
+    rest = F.coalesce(F.sum(F.when(~fits, ratio)), F.lit(0.0))
+    return F.when(F.count(ratio) > 0, (exact + rest) / F.count(ratio))
 
 
 def sums_by(df: DataFrame, keys: list[str], sums: Mapping[str, str]) -> DataFrame:
     """One row per key with the sum of each column (output name -> column)."""
-    return df.groupBy(*keys).agg(*[F.sum(as_money(df, column)).alias(name) for name, column in sums.items()])
+    return df.groupBy(*keys).agg(*[F.sum(as_amount(df, column)).alias(name) for name, column in sums.items()])
 
 
 def mean_monthly_ratio(
@@ -58,7 +74,7 @@ def mean_monthly_ratio(
 ) -> DataFrame:
     """Mean over months of the guarded margin ratio; months without a ratio do not count."""
     monthly = sums_by(df, [key, date], {"_m": margin, "_s": sales})
-    return monthly.groupBy(key).agg(F.avg(guarded_ratio(F.col("_m"), F.col("_s"))).alias(name))
+    return monthly.groupBy(key).agg(mean_ratio(guarded_ratio(F.col("_m"), F.col("_s"))).alias(name))
 
 
 def monthly_by_customer(
@@ -73,16 +89,17 @@ def monthly_by_customer(
     return sums_by(profitability, [customer, date], {"margen_bruto": margin, "venta_neta": sales})
 
 
-def accumulate_dates(by_date: DataFrame, key: str) -> DataFrame:
+def accumulate_dates(by_date: DataFrame, key: str, also: Iterable[Column] = ()) -> DataFrame:
     """Margin sum, sales sum, their ratio and the mean monthly ratio per key.
 
-    ``by_date`` holds one row per key and date.
+    ``by_date`` holds one row per key and date. Aggregates in ``also`` come along.
     """
     ratio = guarded_ratio(F.col("margen_bruto"), F.col("venta_neta"))
     sums = by_date.groupBy(key).agg(
         F.sum("margen_bruto").alias("margen_bruto_sum"),
         F.sum("venta_neta").alias("venta_neta_sum"),
-        F.avg(ratio).alias("margen_porcentual_prom"),
+        mean_ratio(ratio).alias("margen_porcentual_prom"),
+        *also,
     )
     overall = guarded_ratio(F.col("margen_bruto_sum"), F.col("venta_neta_sum"))
     return sums.withColumn("margen_porcentual", overall)

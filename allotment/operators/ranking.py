@@ -64,15 +64,15 @@ def weighted_score(
     weights: tuple[float, float, float],
     columns: tuple[str, str, str],
     name: str = "score",
-    digits: int = 9,
+    digits: int | None = None,
 ) -> DataFrame:
     """Weighted sum of three columns; rows that lack one get the frame's lowest score.
 
-    Rounded to ``digits``, so that the order does not hang on the last bits of
-    a floating-point sum.
+    ``digits`` rounds the score, for comparison with a score computed elsewhere; by
+    default different scores stay different.
     """
     total = sum((F.lit(w) * F.col(c) for w, c in zip(weights, columns)), start=F.lit(0.0))
-    known = F.round(total, digits)  # NULL as soon as one term is NULL
+    known = total if digits is None else F.round(total, digits)  # NULL as soon as one term is NULL
     lowest = df.agg(F.min(known)).scalar()
     return df.withColumn(name, F.coalesce(known, lowest))
 

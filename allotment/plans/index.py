@@ -43,6 +43,7 @@ class IndexOptions:
     on_duplicate: str = "fanout"  # or first, error
     use_group_order: bool = False  # fill missing priorities from the priority groups
     hot_minimum: int = skew.HOT_MINIMUM
+    digits: int | None = None  # of the scores; None keeps them as they are
 
     @property
     def codes(self) -> list[str]:
@@ -100,7 +101,7 @@ def with_customer_measures(monthly: DataFrame) -> DataFrame:
     return monthly.withColumns({
         "margen_bruto_sum": F.sum("margen_bruto").over(every),
         "venta_neta_sum": F.sum("venta_neta").over(every),
-        "margen_porcentual_prom": F.avg(ratio).over(every),
+        "margen_porcentual_prom": F.avg(ratio).over(every),  # in the order of the dates
         "primera": F.row_number().over(by_date) == 1,
     }).withColumn("margen_porcentual", guarded_ratio(F.col("margen_bruto_sum"), F.col("venta_neta_sum")))
 
@@ -130,6 +131,12 @@ def all_listings(customers: DataFrame, options: IndexOptions = IndexOptions()) -
     return links.join(customer_places(served, options), "cod_cliente")
 
 
+def listings_of(customers: DataFrame, options: IndexOptions = IndexOptions()) -> tuple[bool, DataFrame]:
+    """Whether every customer is listed once, and the listings by the way that suits."""
+    single = listed_once(customers)
+    return single, single_listings(customers, options) if single else all_listings(customers, options)
+
+
 def linked_months(
     monthly: DataFrame, listings: DataFrame, hot_minimum: int = skew.HOT_MINIMUM
 ) -> DataFrame:
@@ -151,10 +158,8 @@ def _linked_moments(monthly: DataFrame, listings: DataFrame, hot_minimum: int) -
     back with the hot customers apart.
     """
     moments = materialise(monthly, "moments")
-    extent = moments.groupBy("cod_cliente").agg(F.count("*").alias("rows"), F.min("fecha").alias("first"))
-    totals = measures.accumulate_dates(moments, "cod_cliente").alias("t")
-    same = F.col("t.cod_cliente").eqNullSafe(F.col("e.cod_cliente"))
-    customers = totals.join(extent.alias("e"), same).select("t.*", "rows", "first")
+    extent = (F.count("*").alias("rows"), F.min("fecha").alias("first"))
+    customers = measures.accumulate_dates(moments, "cod_cliente", extent)
     customers, size = materialise_watching(
         customers.join(listings, "cod_cliente", "left"), "customers",
         {"rows": F.sum("rows"), "largest": F.max("rows")},
@@ -181,7 +186,7 @@ def chain_measures(linked: DataFrame) -> DataFrame:
     sums = by_date.groupBy(CHAIN_KEY).agg(
         F.sum("margen_bruto").alias("margen_bruto_sum"),
         F.sum("venta_neta").alias("venta_neta_sum"),
-        F.avg(ratio).alias("margen_porcentual_prom"),
+        measures.mean_ratio(ratio).alias("margen_porcentual_prom"),
         F.max("distancia").alias("distancia"),
         F.sum("members").alias("members"),
     )
@@ -190,10 +195,14 @@ def chain_measures(linked: DataFrame) -> DataFrame:
 
 
 def scored(
-    df: DataFrame, weights: tuple[float, float, float], name: str = "score", bounds: Mapping | None = None
+    df: DataFrame,
+    weights: tuple[float, float, float],
+    name: str = "score",
+    bounds: Mapping | None = None,
+    digits: int | None = None,
 ) -> DataFrame:
     """Scale the distance over the frame and weigh it with the two ratios."""
-    return ranking.weighted_score(ranking.min_max_normalise(df, bounds=bounds), weights, SCORED, name)
+    return ranking.weighted_score(ranking.min_max_normalise(df, bounds=bounds), weights, SCORED, name, digits)
 
 
 def priority_of(customers: DataFrame) -> Column:
@@ -211,7 +220,13 @@ def previous_priorities(customers: DataFrame) -> DataFrame:
 
 
 def fill_from_groups(df: DataFrame, groups: DataFrame) -> DataFrame:
-    """Fill missing priorities with the order of the customer's priority group."""
+    """Fill missing priorities with the order of the customer's priority group.
+
+    ``groups`` has ``cod_cliente`` and ``orden_grupo``, or is the Silver table of
+    priority groups with ``cliente`` and ``priorizacion``.
+    """
+    if not c.missing_columns(groups, ["cliente", "priorizacion"]):
+        groups = groups.select(F.col("cliente").cast("string").alias("cod_cliente"), F.col("priorizacion").alias("orden_grupo"))
     c.require_columns(groups, ["cod_cliente", "orden_grupo"], "priority_groups")
     order = groups.groupBy("cod_cliente").agg(F.min(F.col("orden_grupo").try_cast("int")).alias("orden_grupo"))
     filled = F.coalesce("priorizacion", "orden_grupo")
@@ -228,8 +243,7 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     # The write of either frame also yields the figures that shape the later steps.
     nearest, farthest = F.min("distancia"), F.max("distancia")
     customers = inputs["customers"]
-    single = listed_once(customers)
-    listings = single_listings(customers, options) if single else all_listings(customers, options)
+    single, listings = listings_of(customers, options)
     linked, per_customer = materialise_watching(
         linked_months(window_months(inputs, options), listings, options.hot_minimum), "linked",
         {"low": nearest, "high": farthest, "copies": F.max("attribute_rows")},
@@ -240,10 +254,11 @@ def priority_index(inputs: Mapping[str, DataFrame], options: IndexOptions = Inde
     )
 
     by_chain = scored(
-        chains, options.chain_weights, "chain_score", {"distance": (per_chain["low"], per_chain["high"])}
+        chains, options.chain_weights, "chain_score", {"distance": (per_chain["low"], per_chain["high"])}, options.digits
     ).select(CHAIN_KEY, "chain_score", "margen_porcentual")
     rows = scored(
-        linked.filter("primera"), options.customer_weights, "customer_score", {"distance": (per_customer["low"], per_customer["high"])}
+        linked.filter("primera"), options.customer_weights, "customer_score",
+        {"distance": (per_customer["low"], per_customer["high"])}, options.digits,
     )
     if not single:
         rows = rows.join(previous_priorities(customers), "cod_cliente", "left")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from allotment.plans import silver
+
 
 _SCHEMAS: dict[str, StructType] = {}
 
@@ -85,12 +87,16 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def priority_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A group order for every third customer."""
+    """The Silver table of priority groups, from its raw text; an order for every third customer."""
     key = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        key.cast("string").alias("cod_cliente"),
-        F.when(key % 3 == 0, (F.col("c_nationkey") % 9 + 1).cast("int")).alias("orden_grupo"),
+    raw = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit(" "), key.cast("string")).alias("Cliente"),
+        F.col("c_name").alias("Nombre"),
+        F.lit("N/A").alias("CADENA"),
+        F.col("c_mktsegment").alias("GRUPO"),
+        F.when(key % 3 == 0, (F.col("c_nationkey") % 9 + 1).cast("string")).otherwise("nan").alias("Priorización"),
     )
+    return silver.priority_groups(raw, "run-1")
 
 
 def model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

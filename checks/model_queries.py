@@ -12,6 +12,9 @@ from allotment.runtime import materialise
 from . import inputs
 from .registry import query
 
+#: The SQL rounds its scores, as its mathematical functions differ in the last bits.
+ROUNDED = index.IndexOptions(digits=9)
+
 # --- SQL shared by the oracles ----------------------------------------------
 
 VALUE = """CAST(CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS DECIMAL(2,0))
@@ -131,7 +134,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def levels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(customers with listings, chains), both written once."""
-    listings = index.all_listings(inputs.customers(spark, sf_dir))
+    _, listings = index.listings_of(inputs.customers(spark, sf_dir))
     linked = materialise(index.linked_months(months(spark, sf_dir), listings), "linked")
     return linked.filter("primera"), materialise(index.chain_measures(linked), "chains")
 
@@ -162,6 +165,26 @@ def monthly_sums_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Doubles whose sums are exact in any order: multiples of 2^-27, and whole multiples of 1024 beyond 1e14.
+DOUBLE = """CASE WHEN o_custkey % 2 = 0 THEN 1.2e14 + 1024 * CAST(l_quantity AS DOUBLE)
+    ELSE CAST(l_quantity AS DOUBLE) / 134217728 END"""
+
+
+@query(f"""SELECT CAST(o_custkey AS VARCHAR) AS cod_cliente, CAST(date_trunc('month', o_orderdate) AS DATE) AS fecha,
+  sum(-({DOUBLE})) AS margen_bruto, sum({DOUBLE}) AS venta_neta
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
+def monthly_sums_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts that are doubles, tiny and huge, keep every digit."""
+    lines = inputs.table(spark, sf_dir, "lineitem").join(
+        inputs.table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    fact = lines.select(
+        F.col("o_custkey").cast("string").alias("cod_cliente"), inputs.first_of_month("o_orderdate").alias("fecha"),
+        F.expr(DOUBLE).cast("double").alias("valor_neto"),
+    ).withColumn("cc_utilidad_bruta", -F.col("valor_neto"))
+    return measures.monthly_by_customer(fact)
+
+
 @query(f"""WITH {LINKED}
 SELECT llave AS cod_cliente_homologado, fecha,
        CAST(sum(m) AS DOUBLE) AS margen_bruto, CAST(sum(v) AS DOUBLE) AS venta_neta
@@ -179,7 +202,7 @@ def monthly_sums_by_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {MONTHLY}
 SELECT cod_cliente, round(avg({ratio('m', 'v')}), 6) AS margen_porcentual_prom FROM monthly GROUP BY ALL""")
 def mean_monthly_margin_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mean = measures.mean_monthly_ratio(months(spark, sf_dir), "cod_cliente")
+    mean = measures.accumulate_dates(months(spark, sf_dir), "cod_cliente")
     return mean.select("cod_cliente", r6("margen_porcentual_prom"))
 
 
@@ -266,7 +289,7 @@ def minmax_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SCORES} SELECT k AS cod_cliente_homologado, round(score, 6) AS score, r AS indice FROM chains_ranked""")
 def score_rank_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, chains = levels(spark, sf_dir)
-    with_score = index.scored(chains, index.IndexOptions().chain_weights)
+    with_score = index.scored(chains, index.IndexOptions().chain_weights, digits=9)
     ranked = ranking.rank_by_score(with_score.select(index.CHAIN_KEY, "score"), "score", index.CHAIN_KEY, "indice")
     return ranked.select(index.CHAIN_KEY, r6("score"), "indice")
 
@@ -274,12 +297,24 @@ def score_rank_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SCORES} SELECT k AS cod_cliente, round(score, 6) AS score, r AS indice FROM clients_ranked""")
 def score_rank_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalogue, _ = levels(spark, sf_dir)
-    with_score = index.scored(catalogue, index.IndexOptions().customer_weights)
+    with_score = index.scored(catalogue, index.IndexOptions().customer_weights, digits=9)
     one_each = with_score.select("cod_cliente", "score").distinct()
     ranked = ranking.rank_by_score(one_each, "score", "cod_cliente", "indice")
     return ranked.select("cod_cliente", r6("score"), "indice")
 
 
+@query("""SELECT cod, row_number() OVER (ORDER BY s DESC, cod) AS puesto
+FROM (SELECT CAST(c_custkey AS VARCHAR) AS cod, (c_custkey % 5) * 4e-10::DOUBLE AS s FROM customer)""")
+def score_rank_unrounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores 4e-10 apart are different scores."""
+    rows = inputs.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("cod"), ((F.col("c_custkey") % 5) * F.lit(4e-10)).alias("margen_porcentual"),
+        F.lit(0.0).alias("margen_porcentual_prom"), F.lit(0.0).alias("distancia_norm"),
+    )
+    scored = ranking.weighted_score(rows, (1.0, 0.0, 0.0), index.SCORED)
+    return ranking.rank_by_score(scored.select("cod", "score"), "score", "cod", "puesto").select("cod", "puesto")
+
+
 @query("""SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS puesto FROM orders""")
 def global_rank_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
@@ -291,14 +326,14 @@ def global_rank_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {index_sql('dim.lprio')}
 SELECT cod_cliente, prioridad, round(pct, 6) AS margen_porcentual FROM idx""")
 def priority_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = index.priority_index(inputs.model(spark, sf_dir))
+    ranked = index.priority_index(inputs.model(spark, sf_dir), ROUNDED)
     return ranked.select("cod_cliente", "prioridad", r6("margen_porcentual"))
 
 
 @query(f"""WITH {index_sql('coalesce(dim.lprio, dim.orden_grupo)')}
 SELECT cod_cliente, prioridad, round(pct, 6) AS margen_porcentual FROM idx""")
 def priority_index_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    options = index.IndexOptions(use_group_order=True)
+    options = index.IndexOptions(use_group_order=True, digits=9)
     ranked = index.priority_index(inputs.model(spark, sf_dir), options)
     return ranked.select("cod_cliente", "prioridad", r6("margen_porcentual"))
 
@@ -308,7 +343,7 @@ SELECT cod_cliente, prioridad, 'N' AS "Estatus" FROM idx""")
 def publication_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     from allotment.sources.sinks import publication_rows
 
-    ranked = index.stamp(index.priority_index(inputs.model(spark, sf_dir)), "run-1")
+    ranked = index.stamp(index.priority_index(inputs.model(spark, sf_dir), ROUNDED), "run-1")
     return publication_rows(ranked).drop("create_timestamp")
 
 
