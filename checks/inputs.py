@@ -86,6 +86,24 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def customers_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers under two chains and groups, with two names and priorities, twice the same, without a code."""
+    once = customers(spark, sf_dir)
+    key = F.col("cod_cliente").cast("long")
+    return (
+        once.unionByName(once.filter(key % 6 == 0).withColumns({"cod_cadena": F.lit("CHX"), "grupo_economico": F.lit("G2")}))
+        .unionByName(once.filter(key % 10 == 0).withColumns({"nombre_cliente": F.lit("other"), "lprio": F.lit(9)}))
+        .unionByName(once.filter(key % 15 == 0))
+        .unionByName(once.filter(key % 50 == 0).withColumn("cod_cliente", F.lit(None).cast("string")))
+    )
+
+
+def customers_hot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the customers in one chain."""
+    hot = F.col("cod_cliente").cast("long") % 3 == 0
+    return customers(spark, sf_dir).withColumn("cod_cadena", F.when(hot, "HOT").otherwise(F.col("cod_cadena")))
+
+
 def priority_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Silver table of priority groups, from its raw text; an order for every third customer."""
     key = F.col("c_custkey")

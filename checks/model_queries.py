@@ -338,6 +338,70 @@ def priority_index_with_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("cod_cliente", "prioridad", r6("margen_porcentual"))
 
 
+TWICE = DIM.replace("dim AS (", "once AS (", 1).replace("centre AS (", """dim AS (
+  SELECT * FROM once
+  UNION ALL SELECT * REPLACE ('CHX' AS cod_cadena, 'G2' AS grupo_economico) FROM once WHERE CAST(cod_cliente AS BIGINT) % 6 = 0
+  UNION ALL SELECT * REPLACE ('other' AS nombre_cliente, 9 AS lprio) FROM once WHERE CAST(cod_cliente AS BIGINT) % 10 = 0
+  UNION ALL SELECT * FROM once WHERE CAST(cod_cliente AS BIGINT) % 15 = 0
+  UNION ALL SELECT * REPLACE (NULL AS cod_cliente) FROM once WHERE CAST(cod_cliente AS BIGINT) % 50 = 0),
+centre AS (""", 1)
+HOT = DIM.replace("CASE WHEN c_custkey % 4 = 0", "CASE WHEN c_custkey % 3 = 0 THEN 'HOT' WHEN c_custkey % 4 = 0", 1)
+FIRST_LISTING = ("SELECT DISTINCT cod_cliente, cod_cadena, grupo_economico FROM dim\n    WHERE id_centro IN (SELECT id_centro FROM centre)",
+                 """SELECT DISTINCT cod_cliente, cod_cadena, grupo_economico FROM dim
+    WHERE id_centro IN (SELECT id_centro FROM centre)
+    QUALIFY row_number() OVER (PARTITION BY cod_cliente ORDER BY cod_cadena NULLS LAST, grupo_economico NULLS LAST) = 1""")
+
+
+def fanned_out_sql(attributes: str) -> str:
+    """Literal joins: every listing with every attribute row and every known previous priority."""
+    return f"""WITH {SCORES.replace(DIM, TWICE)},
+attribute AS ({attributes}),
+prio AS (SELECT DISTINCT cod_cliente, lprio FROM dim WHERE lprio IS NOT NULL)
+SELECT t.cod_cliente, round(chains_ranked.pct, 6) AS margen_porcentual,
+  row_number() OVER (ORDER BY prio.lprio ASC NULLS LAST, chains_ranked.r, clients_ranked.r, t.cod_cliente) AS prioridad
+FROM chains_ranked
+JOIN (SELECT DISTINCT cod_cliente, cod_cadena, llave FROM linked) t ON t.llave = chains_ranked.k
+LEFT JOIN clients_ranked ON clients_ranked.k = t.cod_cliente
+LEFT JOIN attribute ON attribute.cod_cliente = t.cod_cliente
+LEFT JOIN prio ON prio.cod_cliente = t.cod_cliente"""
+
+
+def index_of(spark: SparkSession, sf_dir: str, customers: DataFrame, **options) -> DataFrame:
+    ranked = index.priority_index(inputs.model(spark, sf_dir) | {"customers": customers}, index.IndexOptions(digits=9, **options))
+    return ranked.select("cod_cliente", "prioridad", r6("margen_porcentual"))
+
+
+@query(fanned_out_sql("""SELECT DISTINCT cod_cliente, id_centro, latitud, longitud, grupo_economico, nombre_cliente
+  FROM dim WHERE id_centro IN (SELECT id_centro FROM centre)"""))
+def priority_index_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index_of(spark, sf_dir, inputs.customers_repeated(spark, sf_dir))
+
+
+@query(fanned_out_sql("SELECT DISTINCT cod_cliente FROM dim").replace(*FIRST_LISTING))
+def priority_index_first_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index_of(spark, sf_dir, inputs.customers_repeated(spark, sf_dir), on_duplicate="first")
+
+
+@query(f"""WITH {index_sql('dim.lprio').replace(DIM, HOT)}
+SELECT cod_cliente, prioridad, round(pct, 6) AS margen_porcentual FROM idx""")
+def priority_index_hot_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One chain with a third of the customers, joined as a hot key."""
+    return index_of(spark, sf_dir, inputs.customers_hot_chain(spark, sf_dir), hot_minimum=5)
+
+
+@query(f"""WITH {LINKED},
+{measures_of('llave', 'chains', 's.m IS NOT NULL')}
+SELECT k AS cod_cliente_homologado,
+  round(1 - (CAST(v AS DOUBLE) - min(CAST(v AS DOUBLE)) OVER ())
+        / greatest(max(CAST(v AS DOUBLE)) OVER () - min(CAST(v AS DOUBLE)) OVER (), 1e-9), 6) AS estabilidad_norm
+FROM chains""")
+def minmax_with_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The optional measure that is better when it is small."""
+    _, chains = levels(spark, sf_dir)
+    rated = chains.withColumn("cv_margen_bruto", F.col("venta_neta_sum"))
+    return ranking.min_max_normalise(rated).select(index.CHAIN_KEY, r6("estabilidad_norm"))
+
+
 @query(f"""WITH {index_sql('dim.lprio')}
 SELECT cod_cliente, prioridad, 'N' AS "Estatus" FROM idx""")
 def publication_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
