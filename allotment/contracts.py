@@ -2,7 +2,7 @@
 
 Fixed values: the names, types and constants in this module are the public
 contract of the flow (tables read, tables written, record layouts) and have to
-keep exactly these spellings.
+keep these spellings; the names of views are this library's own choice.
 """
 
 from __future__ import annotations
@@ -186,6 +186,13 @@ FILE_METRIC_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType()),
     T.StructField("metric_timestamp_utc", T.StringType()),
 ])
+RUN_METRIC_SCHEMA = T.StructType([
+    T.StructField("execution_id", T.StringType()),
+    *[T.StructField(f"rows_{role}", T.LongType()) for role in INPUT_ROLES],
+    T.StructField("rows_index", T.LongType()),
+    T.StructField("index_table", T.StringType()),
+    T.StructField("index_history_table", T.StringType()),
+])
 PUBLICATION_METRIC_SCHEMA = T.StructType([
     T.StructField("rows_read", T.LongType()),
     T.StructField("rows_written", T.LongType()),

@@ -17,7 +17,7 @@ class NothingToLoad(ValueError):
     """The control table holds no active row for the request."""
 
 
-def standard_columns(df: DataFrame) -> DataFrame:
+def standard_columns(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """The 13 standard columns, each from its first spelling present, else NULL.
 
     Only names change; values keep their source type. Absent columns get their
@@ -30,7 +30,7 @@ def standard_columns(df: DataFrame) -> DataFrame:
         source = next((candidate for candidate in [name, *legacy] if candidate in present), None)
         return (F.lit(None).cast(target) if source is None else F.col(source)).alias(name)
 
-    return df.select(*[pick(name) for name in c.CONTROL_COLUMNS])
+    return df.select(*[pick(name) for name in c.CONTROL_COLUMNS], *keep)
 
 
 def truth(value: Column, source: T.DataType) -> Column:
@@ -58,9 +58,12 @@ def load_order(value: Column, source: T.DataType) -> Column:
     )
 
 
-def normalise_control(df: DataFrame) -> DataFrame:
-    """Standard columns with clean values: texts stripped, flag and order typed."""
-    standard = standard_columns(df)
+def normalise_control(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Standard columns with clean values: texts stripped, flag and order typed.
+
+    Columns in ``keep`` stay as they are.
+    """
+    standard = standard_columns(df, keep)
     types = {field.name: field.dataType for field in standard.schema.fields}
 
     def clean(name: str) -> Column:
@@ -74,7 +77,7 @@ def normalise_control(df: DataFrame) -> DataFrame:
             text = F.coalesce(text, F.lit(""))
         return text.alias(name)
 
-    return standard.select(*[clean(name) for name in c.CONTROL_COLUMNS])
+    return standard.select(*[clean(name) for name in c.CONTROL_COLUMNS], *keep)
 
 
 def check_choice(value: str | None, allowed: Iterable[str], label: str) -> str | None:

@@ -31,7 +31,7 @@ def parse_coordinates(customers: DataFrame, lat: str = "latitud", lon: str = "lo
 
 def distance_to_centre(
     customers: DataFrame,
-    centre_rows: DataFrame,
+    centre_rows: DataFrame | Iterable[tuple],
     *,
     centre: str = "id_centro",
     lat: str = "latitud",
@@ -39,10 +39,13 @@ def distance_to_centre(
 ) -> DataFrame:
     """Add ``distancia`` in km; NULL without coordinates or without a known centre.
 
-    ``centre_rows`` is a literal relation held in the program, hence the broadcast.
+    Literal rows, held in the program, are broadcast; for a frame the planner goes by
+    its size.
     """
     located = parse_coordinates(customers, lat, lon).withColumn(centre, F.col(centre).cast("string"))
-    joined = located.join(F.broadcast(centre_rows), centre, "left")
+    if not isinstance(centre_rows, DataFrame):
+        centre_rows = F.broadcast(centres(customers.sparkSession, centre_rows))
+    joined = located.join(centre_rows, centre, "left")
     km = great_circle_km(F.col(lat), F.col(lon), F.col("latitud_centro"), F.col("longitud_centro"))
     return joined.withColumn("distancia", km).drop("latitud_centro", "longitud_centro")
 

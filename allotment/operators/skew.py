@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # fewer than HOT_SHARE hot keys, however large the data.
 HOT_SHARE = 1000
 HOT_MINIMUM = 100_000
+# Rows that the groups of all hot keys together may have for a broadcast.
+HOT_ROWS = 200_000
 
 
 def hot_keys(
@@ -35,7 +37,8 @@ def join_to_groups(
     """Inner join of many ``rows`` to few rows per key in ``groups``; NULL matches NULL.
 
     Rows of hot keys stay where they are and meet a broadcast of their groups
-    (fewer than HOT_SHARE keys); all others go through an ordinary join.
+    (fewer than HOT_SHARE keys, and counted to be HOT_ROWS rows at most); all others go
+    through an ordinary join.
     """
     def matched(left: DataFrame, right: DataFrame) -> DataFrame:
         left, right = left.alias("l"), right.alias("r")
@@ -51,7 +54,10 @@ def join_to_groups(
         same = reduce(Column.__and__, [F.col(f"l.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys])
         return left.join(right, same, how)
 
-    hot_part = matched(split(rows, "left_semi"), F.broadcast(split(groups, "left_semi")))
+    hot_groups = split(groups, "left_semi")
+    if hot_groups.limit(HOT_ROWS + 1).count() > HOT_ROWS:
+        return matched(rows, groups)
+    hot_part = matched(split(rows, "left_semi"), F.broadcast(hot_groups))
     cold_part = matched(split(rows, "left_anti"), split(groups, "left_anti"))
     return hot_part.unionByName(cold_part)
 

@@ -72,8 +72,7 @@ def served_customers(customers: DataFrame, options: IndexOptions = IndexOptions(
 def customer_places(served: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
     """Per customer the largest distance and the number of distinct attribute rows."""
     distinct = served.select(*ATTRIBUTES).distinct()
-    centres = distance.centres(served.sparkSession, options.centres)
-    located = distance.distance_to_centre(distinct, centres)
+    located = distance.distance_to_centre(distinct, options.centres)
     rows: Column = F.count("*")
     if options.on_duplicate == "first":
         rows = F.lit(1).cast("bigint")
@@ -111,7 +110,7 @@ def single_listings(customers: DataFrame, options: IndexOptions = IndexOptions()
 
     Nothing has to be deduplicated, so this is a projection.
     """
-    located = distance.distance_to_centre(customers, distance.centres(customers.sparkSession, options.centres))
+    located = distance.distance_to_centre(customers, options.centres)
     served = F.col("id_centro").isin(options.codes)
     one = F.lit(1).cast("bigint")
     return located.select(

@@ -6,13 +6,17 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import contracts as c
 from ..operators import quality, reconcile, records
-from ..operators.control import active_loads, normalise_control
+from ..operators.control import NothingToLoad, active_loads, normalise_control, valid_loads
+from ..runtime import materialise, scratch_scope
 from ..sources import sinks
 from ..sources.extract import extract_all, read_catalogue
-from ..sources.tables import publish_view, read_roles, table_or_none
+from ..sources.files import land_controlled
+from ..sources.paths import target_below
+from ..sources.tables import publish_view, read_roles, register_files, table_or_none
 from . import index
 
 
@@ -70,18 +74,80 @@ def extract(
     metrics_table: str | None = None,
     read: Callable = read_catalogue,
     fail_fast: bool = False,
+    table_name: Callable[[Mapping[str, object]], str | None] | None = None,
+    valid: tuple[int, int] = (0, 0),
 ) -> DataFrame:
-    """Land the active objects of one owner; append the metrics before any error is raised."""
-    loads = publish_view(active_loads(normalise_control(control), owner), c.CONTROL_VIEW)
+    """Land the active objects of the run's process, one system and one owner.
+
+    ``table_name`` registers what is landed for the Silver step. Metrics are appended
+    before any error is raised.
+    """
+    loads = publish_view(run_loads(control, run.process, system, owner, valid), c.CONTROL_VIEW)
     metrics = extract_all(
-        spark, loads, root, execution_id=run.execution_id, process_name=run.process,
-        source_system=system, read=read, fail_fast=fail_fast, raise_errors=False,
+        spark, loads, root, execution_id=run.execution_id, process_name=run.process, source_system=system,
+        read=read, default_format=run.file_format, fail_fast=fail_fast, raise_errors=False, table_name=table_name,
     )
-    if metrics_table:
-        sinks.append_rows(metrics, metrics_table, file_format=run.file_format)
-    failed = metrics.filter("status = 'failed'")
-    if not failed.isEmpty():
-        raise RuntimeError(f"extraction from {system} failed for some objects; see the metrics")
+    return _recorded(metrics, run, metrics_table, f"extraction from {system} failed for some objects")
+
+
+def land_files(
+    spark: SparkSession,
+    run: Run,
+    control: DataFrame,
+    owner: str,
+    system: str,
+    source_root: str,
+    target_root: str,
+    metrics_table: str | None = None,
+    fail_fast: bool = False,
+    tables: Mapping[str, str] | None = None,
+    valid: tuple[int, int] = (0, 0),
+) -> DataFrame:
+    """Land the files of the run's process, one system and one owner, as ``extract`` does objects.
+
+    Files are copied side by side; with ``fail_fast`` they go one load order after the
+    other and the first order with a failure ends the step. ``tables`` (target name ->
+    catalogue name) registers landed CSV files, with their header, for the Silver step.
+    """
+    loads = run_loads(control, run.process, system, owner, valid)
+    steps = [loads]
+    if fail_fast:
+        orders = [row[0] for row in loads.select("orden_ejecucion").distinct().orderBy("orden_ejecucion").toLocalIterator()]
+        steps = [loads.filter(F.col("orden_ejecucion").eqNullSafe(F.lit(order))) for order in orders]
+    metrics = None
+    for step in steps:
+        landed = land_controlled(spark, step, source_root, target_root)
+        metrics = landed if metrics is None else metrics.unionByName(landed)
+        if fail_fast and not landed.filter("status = 'failed'").isEmpty():
+            break
+    for name, table in (tables or {}).items():
+        path = loads.filter(F.col("nombre_archivo_destino") == name).select(target_below(target_root)).first()
+        if path is not None and not metrics.filter((F.col("archivo_destino") == path[0]) & (F.col("status") == "success")).isEmpty():
+            register_files(spark, table, path[0], "csv", header="true")
+    return _recorded(metrics, run, metrics_table, f"landing files of {system} failed for some files")
+
+
+def run_loads(control: DataFrame, process: str, system: str, owner: str, valid: tuple[int, int] = (0, 0)) -> DataFrame:
+    """The control rows that a run may load, in load order.
+
+    A frame with ``valid_from`` and ``valid_to`` is also held against the given dates
+    (yyyymmdd, 0 for open).
+    """
+    rows = normalise_control(control)
+    if not c.missing_columns(control, ["valid_from", "valid_to"]):
+        loads = valid_loads(normalise_control(control, keep=("valid_from", "valid_to")), process, system, owner, *valid)
+        if loads.isEmpty():
+            raise NothingToLoad(f"no valid control row of {process}, {system}, {owner}")
+        return loads.orderBy(F.col("orden_ejecucion").asc(), F.col("nombre_archivo_fuente").asc())
+    mine = rows.filter((F.col("proceso") == process) & (F.col("sistema_fuente") == system))
+    return active_loads(mine, owner)
+
+
+def _recorded(metrics: DataFrame, run: Run, table: str | None, failure: str) -> DataFrame:
+    if table:
+        sinks.append_rows(metrics, table, file_format=run.file_format)
+    if not metrics.filter("status = 'failed'").isEmpty():
+        raise RuntimeError(f"{failure}; see the metrics")
     return metrics
 
 
@@ -96,12 +162,21 @@ def refresh_silver(spark: SparkSession, run: Run) -> dict[str, int]:
 
 
 def build_index(spark: SparkSession, run: Run) -> DataFrame:
-    """Compute the index, write snapshot and history; return counts of inputs and output."""
+    """Compute the index, write snapshot and history; return one metrics record.
+
+    It has the rows of the six inputs, those of the index as counted by the job that
+    wrote it, and the names of both tables.
+    """
     inputs = read_roles(spark, run.tables)
     c.require_roles(run.tables, c.OUTPUT_ROLES)
     ranked = index.stamp(index.priority_index(inputs, run.options), run.execution_id)
-    sinks.write_gold(ranked, run.tables["index"], run.tables["index_history"], run.file_format)
-    return index.row_counts(inputs | {"index": spark.table(run.tables["index"])})
+    written = sinks.write_gold(ranked, run.tables["index"], run.tables["index_history"], run.file_format)
+    rows = {f"rows_{row.tabla}": row.filas for row in index.row_counts(inputs).collect()}
+    record = rows | {
+        "execution_id": run.execution_id, "rows_index": written,
+        "index_table": run.tables["index"], "index_history_table": run.tables["index_history"],
+    }
+    return records.records(spark, [record], c.RUN_METRIC_SCHEMA)
 
 
 def check(spark: SparkSession, run: Run) -> DataFrame:
@@ -116,12 +191,12 @@ def check(spark: SparkSession, run: Run) -> DataFrame:
         source_name=run.comparison_table, source=table_or_none(spark, run.comparison_table),
         tolerance=run.tolerance,
     )
-    results = quality.run_checks(spark, run.context, checks).unionByName(compared)
+    # Written once: the log and the gate see the same results, and only this attempt's.
+    results = materialise(quality.run_checks(spark, run.context, checks).unionByName(compared), "checks")
     sinks.append_rows(results, run.quality_table, file_format=run.file_format)
-    written = spark.table(run.quality_table).filter(f"execution_id = '{run.execution_id}'")
-    if not quality.gate_open(written):
+    if not quality.gate_open(results):
         raise GateClosed(f"critical checks failed; see {run.quality_table}")
-    return written
+    return results
 
 
 def full_run(
@@ -130,19 +205,23 @@ def full_run(
     publish: Callable[[DataFrame], Mapping[str, object]],
     before: Sequence[Callable[[SparkSession, Run], object]] = (),
 ) -> Mapping[str, object]:
-    """All steps in order; ``before`` holds the extractions. The gate always precedes publishing."""
+    """All steps in order; ``before`` holds the extractions. The gate always precedes publishing.
+
+    The run's intermediate tables are deleted at its end, whether it fails or not.
+    """
     audit(spark, run, "STARTED", "audit_start", "run started")
     try:
-        for step in before:
-            step(spark, run)
-        refresh_silver(spark, run)
-        build_index(spark, run)
-        check(spark, run)
-        metrics = publish(spark.table(run.tables["index"]))
+        with scratch_scope(spark, "run"):
+            for step in before:
+                step(spark, run)
+            refresh_silver(spark, run)
+            build_index(spark, run)
+            check(spark, run)
+            metrics = publish(spark.table(run.tables["index"]))
         if metrics["status"] != "success":
             raise RuntimeError(f"publication failed: {metrics['error_message']}")
     except Exception as error:
-        audit(spark, run, "FAILED", "audit_finish", str(error)[:2000])
+        audit(spark, run, "FAILED", "audit_finish", str(error))
         raise
     audit(spark, run, "SUCCEEDED", "audit_finish", f"published {metrics['rows_written']} rows")
     return metrics

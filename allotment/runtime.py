@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _LOCAL_ROOT: str | None = None
+_SCOPES: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -35,14 +37,34 @@ def run_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path in the application's scratch folder."""
-    return f"{run_folder(spark)}/{label}-{uuid4().hex}"
+    """A fresh, never reused path in the scratch folder of the innermost scope, else the application's."""
+    folder = _SCOPES[-1] if _SCOPES else run_folder(spark)
+    return f"{folder}/{label}-{uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[str]:
+    """Scratch written inside goes to a folder of its own, which is deleted at the end.
+
+    Frames that read it stop working then, so write results inside.
+    """
+    folder = f"{run_folder(spark)}/{label}-{uuid4().hex}"
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application left in scratch; frames built on it stop working."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, run_folder(spark))
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

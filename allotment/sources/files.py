@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import FILE_METRIC_SCHEMA, FILE_METRICS_VIEW
-from ..functions.text import strip
 from ..runtime import materialise
+from .paths import below, check_scheme, cleaned, lacking, qualified, target_below
 from .tables import publish_view
 
 if TYPE_CHECKING:
@@ -62,25 +62,33 @@ def csv_rows(spark: SparkSession, path: str | list[str], only: str | None = "*.[
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """``(archivo_origen, bytes_read, uri)`` of every non-empty file below ``path``.
+    """``(archivo_origen, bytes_read, uri)`` of every file below ``path``, empty ones included.
 
-    ``uri`` is the percent-encoded path. ``content`` is not selected, so no
-    file is opened.
+    ``uri`` is the percent-encoded path. ``content`` is not selected, so no file is
+    opened. Spark's file scans leave out empty files, which only the planner's own list
+    of files still has; that list is on the driver for any scan.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(
+    filled = files.select(
         F.col("path").alias("archivo_origen"),
         F.col("length").alias("bytes_read"),
         F.col("_metadata.file_path").alias("uri"),
     )
+    listed = spark.createDataFrame([(uri,) for uri in files.inputFiles()], "uri string")
+    # The list has percent-encoded URIs, with three slashes for local files; scans write one.
+    listed = listed.select(F.regexp_replace("uri", "^file:/+", "file:/").alias("uri"))
+    plain = F.try_url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+    empty = listed.join(filled.select("uri"), "uri", "left_anti").select(
+        plain.alias("archivo_origen"), F.lit(0).cast("bigint").alias("bytes_read"), "uri"
+    )
+    return filled.unionByName(empty)
 
 
 def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
     """``(archivo_origen, tipo, bytes_read, rows_read)`` of the files below ``path``.
 
-    ``rows_read`` is NULL for files that are not CSV. Spark's file sources skip
-    empty files: pass ``expected`` (column ``archivo_origen``) to list those
-    with 0 bytes and, for CSV, 0 rows.
+    ``rows_read`` is NULL for files that are not CSV. ``expected`` (column
+    ``archivo_origen``) adds files that should be there, with 0 bytes and rows.
     """
     found = listing(spark, path)
     if expected is not None:
@@ -98,27 +106,25 @@ def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None)
     )
 
 
-def _without_scheme(path: Column) -> Column:
-    return F.regexp_replace(path, "^file:/+", "/")
-
-
 def copy_files(pairs: DataFrame) -> DataFrame:
     """Copy ``archivo_origen`` to ``archivo_destino`` of every row, unchanged; one metric row each.
 
     The tasks stream the bytes in pieces, so a file may be larger than a task's
     memory. A file appears under its final name only when it is complete, so a
     repeated task does no harm. A file that cannot be copied gets status
-    ``failed`` and its error. Evaluate the result once (``materialise`` it):
-    every evaluation copies.
+    ``failed`` and its error. Of files whose ``tipo`` is csv the lines that hold text,
+    less the header, are counted on the way (``rows_read``, else NULL). Evaluate the
+    result once (``materialise`` it): every evaluation copies.
     """
     piece = COPY_BYTES
 
     # Everything the tasks run is defined in here: they need Arrow, but not this package.
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import shutil
+        import codecs
         from urllib.parse import quote
         from uuid import uuid4
 
+        import pandas as pd
         from pyarrow import fs
 
         def locate(path: str):
@@ -129,39 +135,68 @@ def copy_files(pairs: DataFrame) -> DataFrame:
                 path = f"file://{path[len('file:'):]}"
             return fs.FileSystem.from_uri(quote(path, safe=":/@"))
 
-        def copy_one(source: str, target: str) -> int:
+        class Lines:
+            """Counts lines with text in a stream of bytes; holds no line."""
+
+            def __init__(self):
+                self.decoder, self.filled, self.open, self.started = codecs.getincrementaldecoder("utf-8")("replace"), 0, False, False
+
+            def feed(self, data: bytes, final: bool = False) -> None:
+                text = self.decoder.decode(data, final)
+                if text and not self.started:
+                    text, self.started = text.removeprefix("\ufeff"), True
+                for line in text.splitlines(keepends=True):
+                    self.open = self.open or bool(line.strip())
+                    if line[-1:].splitlines() == [""]:  # a line end
+                        self.filled, self.open = self.filled + self.open, False
+                if final:
+                    self.filled += self.open
+
+        def copy_one(source: str, target: str, count: bool) -> tuple[int, int | None]:
             origin, inside = locate(source)
             store, final = locate(target)
             partial = f"{final}.{uuid4().hex}.partial"
             store.create_dir(final.rpartition("/")[0], recursive=True)
+            lines = Lines()
             with origin.open_input_stream(inside) as read, store.open_output_stream(partial) as out:
-                shutil.copyfileobj(read, out, piece)
+                while data := read.read(piece):
+                    out.write(data)
+                    if count:
+                        lines.feed(data)
                 size = out.tell()
+            lines.feed(b"", True)
             store.move(partial, final)
-            return size
+            return size, max(lines.filled - 1, 0) if count else None
 
         for batch in batches:
-            sizes, states, errors = [], [], []
-            for source, target in zip(batch["archivo_origen"], batch["archivo_destino"]):
+            sizes, rows, errors = [], [], []
+            for source, target, kind in zip(batch["archivo_origen"], batch["archivo_destino"], batch["tipo"]):
                 try:
-                    sizes.append(copy_one(source, target))
-                    errors.append("")
-                except Exception as error:  # recorded per file
-                    sizes.append(0)
-                    errors.append(str(error) or type(error).__name__)
-                states.append("failed" if errors[-1] else "success")
-            yield batch.assign(bytes_read=sizes, status=states, error_message=errors)
-
-    schema = "archivo_origen string, archivo_destino string, bytes_read bigint, status string, error_message string"
-    return pairs.select("archivo_origen", "archivo_destino").mapInPandas(copy, schema)
+                    size, count = copy_one(source, target, kind == "csv")
+                    error = ""
+                except Exception as failure:  # recorded per file
+                    size, count, error = 0, None, str(failure) or type(failure).__name__
+                sizes.append(size)
+                rows.append(count)
+                errors.append(error)
+            yield batch.assign(
+                bytes_read=sizes, rows_read=pd.array(rows, dtype="Int64"),
+                status=["failed" if e else "success" for e in errors], error_message=errors,
+            )[names]
+
+    schema = "archivo_origen string, archivo_destino string, bytes_read bigint, rows_read bigint, status string, error_message string"
+    names = [part.split()[0] for part in schema.split(", ")]
+    kind = F.col("tipo") if "tipo" in pairs.columns else F.lit("binary").alias("tipo")
+    return pairs.select("archivo_origen", "archivo_destino", kind).mapInPandas(copy, schema)
 
 
 def land(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy every non-empty file below ``source`` to the same place below ``target``."""
-    root = source.rstrip("/").removeprefix("file:")
-    start = F.instr("archivo_origen", f"{root}/") + len(root) + 1
-    name = F.col("archivo_origen").substr(start, F.length("archivo_origen"))
-    pairs = listing(spark, source).withColumn("archivo_destino", F.concat(F.lit(f"{target.rstrip('/')}/"), name))
+    """Copy every file below ``source`` to the same place below ``target``."""
+    check_scheme(source, target)
+    root = f"{qualified(spark, source)}/"
+    outside = F.raise_error(F.concat(F.lit(f"not below {root}: "), F.col("archivo_origen"))).cast("string")
+    name = F.when(F.startswith("archivo_origen", F.lit(root)), F.substr("archivo_origen", F.lit(len(root) + 1))).otherwise(outside)
+    pairs = listing(spark, source).select("archivo_origen", below(target, name).alias("archivo_destino"))
     return copy_files(pairs)
 
 
@@ -172,39 +207,24 @@ def land_controlled(
 
     A row names the source file (path and name below ``source_root``) and the
     target (path, name and extension below ``target_root``). Rows are counted
-    in CSV files only, after they have landed. Files that fail do not stop the
-    others; the caller decides whether to raise.
+    in CSV files only, while their bytes pass. A row that lacks a name fails with
+    that field's name and copies nothing. Files that fail do not stop the others;
+    the caller decides whether to raise.
     """
-    def blank_to_null(name: str) -> Column:
-        return F.when(strip(F.col(name)) != "", strip(F.col(name)))
-
-    def below(root: str, *parts: Column) -> Column:
-        clean = [F.regexp_replace(part, "^/+|/+$", "") for part in parts]
-        return F.concat_ws("/", F.lit(root.rstrip("/")), *[F.when(part != "", part) for part in clean])
-
-    extension = blank_to_null("extension_archivo_destino")
-    suffix = F.coalesce(F.when(extension.startswith("."), extension).otherwise(F.concat(F.lit("."), extension)), F.lit(""))
+    check_scheme(source_root, target_root)
     pairs = control.select(
-        below(source_root, F.col("ruta_archivo_fuente"), blank_to_null("nombre_archivo_fuente")).alias("archivo_origen"),
-        below(target_root, F.col("ruta_archivo_destino"), F.concat(blank_to_null("nombre_archivo_destino"), suffix))
-        .alias("archivo_destino"),
-        file_type(F.coalesce(extension, F.col("nombre_archivo_fuente"))).alias("tipo"),
+        below(source_root, F.col("ruta_archivo_fuente"), cleaned("nombre_archivo_fuente")).alias("archivo_origen"),
+        target_below(target_root).alias("archivo_destino"),
+        file_type(F.coalesce(cleaned("extension_archivo_destino"), F.col("nombre_archivo_fuente"))).alias("tipo"),
+        lacking("nombre_archivo_fuente", "nombre_archivo_destino").alias("error_message"),
     )
     # Spread the files: the control rows may all sit in one partition.
-    copied = materialise(copy_files(pairs.repartition("archivo_origen", "archivo_destino")), "landing")
-    landed = copied.join(pairs.distinct(), ["archivo_origen", "archivo_destino"])
-    csv = landed.filter("tipo = 'csv' AND status = 'success'").select("archivo_destino").distinct()
-    # The control table lists the files one by one, so their names can pass the driver.
-    paths = [row.archivo_destino for row in csv.toLocalIterator()]
-    if paths:
-        # Spark reports the percent-encoded URI of a file, the control table its plain path.
-        plain = F.try_url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
-        counts = csv_rows(spark, paths, only=None).withColumn("_file", _without_scheme(plain)).drop("uri")
-        counted = csv.withColumn("_file", _without_scheme(F.col("archivo_destino"))).join(counts, "_file", "left")
-        rows = counted.select("archivo_destino", F.coalesce("rows_read", F.lit(0)).alias("rows_read"))
-        landed = landed.join(rows, "archivo_destino", "left")
-    else:
-        landed = landed.withColumn("rows_read", F.lit(None).cast("bigint"))
+    complete = pairs.filter("error_message IS NULL").drop("error_message").distinct()
+    copied = copy_files(complete.repartition("archivo_origen", "archivo_destino"))
+    refused = pairs.filter("error_message IS NOT NULL").select(
+        "archivo_origen", "archivo_destino", F.lit(0).cast("bigint").alias("bytes_read"), F.lit(None).cast("bigint").alias("rows_read"),
+        F.lit("failed").alias("status"), "error_message",
+    )
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    metrics = landed.withColumn("metric_timestamp_utc", now).select(*FILE_METRIC_SCHEMA.names)
-    return publish_view(metrics, FILE_METRICS_VIEW)
+    metrics = copied.unionByName(refused).withColumn("metric_timestamp_utc", now).select(*FILE_METRIC_SCHEMA.names)
+    return publish_view(materialise(metrics, "landing"), FILE_METRICS_VIEW)

@@ -6,7 +6,10 @@ Row counts are observed by the job that writes, so nothing is scanned twice.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from queue import Empty, SimpleQueue
+from threading import Thread
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,11 +19,19 @@ from .jdbc import Connection, write_jdbc, write_mode
 from .tables import table_exists
 
 
-def counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Run ``write`` on the frame and return how many rows went through."""
-    seen = Observation()
+def counted(df: DataFrame, write: Callable[[DataFrame], None], patience: float = 60.0) -> int:
+    """Run ``write`` on the frame and return how many rows went through.
+
+    Fails if no count has arrived ``patience`` seconds after the write, as then the
+    write ran no action on the frame it was given.
+    """
+    seen, answer = Observation(), SimpleQueue()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return int(seen.get["rows"])
+    Thread(target=lambda: answer.put(seen.get["rows"]), daemon=True).start()
+    try:
+        return int(answer.get(timeout=patience))
+    except Empty:
+        raise RuntimeError("the write ran no action on the rows it was given") from None
 
 
 def output_format(record: Mapping[str, object], default: str = "delta") -> str:
@@ -123,11 +134,13 @@ def publication_rows(index: DataFrame) -> DataFrame:
     return c.require_columns(index, c.PUBLICATION_COLUMNS, "index").select(*c.PUBLICATION_COLUMNS)
 
 
-def without_secrets(text: str, *secrets: str | None) -> str:
-    for secret in secrets:
-        if secret:
-            text = text.replace(secret, "<redacted>")
-    return text
+def failure_kind(error: Exception) -> str:
+    """The error's class, and its condition and SQL state where Spark gives them.
+
+    A driver's own text may repeat the URL and its credentials, so it is left out.
+    """
+    marks = [error.getCondition(), error.getSqlState()] if isinstance(error, PySparkException) else []
+    return " ".join([type(error).__name__, *(mark for mark in marks if mark)])
 
 
 def publish(
@@ -136,12 +149,15 @@ def publish(
     mode: str = "append",
     *,
     connection: Connection | None = None,
+    connections: int = 8,
     write: Callable[[DataFrame, str, str], None] | None = None,
 ) -> dict[str, object]:
     """Write the published columns; return one metric record.
 
     An error becomes a record with status ``error``; raising is up to the
-    caller. By default the target is a JDBC table.
+    caller. By default the target is a JDBC table, written over at most
+    ``connections`` connections. Errors of a database are told by kind only, other
+    targets' with their text.
     """
     record = {"rows_read": 0, "rows_written": 0, "target_table": target, "status": "success", "error_message": None}
     try:
@@ -149,12 +165,12 @@ def publish(
         if write is None:
             if connection is None:
                 raise c.ContractError("a connection is needed to publish over JDBC")
-            write = lambda rows, table, how: write_jdbc(rows, connection, table, how)
+            write = lambda rows, table, how: write_jdbc(rows, connection, table, how, connections)
         rows = counted(publication_rows(index), lambda df: write(df, target, mode))
         return record | {"rows_read": rows, "rows_written": rows}
     except Exception as error:  # any failure of the sink is reported, not raised
-        secrets = (connection.user, connection.password) if connection else ()
-        return record | {"status": "error", "error_message": without_secrets(str(error), *secrets)}
+        told = failure_kind(error) if connection else str(error)
+        return record | {"status": "error", "error_message": told}
 
 
 def publish_to_path(df: DataFrame, target: str, mode: str) -> None:

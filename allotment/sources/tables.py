@@ -37,6 +37,12 @@ def read_roles(spark: SparkSession, tables: Mapping[str, str | DataFrame]) -> di
     }
 
 
+def register_files(spark: SparkSession, name: str, path: str, file_format: str = "parquet", **options: str) -> DataFrame:
+    """Register files under a catalogue name; an earlier registration is replaced, its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.catalog.createTable(name, path=path, source=file_format, **options)
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
     """Register the frame under a fixed name for the next step."""
     df.createOrReplaceTempView(name)

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allotment import contracts as c
-from allotment.operators import control
-from allotment.runtime import scratch_path
+from allotment.operators import control, ranking
+from allotment.plans import run as runs
+from allotment.plans import silver
+from allotment.runtime import materialise, scratch_path
 from allotment.sources import extract
 
 from . import inputs
@@ -268,6 +270,20 @@ def control_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.upsert(target, incoming, now=F.lit("2024-06-01").cast("date"))
 
 
+@query("""SELECT CAST(s_suppkey AS VARCHAR) AS nombre, row_number() OVER (ORDER BY s_suppkey % 7, CAST(s_suppkey AS VARCHAR)) AS puesto
+FROM supplier WHERE s_suppkey % 5 <> 0""")
+def control_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place at which each active load comes."""
+    key = F.col("s_suppkey")
+    loads = inputs.table(spark, sf_dir, "supplier").select(
+        F.lit("VistasSapHana").alias("PropietarioFuente"), key.cast("string").alias("NombreArchivoFuente"),
+        F.when(key % 5 == 0, "no").otherwise("si").alias("Activo"), (key % 7).cast("string").alias("OrdenEjecucion"),
+    )
+    ordered = control.active_loads(control.normalise_control(loads), "VistasSapHana")
+    placed = ordered.select(F.col("nombre_archivo_fuente").alias("nombre"), F.monotonically_increasing_id().alias("at"))
+    return ranking.global_row_number(placed, [F.col("at")], "puesto").select("nombre", "puesto")
+
+
 # --- extraction ------------------------------------------------------------------------
 
 def extract_control(spark: SparkSession) -> DataFrame:
@@ -323,3 +339,48 @@ def extraction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(c.TABLE_METRICS_VIEW).select(
         "source_object", "process_name", "sistema_fuente", "rows_read", "rows_written", "status"
     )
+
+
+def run_of(tag: str, **changes) -> runs.Run:
+    return runs.Run("run-1", "dev", "stock", {}, f"audit_{tag}", f"quality_{tag}", **changes)
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS "EBELN", CAST(o_custkey AS INT) AS "WERKS", NULL::VARCHAR AS "VBELN",
+  'run-1' AS execution_id FROM orders""")
+def bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extract, register what was landed, conform it, and read the Silver table back."""
+    columns = {
+        "MATNR": "'m'", "WERKS": "concat(' ', o_custkey)", "DATE_SQL": "cast(o_orderdate AS string)", "EBELN": "cast(o_orderkey AS string)",
+        "VBELN": "'N/A'", "Cantidad_Pedida": "'1'", "Peso_Pedido": "'1.5'", "PesoLBS_Pedido": "'2'", "Volumen_Pedido_LBS_DOC": "NULL",
+    }
+    chosen = ", ".join(f"{text} AS {name}" for name, text in columns.items())
+    listed = spark.createDataFrame(
+        [("stock", "SapHana", "VistasSapHana", chosen, "tpch", "orders", None, "erp", "orders", "parquet", "full", "1", "1")],
+        ", ".join(f"{legacy[0]} string" for _, legacy in c.CONTROL_COLUMNS.values()),
+    )
+    path = scratch_path(spark, "layers")
+    tag = path.rsplit("-", 1)[1]
+    run = run_of(tag, silver=[runs.SilverStep(f"bronze_{tag}", f"silver_{tag}", silver.orders)])
+    runs.extract(
+        spark, run, listed, "VistasSapHana", "SapHana", path, read=reader(sf_dir), table_name=lambda record: f"bronze_{tag}",
+    )
+    runs.refresh_silver(spark, run)
+    kept = materialise(spark.table(f"silver_{tag}").select("EBELN", "WERKS", "VBELN", "execution_id"), "silver")
+    spark.sql(f"DROP TABLE bronze_{tag}")
+    spark.sql(f"DROP TABLE silver_{tag}")
+    return kept
+
+
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS nombre FROM customer
+WHERE c_custkey % 3 = 0 AND c_custkey % 4 <> 0 AND 20240101 + c_custkey % 300 <= 20240200""")
+def control_run_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of control rows of two processes and systems, with dates, those that a run loads."""
+    key = F.col("c_custkey")
+    rows = inputs.table(spark, sf_dir, "customer").select(
+        F.when(key % 3 == 0, " stock ").otherwise("other").alias("Proceso"),
+        F.when(key % 4 == 0, "sharepoint").otherwise("SapHana").alias("SistemaFuente"),
+        F.lit("VistasSapHana").alias("PropietarioFuente"), key.cast("string").alias("NombreArchivoFuente"),
+        (F.lit(20240101) + key % 300).cast("int").alias("valid_from"), F.lit(20991231).alias("valid_to"),
+    )
+    loads = runs.run_loads(rows, "stock", "SapHana", "VistasSapHana", (20240200, 20240200))
+    return loads.select(F.col("nombre_archivo_fuente").alias("nombre"))

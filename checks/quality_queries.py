@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from allotment.operators import quality, reconcile, records
 from allotment.operators.ranking import rank_by_score
+from allotment.plans import run as runs
 from allotment.plans.index import stamp
 from allotment.runtime import scratch_path
 from allotment.sources import sinks
@@ -120,6 +121,37 @@ def count_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@query("""SELECT 'filled' AS caso, true AS abierta, count(*) > 0 AS leida FROM orders UNION ALL SELECT 'empty', false, true
+UNION ALL SELECT 'mended', true, true UNION ALL SELECT 'NULL in a key', false, true UNION ALL SELECT 'twice a key', false, true
+UNION ALL SELECT 'not comparable', true, true UNION ALL SELECT 'other count', false, true""")
+def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the gate opens, case by case; every attempt is judged by its own results under one execution id."""
+    orders = inputs.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("cod_cliente"), F.col("o_custkey").alias("prioridad"), F.lit("N").alias("Estatus")
+    )
+    tag = scratch_path(spark, "gate").rsplit("-", 1)[1]
+    nulls = orders.withColumn("prioridad", F.when(F.col("cod_cliente") % 1000 != 1, F.col("prioridad")))
+    cases = [
+        ("filled", orders, None), ("empty", orders.filter("false"), None), ("mended", orders, None), ("NULL in a key", nulls, None),
+        ("twice a key", orders.unionByName(orders), None), ("not comparable", orders, f"none_{tag}"), ("other count", orders, f"lines_{tag}"),
+    ]
+    inputs.table(spark, sf_dir, "lineitem").createOrReplaceTempView(f"lines_{tag}")
+    verdicts = []
+    for name, gold, compared in cases:
+        gold.createOrReplaceTempView(f"gold_{tag}")
+        run = runs.Run("it's one id", "dev", "stock", {"index": f"gold_{tag}"}, f"audit_{tag}", f"log_{tag}", comparison_table=compared)
+        try:
+            runs.check(spark, run)
+            verdicts.append((name, True))
+        except runs.GateClosed:
+            verdicts.append((name, False))
+    logged = spark.table(f"log_{tag}").select("execution_id").distinct().count() == 1
+    spark.sql(f"DROP TABLE log_{tag}")
+    for view in (f"gold_{tag}", f"lines_{tag}"):
+        spark.catalog.dropTempView(view)
+    return spark.createDataFrame([(name, verdict, logged) for name, verdict in verdicts], "caso string, abierta boolean, leida boolean")
+
+
 # --- audit --------------------------------------------------------------------------
 
 AUDIT = {

@@ -128,11 +128,17 @@ def csv_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(copied, "pais").select("pais", "tipo", "rows_read", (F.col("found") == F.col("copied")).alias("mismo_tamano"))
 
 
-@query("""SELECT c_nationkey AS pais, CAST(count(*) AS BIGINT) AS rows_read, 0 AS fallidos FROM customer GROUP BY ALL
-UNION ALL SELECT -1, NULL, 1""")
+@query("""SELECT c_nationkey AS pais, CAST(count(*) AS BIGINT) AS rows_read, 0 AS fallidos, NULL::VARCHAR AS error FROM customer GROUP BY ALL
+UNION ALL SELECT -1, NULL, 1, NULL UNION ALL SELECT -2, 0, 0, NULL
+UNION ALL SELECT -3, NULL, 1, 'control row lacks nombre_archivo_destino'""")
 def file_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as CSV files, landed one by one as a control frame lists them; one listed file is missing."""
+    """Customers as CSV files, landed one by one as a control frame lists them below a ``file:///`` root.
+
+    One listed file is missing, one is empty, and one row lacks its target's name.
+    """
     source, target = scratch_path(spark, "portal"), scratch_path(spark, "landed")
+    if source.startswith("/"):
+        source = f"file://{source}"
     customers = inputs.table(spark, sf_dir, "customer").withColumn("pais", F.col("c_nationkey"))
     customers.write.partitionBy("pais").option("header", "true").csv(source)
     parts = F.split(F.col("archivo_origen"), "/")
@@ -142,13 +148,16 @@ def file_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(parts, -2).alias("RutaArchivoDestino"),
         F.regexp_replace(F.element_at(parts, -1), r"[.]csv$", "").alias("NombreArchivoDestino"),
     )
-    missing = listed.limit(1).select(
-        F.lit("pais=-1").alias("RutaArchivoFuente"), F.lit("none.csv").alias("NombreArchivoFuente"),
-        F.lit("pais=-1").alias("RutaArchivoDestino"), F.lit("none").alias("NombreArchivoDestino"),
+    empty = spark._jvm.org.apache.hadoop.fs.Path(f"{source}/pais=-2/empty.csv")
+    empty.getFileSystem(spark._jsc.hadoopConfiguration()).create(empty).close()
+    odd = spark.createDataFrame(
+        [("pais=-1", "none.csv", "pais=-1", "none"), ("pais=-2", "empty.csv", "pais=-2", "empty"), ("pais=-3", "none.csv", "pais=-3", " ")],
+        listed.schema,
     )
-    rows = listed.unionByName(missing).withColumn("ExtencionArchivoDestino", F.lit(".csv"))
+    rows = listed.unionByName(odd).withColumn("ExtencionArchivoDestino", F.lit(".csv"))
     metrics = files.land_controlled(spark, normalise_control(rows), source, target)
     country = F.regexp_extract("archivo_origen", r"pais=(-?\d+)", 1).cast("int")
     return metrics.groupBy(country.alias("pais")).agg(
-        F.sum("rows_read").alias("rows_read"), F.count_if(F.col("status") == "failed").cast("int").alias("fallidos")
+        F.sum("rows_read").alias("rows_read"), F.count_if(F.col("status") == "failed").cast("int").alias("fallidos"),
+        F.max(F.when(F.col("error_message").startswith("control row"), F.col("error_message"))).alias("error"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from allotment import contracts as c
 from allotment.operators import control
-from allotment.sources import extract, files, jdbc, sinks, tables
+from allotment.sources import extract, files, jdbc, paths, sinks, tables
 
 from .plans import formatted
 from .test_control import legacy
@@ -98,12 +98,31 @@ def test_failing_publication_is_a_record_without_secrets(spark):
     index = spark.createDataFrame([("a", 1, "N", None)], "cod_cliente string, prioridad bigint, Estatus string, create_timestamp timestamp")
     record = sinks.publish(index, "dbo.t", "append", connection=LINK, write=fail)
     assert record["status"] == "error" and record["rows_written"] == 0
-    assert "s3cret" not in record["error_message"] and "<redacted>" in record["error_message"]
+    assert record["error_message"] == "RuntimeError"
     assert sinks.publish(index, "t", "replace", write=fail)["status"] == "error"
     assert "Estatus" in sinks.publish(index.drop("Estatus"), "t", write=fail)["error_message"]
     assert sinks.publish(index, "t")["status"] == "error"
 
 
+def test_publication_bounds_its_connections(spark, monkeypatch):
+    seen = []
+
+    def write(rows, connection, table, mode, connections):
+        rows.count()
+        seen.append((table, mode, connections))
+
+    monkeypatch.setattr(sinks, "write_jdbc", write)
+    index = spark.createDataFrame([("a", 1, "N", None)], "cod_cliente string, prioridad bigint, Estatus string, create_timestamp timestamp")
+    assert sinks.publish(index, "t", connection=LINK)["rows_written"] == 1
+    assert sinks.publish(index, "t", "overwrite", connection=LINK, connections=3)["status"] == "success"
+    assert seen == [("t", "append", 8), ("t", "overwrite", 3)]
+
+
+def test_a_write_without_an_action_fails(spark):
+    with pytest.raises(RuntimeError, match="no action"):
+        sinks.counted(spark.range(3), lambda rows: None, patience=1.0)
+
+
 def test_publication(spark, tmp_path):
     target = str(tmp_path / "published")
     index = spark.range(7).select(
@@ -190,7 +209,9 @@ def test_database_reader_splits_by_object(monkeypatch):
     seen = []
     monkeypatch.setattr(extract, "read_jdbc", lambda spark, link, **source: seen.append(source))
     split = jdbc.Split("id", 0, 10, 4)
-    read_object = extract.read_database(LINK, {"s.t": split})
+    with pytest.raises(c.ContractError, match="no split for s.u"):
+        extract.read_database(LINK, {"s.t": split})(None, RECORD | {"nombre_archivo_fuente": "u"})
+    read_object = extract.read_database(LINK, {"s.t": split}, one_task=True)
     read_object(None, RECORD)
     read_object(None, RECORD | {"nombre_archivo_fuente": "u"})
     assert seen == [{"table": "s.t", "split": split}, {"table": "s.u", "split": None}]
@@ -213,10 +234,21 @@ def test_extract_pushes_columns_and_filter_down(spark, tmp_path):
     assert "GreaterThanOrEqual(a,1)" in plan and "ReadSchema: struct<a:int,b:int>" in plan
 
 
-def test_target_path():
-    record = {"ruta_archivo_destino": "/sap/x/", "nombre_archivo_destino": "f", "extension_archivo_destino": "parquet"}
-    assert extract.target_path("abfss://b@s/", record) == "abfss://b@s/sap/x/f.parquet"
-    assert extract.target_path("/r", record | {"ruta_archivo_destino": None, "extension_archivo_destino": ""}) == "/r/f"
+def test_target_path(spark):
+    rows = spark.createDataFrame(
+        [("/sap/x/", "f", "parquet"), (None, " f ", ""), ("a", "f", ".csv"), ("a", " ", "csv")],
+        "ruta_archivo_destino string, nombre_archivo_destino string, extension_archivo_destino string",
+    )
+    found = rows.select(paths.target_below("abfss://b@s/"), paths.lacking("nombre_archivo_destino", "ruta_archivo_destino")).collect()
+    assert [r[0] for r in found][:3] == ["abfss://b@s/sap/x/f.parquet", "abfss://b@s/f", "abfss://b@s/a/f.csv"]
+    assert [r[1] for r in found] == [None, "control row lacks ruta_archivo_destino", None, "control row lacks nombre_archivo_destino"]
+
+
+def test_schemes_that_cannot_be_copied():
+    paths.check_scheme("/a", "file:///a", "hdfs://h:1/a", "abfss://c@s/a", "a b:c")
+    for root in ("dbfs:/x", "s3a://b/x"):
+        with pytest.raises(c.ContractError, match="not " + root.split(":")[0]):
+            paths.check_scheme("/a", root)
 
 
 def loads(spark, *names):
@@ -297,16 +329,16 @@ def test_inventory(spark, folder):
     kinds = {"xlsx": "excel", "xls": "excel", "csv": "csv"}
     assert found == {
         name: (kinds.get(name.rsplit(".")[-1].lower(), "binary"), len(content), expected_rows(name, content))
-        for name, content in CONTENTS.items() if content
+        for name, content in CONTENTS.items()
     }
 
 
-def test_inventory_lists_expected_empty_files(spark, folder):
-    expected = spark.createDataFrame([(f"file:{folder}/empty.csv",), (f"file:{folder}/notes.pdf",)], "archivo_origen string")
+def test_inventory_lists_expected_files(spark, folder):
+    expected = spark.createDataFrame([(f"file:{folder}/gone.csv",), (f"file:{folder}/notes.pdf",)], "archivo_origen string")
     found = files.inventory(spark, str(folder), expected)
-    assert found.count() == len(CONTENTS)
-    empty = found.filter(F.col("archivo_origen").endswith("empty.csv")).first()
-    assert (empty.tipo, empty.bytes_read, empty.rows_read) == ("csv", 0, 0)
+    assert found.count() == len(CONTENTS) + 1
+    gone = found.filter(F.col("archivo_origen").endswith("gone.csv")).first()
+    assert (gone.tipo, gone.bytes_read, gone.rows_read) == ("csv", 0, 0)
 
 
 def test_inventory_without_csv(spark, tmp_path):
@@ -317,14 +349,15 @@ def test_inventory_without_csv(spark, tmp_path):
 def test_land_copies_the_bytes(spark, folder, tmp_path):
     target = tmp_path / "bronze"
     landed = files.land(spark, str(folder), str(target)).collect()
+    assert len(landed) == len(CONTENTS)
     assert sum(r.bytes_read for r in landed) == sum(map(len, CONTENTS.values()))
     assert {r.status for r in landed} == {"success"}
     for name, content in CONTENTS.items():
-        if content:
-            assert (target / name).read_bytes() == content
+        assert (target / name).read_bytes() == content
     assert not [f for _, _, names in os.walk(target) for f in names if f.endswith(".partial")]
-    again = files.land(spark, f"file:{folder}", f"file:{target}").collect()
-    assert len(again) == len(landed)
+    for spelling in ("file:", "file://"):
+        again = files.land(spark, f"{spelling}{folder}/", f"{spelling}{target}").collect()
+        assert {r.archivo_destino.split("bronze/")[1] for r in again} == set(CONTENTS)
 
 
 def test_controlled_landing(spark, folder, tmp_path):
@@ -332,7 +365,7 @@ def test_controlled_landing(spark, folder, tmp_path):
     files_listed = [
         ("two rows.csv", "a+b %41 rows", ".csv"), ("crlf.CSV", "crlf", "csv"), ("crlf.CSV", "crlf2", ".CSV"), ("empty.csv", "empty", ".csv"),
         ("book.xlsx", "book", ".xlsx"), ("lost.csv", "lost", ".csv"), ("notes.pdf", "notes", ""),
-        ("only_header.csv", "plain", None),
+        ("only_header.csv", "plain", None), ("notes.pdf", " ", ".pdf"),
     ]
     frames = [
         legacy(spark, RutaArchivoFuente="/sub/" if source == "crlf.CSV" else "", NombreArchivoFuente=source, RutaArchivoDestino="/portal/x/",
@@ -344,6 +377,10 @@ def test_controlled_landing(spark, folder, tmp_path):
         listed = listed.unionByName(frame)
     metrics = files.land_controlled(spark, control.normalise_control(listed), str(folder), str(target))
     assert metrics.schema.names == c.FILE_METRIC_SCHEMA.names
+    refused = metrics.filter("archivo_destino NOT LIKE '%/portal/x/%'").collect()
+    assert [(r.status, r.error_message) for r in refused] == [("failed", "control row lacks nombre_archivo_destino")]
+    assert not (target / "portal/x").is_file()
+    metrics = metrics.filter("archivo_destino LIKE '%/portal/x/%'")
     found = {r.archivo_destino.split("/portal/x/")[1]: (r.status, r.bytes_read, r.rows_read) for r in metrics.collect()}
     size = lambda name: len(CONTENTS[name])
     assert found == {
