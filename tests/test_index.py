@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -204,12 +203,21 @@ def test_no_rows_in_the_window(spark):
     assert run(spark, [sale("A", 1, 1, 1, 2000)], [customer("A")]) == []
 
 
-def test_double_money_is_summed_exactly(spark):
-    inputs = frames(spark, [sale("A", 5, "0.1", "0.3")] * 3, [customer("A")])
-    for name in ("cc_utilidad_bruta", "valor_neto"):
-        inputs["profitability"] = inputs["profitability"].withColumn(name, F.col(name).cast("double"))
-    months = index.window_months(inputs).first()
-    assert (months.margen_bruto, months.venta_neta) == (Decimal("0.3000"), Decimal("0.9000"))
+def test_double_amounts_keep_their_digits(spark):
+    inputs = frames(spark, [sale(k, 5, "0.1", "0.3") for k in ("A", "A", "B", "C")], [customer("A")])
+    amounts = {"A": 0.00004, "B": 1e15, "C": float("nan")}
+    value = F.create_map(*[F.lit(x) for pair in amounts.items() for x in pair])[F.col("cod_cliente")]
+    inputs["profitability"] = inputs["profitability"].withColumns({"cc_utilidad_bruta": value, "valor_neto": value})
+    months = {r.cod_cliente: r.margen_bruto for r in index.window_months(inputs).collect()}
+    assert (months["A"], months["B"]) == (0.00008, 1e15) and months["C"] != months["C"]
+
+
+def test_different_scores_are_different_ranks(spark):
+    inputs = frames(spark, [sale("A", 5, 1, 1), sale("B", 5, 1, 1)], [customer("A"), customer("B")])
+    tiny = F.when(F.col("cod_cliente") == "B", 1.0 + 4e-10).otherwise(1.0)
+    inputs["profitability"] = inputs["profitability"].withColumns({"cc_utilidad_bruta": tiny, "valor_neto": F.lit(1.0)})
+    names = lambda digits: [r.cod_cliente for r in index.priority_index(inputs, index.IndexOptions(digits=digits)).orderBy("prioridad").collect()]
+    assert names(None) == ["B", "A"] and names(9) == ["A", "B"]
 
 
 def test_missing_role_and_column_are_named(spark):
