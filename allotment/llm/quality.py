@@ -132,6 +132,8 @@ def judged(
         F.col("host").alias("_host"), F.col("path").alias("_path"), F.col("mass").alias("_mass"), F.col("n").alias("_n"),
         F.col("host_rate").alias("_rate"), k_path.alias("_k"),
     )
+    # As written, the rates' true size tells the planner whether the texts have to move for the join.
+    rates = scratch.write(rates, "rates")
     rows = docs.select(
         F.struct("*").alias("row"), F.col(host).cast("string").alias("host"), F.col(path).cast("string").alias("path"),
         binned(F.col(text).cast("string")).alias("bins"),
