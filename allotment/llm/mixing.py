@@ -161,13 +161,15 @@ def mix(
 def mixed_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of ``docs`` themselves, each as often as ``mix`` takes it, with all their columns."""
     same_id = Window.partitionBy("id").orderBy("source", "size", "mark")
+    name = lambda column: F.coalesce(F.col(column).cast("long").cast("string"), F.lit("NULL"))
     taken = mix(docs, id, text, source, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_number"), "copies"
+        name("doc_id").alias("id"), F.col("row").alias("_number"), "copies"
     )
     numbered = docs.select(
-        F.struct("*").alias("row"), F.col(id).cast("long").alias("id"), F.col(source).cast("string").alias("source"),
+        F.struct("*").alias("row"), name(id).alias("id"), F.col(source).cast("string").alias("source"),
         words_in(F.col(text)).alias("size"), F.xxhash64(text).alias("mark"),
     ).withColumn("number", F.row_number().over(same_id))
-    joined = numbered.join(taken, F.col("id").eqNullSafe(F.col("_id")) & (F.col("number") == F.col("_number")))
+    # The id alone is the key, as the rows lie by it already: the texts are shuffled once.
+    joined = numbered.join(taken, "id").where((F.col("number") <= F.col("_number")) & (F.col("number") >= F.col("_number")))
     copies = joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return copies.select(*[F.col("row")[c].alias(c) for c in docs.columns])
