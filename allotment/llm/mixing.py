@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,8 @@ from .tables import Scratch
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that one task pairs at the leaves, and groups that meet in one group on each level above.
 LEAF, FAN = 2048, 1024
+#: Open documents of a source, one of each size class, that are settled together at the end.
+TOGETHER = 14
 
 
 def words_in(text: Column) -> Column:
@@ -50,15 +53,14 @@ def source_targets(
         level = risen
 
 
-def pivot(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
-    """Settle a group's fractional copies pair by pair; at most one stays open, none if ``last``.
+def pivot(rows: pd.DataFrame) -> pd.DataFrame:
+    """Settle a group's fractional copies pair by pair; at most one stays open.
 
     ``rows``: ``doc_id``, ``size``, ``mass`` (words still open: between 0 and the
     size). Of two open documents a random amount of mass moves from one to the other,
     the most that either direction allows, with the odds that keep both expectations;
-    one of them gets all its words or none. So the group's words stay the same but for
-    the document that is open at the very end, which goes to the nearer side. Long
-    documents come first, so that this one is seldom long. Chance is a hash of the ids.
+    one of them gets all its words or none. So the group's words stay the same. Long
+    documents come first. Chance is a hash of the ids.
     """
     rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", na_position="last").reset_index(drop=True)
     sizes, masses, extra = rows["size"].tolist(), rows["mass"].tolist(), [None] * len(rows)
@@ -83,11 +85,29 @@ def pivot(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
             first, second = (0 if empty else None), (1 if full else None)
         extra[held], extra[k] = first, second
         held = held if first is None else k if second is None else None
-    if last and held is not None:
-        extra[held] = int(sizes[held] <= 2 * masses[held])
     return rows.assign(mass=masses, extra=pd.array(extra, dtype="Int64"))
 
 
+def close(rows: pd.DataFrame) -> pd.DataFrame:
+    """Settle what the trees of a source's size classes left open: few documents, of different sizes.
+
+    Of all choices among the ``TOGETHER`` longest of them the one that comes nearest to
+    their open mass; shorter ones follow one by one, each going to the nearer side.
+    """
+    rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable", na_position="last").reset_index(drop=True)
+    sizes, left = rows["size"].to_numpy(), float(rows["mass"].sum())
+    sums = np.zeros(1)
+    for size in sizes[:TOGETHER]:
+        sums = np.r_[sums, sums + size]
+    best = int(np.argmin(np.abs(sums - left)))
+    extra = [best >> k & 1 for k in range(min(len(sizes), TOGETHER))]
+    left -= sums[best]
+    for size in sizes[TOGETHER:]:
+        extra.append(int(size <= 2 * left))
+        left -= extra[-1] * size
+    return rows.assign(mass=0.0, extra=pd.array(extra, dtype="Int64"))
+
+
 def mix(
     docs: DataFrame,
     id: str = "doc_id",
@@ -103,12 +123,14 @@ def mix(
 
     ``size`` is the text's number of words (NULL text: 0). A document's expected
     copies are its source's target over its source's size (see ``source_targets``):
-    the whole part is taken, the fractional part settled by ``pivot``, first in
-    groups of about ``leaf`` documents of a source, dealt by a hash of the id, then
-    what each group left open in groups of ``fan`` groups, and so on up a tree, so
-    that no task sees more than that of a hot source. ``copies`` is at most ``most``,
-    ``taken`` the copies times the size; a source's taken words miss its target by
-    half a document at most. Reruns agree. Documents without words are taken as often
+    the whole part is taken, the fractional part settled by ``pivot``. Documents of a
+    source whose size has the same power of two as its floor are a class. Each class is
+    first settled in groups of at most about ``leaf`` documents, dealt by a hash of the
+    id, then what each group left open in groups of ``fan`` groups, and so on up a tree,
+    so that no task sees more than that of a hot source. At the root one document of each
+    class is open, and ``close`` settles these. ``copies`` is at most ``most``, ``taken``
+    the copies times the size; a source's taken words miss its target by no more than
+    half of one such document, and mostly by few words. Reruns agree. Documents without words are taken as often
     as the whole part says and add nothing. A NULL source is a source, a NULL id an
     id of its own; ids should mostly differ, as equal ones fall into one group.
     ``row`` numbers the rows of one id, in the order of source, size and text hash.
@@ -130,7 +152,7 @@ def mix(
         F.floor(rate).cast("long").alias("whole"), (rate - F.floor(rate)).alias("part"),
     )
     rows = sized.join(shared, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "place", "groups", F.pmod(F.xxhash64("doc_id"), F.col("groups")).alias("group"),
+        "place", F.floor(F.log2(F.greatest("size", F.lit(1)))).alias("kind"), F.pmod(F.xxhash64("doc_id"), F.col("groups")).alias("group"),
         "doc_id", "row", "size", "whole", (F.col("size") * F.col("part")).alias("mass"), F.lit(None).cast("long").alias("extra"),
     )
     columns = rows.columns
@@ -138,17 +160,14 @@ def mix(
     open_rows, settled = rows.where(is_open), [rows.where(~is_open).withColumn("extra", F.lit(0).cast("long"))]
     top = sources.agg(F.max(groups)).first()[0] or 0
 
-    def settle(group: pd.DataFrame) -> pd.DataFrame:
-        return pivot(group, last=bool(group["groups"].iloc[0] == 1))[columns]
-
     level = 0
     while top:
-        done = scratch.write(open_rows.groupBy("place", "group").applyInPandas(settle, rows.schema), f"level{level}")
+        tree = open_rows.groupBy("place", "kind", "group").applyInPandas(lambda group: pivot(group)[columns], rows.schema)
+        done = scratch.write(tree, f"level{level}")
         settled.append(done.where("extra is not null"))
-        open_rows = done.where("extra is null").withColumns({
-            "group": F.floor(F.col("group") / fan).cast("long"), "groups": F.ceil(F.col("groups") / F.lit(fan)).cast("long")
-        })
+        open_rows = done.where("extra is null").withColumn("group", F.floor(F.col("group") / fan).cast("long"))
         top, level = (-(-top // fan) if top > 1 else 0), level + 1
+    settled.append(open_rows.groupBy("place").applyInPandas(lambda group: close(group)[columns], rows.schema))
     result = settled[0]
     for more in settled[1:]:
         result = result.union(more)

@@ -6,7 +6,7 @@ from collections import Counter
 import pandas as pd
 import pytest
 
-from allotment.llm.mixing import mix, mixed_rows, pivot, source_targets
+from allotment.llm.mixing import close, mix, mixed_rows, pivot, source_targets
 
 from . import frames
 
@@ -36,14 +36,14 @@ def test_pivot_keeps_mass_and_expectation():
     random.seed(1)
     rows = pd.DataFrame({"doc_id": range(500), "size": [random.randint(1, 400) for _ in range(500)]})
     rows["mass"] = rows["size"] * 0.3
-    out = pivot(rows, last=False)
+    out = pivot(rows)
     still = out["extra"].isna().sum()
     taken = (out["size"] * out["extra"].fillna(0)).sum() + out.loc[out["extra"].isna(), "mass"].sum()
     assert still <= 1 and taken == pytest.approx(rows["mass"].sum())
     shares = []
     for shift in range(200):
-        out = pivot(rows.head(40).assign(doc_id=lambda d, s=shift: d["doc_id"] + 1000 * s), last=True)
-        shares.append(out["extra"].astype(float).mean())
+        out = pivot(rows.head(40).assign(doc_id=lambda d, s=shift: d["doc_id"] + 1000 * s))
+        shares.append((out["extra"].astype(float).fillna(out["mass"] / out["size"])).mean())
     assert sum(shares) / len(shares) == pytest.approx(0.3, abs=0.03)
 
 
@@ -60,7 +60,22 @@ def test_sources_come_near_their_targets(spark, leaf, fan):
         taken[source] += r.taken
         target[source] = r.target
         assert r.size == len(rows[r.doc_id][1].split()) and r.taken == r.copies * r.size and 0 <= r.copies <= 3
-    assert all(abs(taken[s] - target[s]) <= 30.5 for s in target)
+    assert all(abs(taken[s] - target[s]) <= 3 for s in target)
+
+
+def test_close_comes_nearest():
+    random.seed(2)
+    for n in (1, 2, 5, 12, 30):
+        sizes = [random.randint(1, 1 << (k % 14 + 1)) for k in range(n)]
+        rows = pd.DataFrame({"doc_id": range(n), "size": sizes})
+        rows["mass"] = rows["size"] * 0.37
+        out = close(rows)
+        miss = abs((out["size"] * out["extra"].astype(int)).sum() - rows["mass"].sum())
+        if n <= 12:
+            assert miss == pytest.approx(min(
+                abs(sum(s for k, s in enumerate(sizes) if choice >> k & 1) - rows["mass"].sum()) for choice in range(1 << n)
+            ))
+        assert miss <= max(sizes) / 2
 
 
 def test_edges(spark):
