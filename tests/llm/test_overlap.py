@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+from itertools import combinations
+
+import pytest
+
+import corpus_pipeline as pipeline
+from allotment.llm.overlap import keys_of, shingles, similar_documents
+from allotment.llm.simhash import fingerprint
+
+from . import frames
+from .test_simhash import components
+
+
+def five(text: str | None) -> frozenset:
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(len(words) - 4, min(len(words), 1))))
+
+
+def similar(x: frozenset, y: frozenset) -> bool:
+    return x == y or 5 * len(x & y) >= 4 * len(x | y)
+
+
+def corpus() -> list:
+    random.seed(8)
+    rows = []
+    for group in range(25):
+        text = [f"w{random.randrange(5000)}" for _ in range(random.choice([6, 30, 120, 400]))]
+        for _ in range(random.randint(1, 6)):
+            rows.append((len(rows), " ".join(text), "en", "a"))
+            text = list(text)
+            for _ in range(random.choice([0, 1, len(text) // 60, len(text) // 40])):
+                text[random.randrange(len(text))] = f"v{random.randrange(5000)}"
+    random.shuffle(rows)
+    return rows
+
+
+def test_shingles():
+    assert len(shingles(None)) == len(shingles(b" \n")) == 0 and keys_of(shingles(b"")) == []
+    assert len(shingles(b"a b c")) == 1 and len(shingles(b"a b c d e f")) == 2
+    assert list(shingles(b"A b\tc d e")) == list(shingles(b"a B c D  e"))
+    assert len(shingles(b"a " * 100)) == 1
+
+
+def test_groups_agree_with_brute_force(spark):
+    rows = corpus() + [(1000 + i if i is not None else None, *rest) for i, *rest in frames.EDGES]
+    sets = [five(t) for _, t, *_ in rows]
+    edges = [(a, b) for a, b in combinations(range(len(rows)), 2) if similar(sets[a], sets[b])]
+    of = components(range(len(rows)), edges)
+    want = Counter()
+    for k, (i, *_) in enumerate(rows):
+        ids = [rows[j][0] for j in of if of[j] == of[k] and rows[j][0] is not None]
+        want[(i, min(ids, default=None))] += 1
+    out = similar_documents(frames.docs(spark, rows)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in out) == want
+
+
+def test_stage_drops_copies_whose_fingerprints_differ(spark):
+    """Copies of similarity 0.8 and more; most are over four bits apart."""
+    random.seed(2)
+    rows, far = [], 0
+    for k in range(30):
+        words = [f"w{random.randrange(5000)}" for _ in range(200)]
+        copy = [*words]
+        copy[50], copy[120], copy[160] = "x", "y", "z"  # 15 of 196 shingles differ
+        rows += [(2 * k, " ".join(words), "en", "a"), (2 * k + 1, " ".join(copy), "en", "a")]
+        assert similar(five(rows[-1][1]), five(rows[-2][1]))
+        far += (fingerprint(rows[-1][1].encode()) ^ fingerprint(rows[-2][1].encode())).bit_count() > 4
+    assert far > 10
+    out = pipeline.keep_one_of_each(spark, frames.docs(spark, rows), "")
+    assert sorted(r.doc_id for r in out.collect()) == list(range(0, 60, 2))
+
+
+def test_less_similar_texts_stay(spark):
+    words = [f"w{k}" for k in range(104)]  # 100 shingles
+    rows = [(1, " ".join(words), "en", "a")]
+    for k, cut in enumerate((80, 81)):  # 80 and 79.x of all
+        rows.append((2 + k, " ".join(words[: cut + 3]), "en", "a"))
+    out = {r.doc_id: r.component_id for r in similar_documents(frames.docs(spark, [rows[0], rows[1]])).collect()}
+    assert out == {1: 1, 2: 2}
+    out = {r.doc_id: r.component_id for r in similar_documents(frames.docs(spark, [rows[0], rows[2]])).collect()}
+    assert out == {1: 1, 3: 1}
+
+
+def test_empty(spark):
+    assert similar_documents(frames.docs(spark, [])).count() == 0
