@@ -61,7 +61,7 @@ def labelled_samples(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
 
     The documents are the first by MD5 of their id (ties by the text), so the sample does
     not depend on the layout; a bound on the MD5, from the number of rows, leaves all but
-    some of the others where they are. Matches of the base patterns are taken out of them. Random strings are
+    some of the others where they are, unless too few rows pass it. Matches of the base patterns are taken out of them. Random strings are
     SHA-256 digests in hexadecimal, in Base64, and as capitals and digits.
     """
     key = F.md5(F.coalesce(F.col(id).cast("string"), F.lit("")))
@@ -69,7 +69,9 @@ def labelled_samples(docs: DataFrame, id: str = "doc_id", text: str = "text", *,
     keyed = docs.select(key.alias("key"), plain.alias("text"))
     count = docs.count()
     if count > 2 * documents:  # about twice as many as wanted are sorted, not all
-        keyed = keyed.where(F.col("key") < f"{2 * documents * 16**12 // count:012x}")
+        bounded = keyed.where(F.col("key") < f"{2 * documents * 16**12 // count:012x}")
+        if bounded.select("key").limit(documents).count() == documents:  # not so with few different ids
+            keyed = bounded
     chosen = keyed.orderBy("key", "text").limit(documents)
     cleaned = F.col("text")
     for _, pattern, _, _ in BASE[:2]:

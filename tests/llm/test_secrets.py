@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,3 +77,12 @@ def test_edges(spark):
 def test_main_path_is_native(spark):
     plan = secrets.find_secrets(frames.docs(spark, frames.EDGES))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("ids", [[None], [7], [None, 7, 8]])
+def test_sample_is_whole_with_few_different_ids(spark, ids):
+    """Rows whose ids share a large MD5 do not fall under the bound."""
+    rows = [(ids[k % len(ids)], f"word{k:04d}", "en", "a") for k in range(300)]
+    sample = secrets.labelled_samples(frames.docs(spark, rows), documents=20).where("not is_random")
+    key = lambda r: (md5(("" if r[0] is None else str(r[0])).encode()).hexdigest(), r[1])
+    assert sorted(r.text for r in sample.collect()) == sorted(r[1] for r in sorted(rows, key=key)[:20])
