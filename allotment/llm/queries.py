@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import aligned
 from .bpe import encode_decode
 from .brown import score_held_out
 from .caps import near_vectors
 from .chat import CONTROL, END, MARKS, TURN, format_conversations, loss_text, turns_of
+from .divergence import divergences
 from .html import extract
 from .mixing import mix
 from .quality import judged
@@ -19,6 +21,7 @@ from .secrets import ALPHABET, BASE, LEAST, MEAN, MODEL, SAMPLE_DIGESTS, SAMPLE_
 from .simhash import near_duplicates
 from .tables import read
 from .topk import exact_top_k, quantised
+from .toxicity import learnt, scored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -185,8 +188,58 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).drop("copies", "row")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergences(read(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+t AS (SELECT n, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS all_times FROM t GROUP BY ALL HAVING count(DISTINCT n) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(all_times) AS n FROM kept GROUP BY lang),
+cell AS (SELECT lang, source, term, count(*) AS times FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM d),
+sized AS (SELECT lang, source, coalesce(sum(times), 0) AS n FROM grp LEFT JOIN cell USING (lang, source) GROUP BY ALL),
+grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.times, 0) AS times,
+    1 + (1000000000::HUGEINT * (coalesce(c.times, 0) + 5)) // (g.n + 5 * l.v) AS p, 1 + (1000000000::HUGEINT * (k.all_times + 5)) // (l.n + 5 * l.v) AS q
+  FROM sized g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN cell c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+),
+both_parts AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM grid WHERE times > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM both_parts QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from labels of ids whose crc32 mod 4 is not 2; a document without an id counts as not held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4))
+    told = scored(docs, learnt(docs, labels, fold != 2))
+    return told.select("doc_id", (fold == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_exact_top_k, op3_html_extraction, op4_secret_scan, op5_brown_lm_scoring, op6_chat_format, op7_embedding_near_dedup,
-    op8_quality_classifier, op9_bpe_round_trip, op10_source_mixing,
+    op8_quality_classifier, op9_bpe_round_trip, op10_source_mixing, op11_source_divergence, op12_tokenizer_alignment, op13_toxicity,
 )}
-ORACLES: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL}
+ORACLES: dict[str, str] = {"op2_exact_top_k": OP2_SQL, "op4_secret_scan": _op4_sql(), "op6_chat_format": OP6_SQL, "op11_source_divergence": OP11_SQL}
