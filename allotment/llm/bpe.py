@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -20,7 +20,7 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N
 # Runs that no piece crosses: a word with the space before it, or white space.
 RUNS = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
-#: Runs remembered per task, and the longest run worth remembering.
+#: Runs, pieces and pairs of tokens in each generation that a worker remembers, and the longest run worth remembering.
 REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 #: Characters split at once, rows that a task holds at once.
 STRETCH, ROWS = 1 << 20, 512
@@ -75,7 +75,8 @@ class Vocabulary:
         )
         self.packed = [id.to_bytes(4, "little") for id in range(size)]
         self.right, self.left = (lru_cache(maxsize=None)(lambda id, side=side: self._edge(id, side)) for side in (1, 0))
-        self.memory, self.pairs = _Memory(self), _Pairs(self)
+        self.memory, self.pieces = (_Generations(work, REMEMBERED_CHARS) for work in (self.run_ids, self.piece_ids))
+        self.pairs = _Generations(lambda pair: self.compatible(*pair))
         lengths = np.fromiter(map(len, self.tokens), dtype=np.int64, count=size)
         self.offsets = np.concatenate([[0], np.cumsum(lengths)])
         self.blob = np.frombuffer(b"".join(self.tokens), dtype=np.uint8)
@@ -134,6 +135,15 @@ class Vocabulary:
                 return taken
             id = next(longest(word, at))[1]
 
+    def run_ids(self, run: str) -> bytes:
+        """The packed tokens of one run."""
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(run)))
+
+    def piece_ids(self, piece: str) -> bytes:
+        packed = self.packed
+        word = piece if piece.isascii() else piece.encode().decode("latin-1")
+        return b"".join([packed[id] for id in self.piece(word)])
+
     def _stretches(self, text: str) -> Iterator[str]:
         """The text in parts that end where pieces end, so that a long text needs little memory."""
         start = 0
@@ -170,36 +180,33 @@ class Vocabulary:
         return b"".join(parts)
 
 
-class _Pairs(dict):
-    """The pair table: (token, next token) -> compatible; starts anew when it is full."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, pair: tuple[int, int]) -> bool:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[pair] = fits = self.vocabulary.compatible(*pair)
-        return fits
+class _Generations(dict):
+    """Worked-out values in two generations of bounded size.
 
+    When the young one is full it becomes the old one. A value that is still asked for
+    moves to the new young one, so frequent keys are never worked out again.
+    """
 
-class _Memory(dict):
-    """Run -> its packed ids; starts anew when it is full."""
-
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, work: Callable, longest: float = float("inf")):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.work, self.longest, self.old = work, longest, {}
 
-    def __missing__(self, run: str) -> bytes:
-        words = self.vocabulary
-        pieces = words.split.findall(run)
-        packed = b"".join([words.packed[id] for p in pieces for id in words.piece(p.encode().decode("latin-1"))])
-        if len(run) <= REMEMBERED_CHARS:
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.work(key)
+        if len(key) <= self.longest:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
-            self[run] = packed
-        return packed
+            self[key] = value
+        return value
+
+
+@lru_cache(maxsize=1)
+def _loaded(source: bytes) -> Vocabulary:
+    """One vocabulary per worker process, whose next tasks go on with what it remembers."""
+    return Vocabulary(source)
 
 
 def encode_decode(
@@ -220,9 +227,8 @@ def encode_decode(
     schema = "doc_id long, n_tokens long, ids binary" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = None
         for batch in batches:
-            words = words or Vocabulary(source.value)
+            words = _loaded(source.value)
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 ids = [words.encode(t.as_py() or "") for t in part["text"]]

@@ -57,10 +57,22 @@ def test_long_texts_are_cut_at_seams(both, monkeypatch):
 
 def test_invalid_bytes_are_replaced(both):
     mine, theirs = both
-    ids = np.array([mine.of_byte[0xE2], mine.of_byte[0x28], 50256], dtype="<u4") if hasattr(mine, "of_byte") else np.array([158, 7, 50256], dtype="<u4")
+    ids = np.array([mine.tokens.index(b"\xe2"), mine.tokens.index(b"("), 50256], dtype="<u4")
+    assert mine.decode(ids) == b"\xe2(<|endoftext|>"
     assert mine.decode(ids).decode("utf-8", "replace") == theirs.decode(ids.tolist(), skip_special_tokens=False)
 
 
+def test_full_memories_change_nothing(both, monkeypatch):
+    """Runs, pieces and pairs in two generations of three entries each."""
+    monkeypatch.setattr("allotment.llm.bpe.REMEMBERED", 3)
+    with open(PATH, "rb") as file:
+        small = Vocabulary(file.read())
+    for _, text, *_ in frames.EDGES:
+        assert small.encode((text or "")[:3000]) == both[0].encode((text or "")[:3000])
+    agree((small, both[1]), "the cat, the dog; the cat, éèê the  dog " * 20)
+    assert max(len(small.memory), len(small.memory.old), len(small.pieces), len(small.pairs)) <= 3
+
+
 def test_rows(spark, both):
     rows = encode_decode(frames.docs(spark, frames.EDGES), PATH).collect()
     assert len(rows) == len(frames.EDGES)
