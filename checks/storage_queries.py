@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,16 @@ def forget(spark: SparkSession, *tables: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def files_of(spark: SparkSession, table: str) -> DataFrame:
+    """What a table shows now, without its catalogue entry."""
+    return spark.read.schema(spark.table(table).schema).parquet(sinks.table_location(spark, table))
+
+
+def folders(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return len(folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder))
+
+
 @query("""SELECT p_partkey, p_name, p_size, (SELECT count(*) FROM part) AS escritas FROM part""")
 def bronze_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice to the same path (overwrite), with the observed count."""
@@ -47,11 +58,56 @@ def silver_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = inputs.table(spark, sf_dir, "orders")
     sinks.refresh_table(orders.select("o_orderkey", "o_totalprice"), table, path)
     rows = sinks.refresh_table(orders.select("o_orderkey", "o_custkey", "o_orderstatus"), table, path)
-    result = spark.read.schema(spark.table(table).schema).parquet(path)
+    result = files_of(spark, table)
     forget(spark, table)
     return result.withColumn("escritas", F.lit(rows).cast("bigint"))
 
 
+@query("""SELECT 'after failure' AS paso, o_orderkey, o_totalprice, CAST(NULL AS VARCHAR) AS o_orderstatus, 1 AS carpetas FROM orders
+UNION ALL SELECT 'after wider', o_orderkey, o_totalprice, o_orderstatus, 1 FROM orders""")
+def silver_refresh_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh that fails half way leaves rows, schema and files as they were; a wider one replaces them.
+
+    ``carpetas`` counts the folders below the table's path: the files of replaced and failed
+    refreshes are gone.
+    """
+    table, path = fresh_name("silver"), scratch_path(spark, "silver")
+    orders = inputs.table(spark, sf_dir, "orders")
+    narrow = orders.select("o_orderkey", "o_totalprice")
+    sinks.refresh_table(narrow.limit(7), table, path)
+    sinks.refresh_table(narrow, table, path)
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    broken = F.when(F.col("o_orderkey") == last, F.raise_error(F.lit("unreadable order"))).otherwise(F.lit("x"))
+    try:
+        sinks.refresh_table(orders.select("o_orderkey", "o_totalprice", "o_orderstatus", broken.alias("extra")), table, path)
+    except PySparkException:
+        pass
+    kept = materialise(spark.table(table), "kept")
+    before = folders(spark, path)
+    sinks.refresh_table(orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), table, path)
+    wider, now = files_of(spark, table), folders(spark, path)
+    forget(spark, table)
+    named = lambda df, step, n: df.select(
+        F.lit(step).alias("paso"), "o_orderkey", "o_totalprice",
+        (F.col("o_orderstatus") if "o_orderstatus" in df.columns else F.lit(None).cast("string")).alias("o_orderstatus"), F.lit(n).alias("carpetas"),
+    )
+    return named(kept, "after failure", before).unionByName(named(wider, "after wider", now))
+
+
+@query("""SELECT run AS execution_id, c_custkey AS cod, CASE WHEN run = 'run-2' THEN c_acctbal * 2 ELSE c_acctbal END AS valor
+FROM customer, (VALUES ('run-1'), ('run-2'), ('run-3')) AS t(run) WHERE run <> 'run-2' OR c_custkey % 3 <> 0""")
+def history_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs, the second one written twice with other rows: its first rows are gone, the others untouched."""
+    snapshot, history = fresh_name("snapshot"), fresh_name("history")
+    paths = scratch_path(spark, "snapshot"), scratch_path(spark, "history")
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cod"), F.col("c_acctbal").alias("valor"))
+    retried = customers.where("cod % 3 <> 0").withColumn("valor", F.col("valor") * 2)
+    for run, rows in (("run-1", customers), ("run-2", customers), ("run-3", customers), ("run-2", retried)):
+        sinks.write_gold(rows.withColumn("execution_id", F.lit(run)), snapshot, history, snapshot_path=paths[0], history_path=paths[1])
+    forget(spark, snapshot, history)
+    return spark.read.parquet(paths[1]).select("execution_id", "cod", "valor")
+
+
 @query(f"""WITH {RANKED}
 SELECT 'snapshot' AS origen, 'run-2' AS execution_id, * FROM ranked
 UNION ALL SELECT 'history', 'run-1', * FROM ranked UNION ALL SELECT 'history', 'run-2', * FROM ranked""")
@@ -63,11 +119,10 @@ def snapshot_and_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         sinks.write_gold(
             gold_like(spark, sf_dir, run), snapshot, history, snapshot_path=paths[0], history_path=paths[1]
         )
+    shown = files_of(spark, snapshot)
     forget(spark, snapshot, history)
-    read = lambda path, origin: spark.read.parquet(path).select(
-        F.lit(origin).alias("origen"), "execution_id", "cod_cliente", "prioridad"
-    )
-    return read(paths[0], "snapshot").unionByName(read(paths[1], "history"))
+    named = lambda df, origin: df.select(F.lit(origin).alias("origen"), "execution_id", "cod_cliente", "prioridad")
+    return named(shown, "snapshot").unionByName(named(spark.read.parquet(paths[1]), "history"))
 
 
 @query("""SELECT s_suppkey, s_name, CAST(NULL AS DOUBLE) AS s_acctbal FROM supplier

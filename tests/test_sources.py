@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from allotment import contracts as c
@@ -161,6 +162,101 @@ def test_refresh_replaces_data_and_schema(spark):
     spark.sql("DROP TABLE silver_t")
 
 
+def broken(df):
+    return df.withColumn("y", F.when(F.col("id") == 90, F.raise_error(F.lit("bad row"))).otherwise(F.lit("y")))
+
+
+@pytest.mark.parametrize("with_path", [False, True])
+def test_failed_refresh_leaves_the_table(spark, tmp_path, with_path):
+    path = str(tmp_path / "silver") if with_path else None
+    sinks.refresh_table(spark.range(50), "silver_f", path)
+    before = sinks.table_location(spark, "silver_f")
+    for attempt in (broken(spark.range(100)), broken(spark.range(100)).select(F.length("y").cast("long").alias("id"))):
+        with pytest.raises(PySparkException):
+            sinks.refresh_table(attempt, "silver_f", path)
+        assert spark.table("silver_f").columns == ["id"] and spark.table("silver_f").count() == 50
+    assert sinks.table_location(spark, "silver_f") == before
+    folder = before.rpartition("/")[0].removeprefix("file:")
+    assert len(os.listdir(folder)) == 1  # nothing of the failed attempts is left
+    open_frame = spark.table("silver_f")
+    assert sinks.refresh_table(spark.range(3).withColumn("z", F.lit("z")), "silver_f", path) == 3
+    assert spark.table("silver_f").columns == ["id", "z"] and len(os.listdir(folder)) == 1
+    assert sinks.table_location(spark, "silver_f") != before and open_frame.columns == ["id"]
+    spark.sql("DROP TABLE silver_f")
+
+
+def test_first_refresh_that_fails_leaves_no_table(spark, tmp_path):
+    with pytest.raises(PySparkException):
+        sinks.refresh_table(broken(spark.range(100)), "silver_n", str(tmp_path / "n"))
+    assert not spark.catalog.tableExists("silver_n")
+    assert sinks.refresh_table(spark.range(2), "silver_n", str(tmp_path / "n")) == 2
+    spark.sql("DROP TABLE silver_n")
+
+
+@pytest.mark.parametrize("dropped", [False, True])
+def test_cut_off_change_of_schema_is_finished(spark, tmp_path, dropped):
+    """Between the new entry and its renaming: with the old entry still there it is forgotten, else taken."""
+    sinks.refresh_table(spark.range(4), "silver_c", str(tmp_path / "c"))
+    spark.range(9).withColumn("x", F.lit(1)).write.parquet(str(tmp_path / "other"))
+    spark.catalog.createTable("silver_c__next", path=str(tmp_path / "other"), source="parquet")
+    if dropped:
+        spark.sql("DROP TABLE silver_c")
+    with pytest.raises(PySparkException):
+        sinks.refresh_table(broken(spark.range(100)), "silver_c", str(tmp_path / "c"))
+    assert spark.table("silver_c").count() == (9 if dropped else 4) and not spark.catalog.tableExists("silver_c__next")
+    assert sinks.refresh_table(spark.range(5).withColumn("x", F.lit("t")), "silver_c", str(tmp_path / "c")) == 5
+    spark.sql("DROP TABLE silver_c")
+
+
+def test_a_managed_table_of_files_is_taken_over(spark):
+    spark.range(6).write.saveAsTable("silver_m")
+    assert sinks.refresh_table(spark.range(2), "silver_m") == 2 and spark.table("silver_m").count() == 2
+    spark.sql("DROP TABLE silver_m")
+
+
+def test_write_without_an_action_is_an_error(spark):
+    with pytest.raises(RuntimeError, match="no action"):
+        sinks.counted(spark.range(3), lambda rows: None, patience=0.5)
+
+
+def run_rows(spark, run, ids, **more):
+    return spark.createDataFrame([(i,) for i in ids], "id long").select("id", F.lit(run).alias("execution_id"), *[F.lit(v).alias(k) for k, v in more.items()])
+
+
+def test_retried_run_replaces_its_rows_only(spark):
+    for run, ids in (("it's 1", [1, 2]), ("b", [3]), ("it's 1", [5])):
+        sinks.write_gold(run_rows(spark, run, ids), "snap_r", "hist_r")
+    rows = lambda: sorted((r.execution_id, r.id) for r in spark.table("hist_r").collect())
+    assert rows() == [("b", 3), ("it's 1", 5)]
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    with pytest.raises(PySparkException):
+        sinks.replace_runs(broken(spark.range(100).withColumn("execution_id", F.lit("b"))), "hist_r", "execution_id")
+    assert rows() == [("b", 3), ("it's 1", 5)] and spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) == before
+    sinks.write_gold(run_rows(spark, "b", [8], extra=1), "snap_r", "hist_r")
+    assert rows() == [("b", 8), ("it's 1", 5)] and [r.extra for r in spark.table("hist_r").orderBy("id").collect()] == [None, 1]
+    for table in ("snap_r", "hist_r"):
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_finer_partitions_of_a_retried_run(spark):
+    by = ["execution_id", "part"]
+    for run, ids, part in (("a", [1], "x"), ("b", [2], "x"), ("a", [3], "it's")):
+        sinks.replace_runs(run_rows(spark, run, ids, part=part), "hist_2", "execution_id", partition_by=by)
+    assert sorted((r.execution_id, r.part, r.id) for r in spark.table("hist_2").collect()) == [("a", "it's", 3), ("b", "x", 2)]
+    spark.sql("DROP TABLE hist_2")
+
+
+def test_history_without_partitions_takes_new_runs_only(spark):
+    run_rows(spark, "old", [1]).write.saveAsTable("hist_o")
+    sinks.replace_runs(run_rows(spark, "new", [2]), "hist_o", "execution_id")
+    assert spark.table("hist_o").count() == 2
+    with pytest.raises(c.ContractError, match="not partitioned"):
+        sinks.replace_runs(run_rows(spark, "old", [3]), "hist_o", "execution_id")
+    with pytest.raises(c.ContractError, match="first partition"):
+        sinks.replace_runs(run_rows(spark, "old", [3]), "hist_o", "execution_id", partition_by=["id"])
+    spark.sql("DROP TABLE hist_o")
+
+
 def test_snapshot_and_history_agree(spark):
     for run in ("r1", "r2"):
         # A random column stands for anything that differs between evaluations.
