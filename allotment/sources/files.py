@@ -12,8 +12,8 @@ from typing import TYPE_CHECKING
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import FILE_METRIC_SCHEMA, FILE_METRICS_VIEW
-from ..runtime import materialise
+from ..contracts import FILE_METRIC_SCHEMA, FILE_METRICS_VIEW, ContractError
+from ..runtime import materialise, materialise_watching
 from .paths import below, check_scheme, cleaned, lacking, qualified, target_below
 from .tables import publish_view
 
@@ -62,26 +62,67 @@ def csv_rows(spark: SparkSession, path: str | list[str], only: str | None = "*.[
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """``(archivo_origen, bytes_read, uri)`` of every file below ``path``, empty ones included.
+    """``(archivo_origen, bytes_read)`` of every file below ``path``, empty ones included.
 
-    ``uri`` is the percent-encoded path. ``content`` is not selected, so no file is
-    opened. Spark's file scans leave out empty files, which only the planner's own list
-    of files still has; that list is on the driver for any scan.
+    The tree is walked level by level. The folders of a level are a table, dealt over the
+    tasks, which list them with Arrow's file systems; their sub-folders are the next level's table.
+    Only the root (or what a pattern with ``*`` names) and the number of folders of each level
+    are on the driver. As in Spark's own scans, names that start with ``.`` or ``_`` (and
+    hold no ``=``) are left out. A path that does not exist is an error.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    filled = files.select(
-        F.col("path").alias("archivo_origen"),
-        F.col("length").alias("bytes_read"),
-        F.col("_metadata.file_path").alias("uri"),
-    )
-    listed = spark.createDataFrame([(uri,) for uri in files.inputFiles()], "uri string")
-    # The list has percent-encoded URIs, with three slashes for local files; scans write one.
-    listed = listed.select(F.regexp_replace("uri", "^file:/+", "file:/").alias("uri"))
-    plain = F.try_url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
-    empty = listed.join(filled.select("uri"), "uri", "left_anti").select(
-        plain.alias("archivo_origen"), F.lit(0).cast("bigint").alias("bytes_read"), "uri"
-    )
-    return filled.unionByName(empty)
+    check_scheme(path)
+    width = 4 * spark.sparkContext.defaultParallelism
+    found = _roots(spark, path)
+    roots = spark.createDataFrame([(root,) for root in found], "archivo_origen string")
+    frontier, folders, levels = roots, len(found), []
+    while folders:
+        inner = frontier.repartition(min(folders, width)).mapInPandas(_children(), "archivo_origen string, bytes_read bigint, folder boolean")
+        level, told = materialise_watching(inner, "listing", {"folders": F.count_if("folder")})
+        levels.append(level)
+        frontier, folders = level.filter("folder").select("archivo_origen"), told["folders"]
+    whole = levels[0]
+    for level in levels[1:]:
+        whole = whole.unionByName(level)
+    return whole.filter("NOT folder").drop("folder")
+
+
+def _roots(spark: SparkSession, path: str) -> list[str]:
+    """The path, or those that match a pattern, as their file system writes them."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = given.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [given] if store.exists(given) else [status.getPath() for status in store.globStatus(given) or []]
+    if not found:
+        raise ContractError(f"no such path: {path}")
+    return [store.makeQualified(one).toString().rstrip("/") for one in found]
+
+
+def _children():
+    # Everything the tasks run is defined in here: they need Arrow, but not this package.
+    def children(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.parse import quote
+
+        import pandas as pd
+        from pyarrow import fs
+
+        def shown(name: str) -> bool:
+            return not (name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"))
+
+        for batch in batches:
+            for folder in batch["archivo_origen"]:
+                path = f"file://{folder[len('file:'):]}" if folder.startswith("file:/") and not folder.startswith("file://") else folder
+                store, inside = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+                one = store.get_file_info(inside)
+                if one.type == fs.FileType.File:
+                    yield pd.DataFrame({"archivo_origen": [folder], "bytes_read": [one.size], "folder": [False]})
+                    continue
+                inner = [i for i in store.get_file_info(fs.FileSelector(inside)) if shown(i.base_name)]
+                yield pd.DataFrame({
+                    "archivo_origen": pd.Series([f"{folder}/{i.base_name}" for i in inner], dtype=object),
+                    "bytes_read": pd.Series([i.size or 0 for i in inner], dtype="int64"),
+                    "folder": pd.Series([i.type == fs.FileType.Directory for i in inner], dtype=bool),
+                })
+
+    return children
 
 
 def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None) -> DataFrame:
@@ -98,7 +139,10 @@ def inventory(spark: SparkSession, path: str, expected: DataFrame | None = None)
             .withColumn("bytes_read", F.coalesce("bytes_read", F.lit(0)))
         )
     kind = file_type(F.col("archivo_origen"))
-    return found.join(csv_rows(spark, path), "uri", "left").select(
+    # Scans tell percent-encoded paths; a plus sign stands for itself there.
+    plain = F.try_url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B"))).alias("archivo_origen")
+    rows = csv_rows(spark, path).select(F.regexp_replace(plain, "^file:/+", "file:/").alias("archivo_origen"), "rows_read")
+    return found.join(rows, "archivo_origen", "left").select(
         "archivo_origen",
         kind.alias("tipo"),
         F.col("bytes_read").cast("bigint").alias("bytes_read"),

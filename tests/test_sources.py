@@ -442,6 +442,44 @@ def test_inventory_without_csv(spark, tmp_path):
     assert [r.rows_read for r in files.inventory(spark, str(tmp_path)).collect()] == [None]
 
 
+def walked(root) -> dict[str, int]:
+    """What the operating system lists below a folder, without hidden names."""
+    hidden = lambda name: name.startswith(".") or (name.startswith("_") and "=" not in name)
+    found = {}
+    for at, folders, names in os.walk(root):
+        folders[:] = [f for f in folders if not hidden(f)]
+        found |= {f"file:{at}/{n}": os.path.getsize(f"{at}/{n}") for n in names if not hidden(n)}
+    return found
+
+
+def test_listing_walks_wide_and_deep_trees(spark, tmp_path, monkeypatch):
+    wide, deep = tmp_path / "wide", tmp_path / "deep"
+    wide.mkdir()
+    for k in range(20000):
+        (wide / f"{k}.csv").touch() if k % 2 else (wide / f"{k}.csv").write_bytes(b"x" * (k % 7))
+    for level in range(10):
+        deep = deep / f"level {level}%41+é"
+        deep.mkdir(parents=True)
+        (deep / f"f{level}").write_bytes(b"y" * level)
+    (tmp_path / "_hidden").mkdir()
+    (tmp_path / "_hidden" / "x").touch()
+    (tmp_path / "_k=1").mkdir()
+    (tmp_path / "_k=1" / ".x").touch()
+    (tmp_path / "_k=1" / "z").touch()
+    (tmp_path / "none").mkdir()
+    monkeypatch.setattr(type(spark.range(1)), "inputFiles", lambda df: pytest.fail("the list came to the driver"))
+    found = {r.archivo_origen: r.bytes_read for r in files.listing(spark, str(tmp_path)).collect()}
+    assert found == walked(tmp_path) and len(found) == 20011
+
+
+def test_listing_of_one_file_a_pattern_and_nothing(spark, folder):
+    names = lambda path: sorted(r.archivo_origen for r in files.listing(spark, path).collect())
+    assert names(f"{folder}/notes.pdf") == [f"file:{folder}/notes.pdf"]
+    assert names(f"{folder}/*.xls*") == sorted(x for x in walked(folder) if x.count("/") == f"file:{folder}/x".count("/") and ".xls" in x)
+    with pytest.raises(c.ContractError, match="no such path"):
+        files.listing(spark, f"{folder}/gone")
+
+
 def test_land_copies_the_bytes(spark, folder, tmp_path):
     target = tmp_path / "bronze"
     landed = files.land(spark, str(folder), str(target)).collect()
