@@ -62,7 +62,7 @@ def csv_rows(spark: SparkSession, path: str | list[str], only: str | None = "*.[
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """``(archivo_origen, bytes_read)`` of every file below ``path``, empty ones included.
+    """``(archivo_origen, bytes_read, modified)`` of every file below ``path``, empty ones included; ``modified`` in ns.
 
     The tree is walked level by level. The folders of a level are a table, dealt over the
     tasks, which list them with Arrow's file systems; their sub-folders are the next level's table.
@@ -76,7 +76,7 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     roots = spark.createDataFrame([(root,) for root in found], "archivo_origen string")
     frontier, folders, levels = roots, len(found), []
     while folders:
-        inner = frontier.repartition(min(folders, width)).mapInPandas(_children(), "archivo_origen string, bytes_read bigint, folder boolean")
+        inner = frontier.repartition(min(folders, width)).mapInPandas(_children(), "archivo_origen string, bytes_read bigint, modified bigint, folder boolean")
         level, told = materialise_watching(inner, "listing", {"folders": F.count_if("folder")})
         levels.append(level)
         frontier, folders = level.filter("folder").select("archivo_origen"), told["folders"]
@@ -113,12 +113,13 @@ def _children():
                 store, inside = fs.FileSystem.from_uri(quote(path, safe=":/@"))
                 one = store.get_file_info(inside)
                 if one.type == fs.FileType.File:
-                    yield pd.DataFrame({"archivo_origen": [folder], "bytes_read": [one.size], "folder": [False]})
+                    yield pd.DataFrame({"archivo_origen": [folder], "bytes_read": [one.size], "modified": [one.mtime_ns or 0], "folder": [False]})
                     continue
                 inner = [i for i in store.get_file_info(fs.FileSelector(inside)) if shown(i.base_name)]
                 yield pd.DataFrame({
                     "archivo_origen": pd.Series([f"{folder}/{i.base_name}" for i in inner], dtype=object),
                     "bytes_read": pd.Series([i.size or 0 for i in inner], dtype="int64"),
+                    "modified": pd.Series([i.mtime_ns or 0 for i in inner], dtype="int64"),
                     "folder": pd.Series([i.type == fs.FileType.Directory for i in inner], dtype=bool),
                 })
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from allotment.operators import distance, measures, ranking
 from allotment.plans import index
-from allotment.runtime import materialise
+from allotment.plans import months as months_plan
+from allotment.runtime import materialise, scratch_path
+from allotment.sources import sinks
 
 from . import inputs
 from .registry import query
@@ -165,6 +170,39 @@ def monthly_sums_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"""WITH {MONTHLY},
+moved AS (
+  SELECT cod_cliente, fecha, sum(cc_utilidad_bruta) AS m, sum(valor_neto) AS v FROM profit
+  WHERE fecha BETWEEN (SELECT max(fecha) FROM cost) - INTERVAL 12 MONTH AND (SELECT max(fecha) FROM cost) - INTERVAL 1 MONTH GROUP BY ALL)
+SELECT 'late rows' AS paso, cod_cliente, fecha, CAST(m AS DOUBLE) AS margen_bruto, CAST(v AS DOUBLE) AS venta_neta, 2 AS meses_leidos FROM monthly
+UNION ALL SELECT 'moved window', cod_cliente, fecha, CAST(m AS DOUBLE), CAST(v AS DOUBLE), 0 FROM moved""")
+def monthly_sums_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept sums: built without some rows of two months, then with these, then for a window one month earlier.
+
+    ``meses_leidos`` counts the months that were read to bring the sums up to date.
+    """
+    cutoff = measures.resolve_cutoff(inputs.cost_to_serve(spark, sf_dir), None)
+    earlier = (cutoff.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+    fact = materialise(inputs.profitability(spark, sf_dir), "fact")
+    late = F.col("fecha").isin(cutoff, earlier) & (F.col("cod_cliente").cast("long") % 3 == 0)
+    path, names = scratch_path(spark, "fact_by_month"), [f"{kind}_{uuid4().hex}" for kind in ("sums", "record")]
+    bring = lambda: months_plan.refresh_months(
+        spark, path, *names, sums_path=scratch_path(spark, "sums"), record_path=scratch_path(spark, "record")
+    )
+    months_plan.append_fact(fact.filter(~late), path)
+    bring()
+    months_plan.append_fact(fact.filter(late), path)
+    read, again = len(bring()), len(bring())
+    sums = spark.read.parquet(sinks.table_location(spark, names[0]))
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+    shown = lambda step, day, count: measures.monthly_by_customer(months_plan.kept_fact(sums, day, 12)).select(
+        F.lit(step).alias("paso"), "cod_cliente", "fecha", F.col("margen_bruto").cast("double").alias("margen_bruto"),
+        F.col("venta_neta").cast("double").alias("venta_neta"), F.lit(count).alias("meses_leidos"),
+    )
+    return shown("late rows", cutoff, read).unionByName(shown("moved window", earlier, again))
+
+
 # Doubles whose sums are exact in any order: multiples of 2^-27, and whole multiples of 1024 beyond 1e14.
 DOUBLE = """CASE WHEN o_custkey % 2 = 0 THEN 1.2e14 + 1024 * CAST(l_quantity AS DOUBLE)
     ELSE CAST(l_quantity AS DOUBLE) / 134217728 END"""
