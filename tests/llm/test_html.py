@@ -28,6 +28,39 @@ def test_only_short_blocks_and_open_elements():
     assert main_text("a < b &amp;amp; c <") == "a < b &amp; c <"
 
 
+def test_class_names_that_only_look_like_furniture():
+    for name in ("post category-cookies", "post tag-navy", "comments-open sidebar", "nav"):
+        assert main_text(f'<body><article class="{name}"><p>{SENTENCE}</p></article></body>') == SENTENCE
+    assert main_text(f'<div class="layout has-sidebar"><h1>T</h1><p>{SENTENCE}</p><p>{SENTENCE}</p></div>') == f"T\n{SENTENCE}\n{SENTENCE}"
+    assert main_text(f'<div class="sidebar"><p>{SENTENCE}</p><p>{SENTENCE}</p></div><p>x</p>') == f"{SENTENCE}\n{SENTENCE}\nx"
+    for name in ("commentary", "side-effects", "tags"):
+        assert main_text(f'<article><p>{SENTENCE}</p><section id="{name}"><p>Inner text.</p></section></article>') == f"{SENTENCE}\nInner text."
+    for name in ("comments", "comment-list", "cookieNotice", "main-menu", "breadcrumbs", "newsletter-form", "x sidebar"):
+        assert main_text(f'<article><p>{SENTENCE}</p><div class="{name}"><p>Inner text.</p></div></article>') == SENTENCE
+        assert main_text(f'<p>{SENTENCE}</p><p>{SENTENCE}</p><div id="{name}"><p>{SENTENCE}</p></div>') == f"{SENTENCE}\n{SENTENCE}"
+    assert main_text(f'<article><p>{SENTENCE}</p><article class="comment"><p>{SENTENCE}</p></article></article>') == SENTENCE
+
+
+def test_optional_tags():
+    assert main_text(f"<html><head><title>T</title><meta charset=x><p>{SENTENCE}</p><p>Tail.</p>") == f"{SENTENCE}\nTail."
+    assert main_text(f"<title>T</title><div><p>{SENTENCE}</p></div>") == SENTENCE
+    assert main_text(f"<head><script>var x</script><article><p>{SENTENCE}</p></article>") == SENTENCE
+
+
+def test_short_linked_blocks_of_an_article():
+    assert main_text(f'<article><h2><a href="#m">Methods</a></h2><p>{SENTENCE}</p></article>') == f"Methods\n{SENTENCE}"
+    assert main_text(f'<article><p>{SENTENCE}</p><p><a href="x">See the data</a></p><p>{SENTENCE}</p></article>') == f"{SENTENCE}\nSee the data\n{SENTENCE}"
+    assert main_text(f'<article><p>{SENTENCE}</p><ul><li><a href="x">One</a><li><a href="y">Two</a></ul></article>') == SENTENCE
+
+
+def test_other_scripts_and_languages():
+    chinese = "這是一個很長的段落，裡面沒有任何列出的停用詞，但它仍然是文章的一部分，應該保留下來。" * 3
+    polish = "Wczoraj wieczorem deszcz padał bez przerwy, więc zostaliśmy w domu i czytaliśmy stare książki. " * 3
+    assert main_text(f"<body><p>{SENTENCE}</p><p>{chinese}</p></body>") == f"{SENTENCE}\n{chinese}"
+    assert main_text(f"<body><p>{chinese}</p></body>") == chinese
+    assert main_text(f"<body><p>{polish}</p><p>{polish}</p></body>") == f"{polish.strip()}\n{polish.strip()}"
+
+
 def test_broken_and_long_pages():
     for page in (None, "", "<p", "<!-- never closed", "<script>x", "<style", "<nav>only a menu</nav>"):
         assert main_text(page) == ""
