@@ -82,7 +82,8 @@ def judged(
       trained on all labelled documents by grouped counts (``label`` is 1 for good; of
       several labels of a document the lowest counts).
     * A document's expected goodness under the global rate is summed over all documents
-      by host and by path within the host; a labelled document's label stands for it.
+      by host and by path within the host. Labels count through the evidence alone, so what
+      a document adds to its path is known from its text and can be taken out again.
     * A host's rate is shrunk towards the global rate, a path's towards its host's, with
       pseudo-counts found by moments; the document itself is left out of its path.
     * The path's rate and the document's evidence give the posterior; ``kept`` is
@@ -120,7 +121,7 @@ def judged(
     def expected(bins: Column) -> Column:
         return 1 / (1 + F.exp(-(evidence(bins) + _logit(overall))))
 
-    mass = F.coalesce(F.col("good").cast("double"), expected(F.col("bins")))
+    mass = expected(F.col("bins"))
     paths = scratch.write(seen.groupBy("host", "path").agg(F.sum(mass).alias("mass"), F.count("*").alias("n")), "paths")
     hosts = scratch.write(paths.groupBy("host").agg(F.sum("mass").alias("host_mass"), F.sum("n").alias("host_n")), "hosts")
     k_host = _spread(hosts, "host_mass", "host_n", overall)

@@ -44,9 +44,8 @@ def brute(rows, labels, threshold=0.5):
     logit = lambda p: math.log(p / (1 - p))
     evidence = [sum(weight[f, x] for f, x in enumerate(b)) for b in bins]
     expected = [1 / (1 + math.exp(-(e + logit(overall)))) for e in evidence]
-    mass = [float(marks.get(i, e)) if i is not None else e for (i, *_), e in zip(rows, expected)]
     hosts, paths = {}, {}
-    for (_, _, path, host), m in zip(rows, mass):
+    for (_, _, path, host), m in zip(rows, expected):
         for d, key in ((hosts, host), (paths, (host, path))):
             a, n = d.get(key, (0.0, 0))
             d[key] = (a + m, n + 1)
@@ -62,9 +61,10 @@ def brute(rows, labels, threshold=0.5):
     rate = {h: (m + k_host * overall) / (n + k_host) for h, (m, n) in hosts.items()}
     k_path = spread(paths, lambda k: rate[k[0]])
     out = []
-    for (i, _, path, host), e, x in zip(rows, evidence, expected):
-        m, n = paths[host, path]
-        prior = (min(max(m - x, 0), n - 1) + k_path * rate[host]) / (n - 1 + k_path)
+    for k, ((i, _, path, host), e) in enumerate(zip(rows, evidence)):
+        # The path summed anew without the document.
+        others = [x for j, ((_, _, p, h), x) in enumerate(zip(rows, expected)) if j != k and (h, p) == (host, path)]
+        prior = (sum(others) + k_path * rate[host]) / (len(others) + k_path)
         p = 1 / (1 + math.exp(-(e + logit(min(max(prior, 1e-9), 1 - 1e-9)))))
         out.append((i, round(p, 6), p >= threshold))
     return out
@@ -84,6 +84,19 @@ def test_agrees_with_plain_python(spark, edges):
     assert [p for _, p, _ in got] == pytest.approx([p for _, p, _ in want], abs=2e-6)
 
 
+def test_own_label_leaves_own_prior_alone(spark):
+    """Two documents of the same text, one of them labelled this or that way, among many labelled ones."""
+    rows, labels = corpus()
+    text = "the sun rises over hills and rivers run down slowly to sea."
+    rows += [(1000, text, "xx", "small"), (1001, text, "xx", "small")]
+    priors = []
+    for own in ([], [(1000, 1, 0), (1001, 0, 0)]):
+        marked = spark.createDataFrame(labels + own, "doc_id long, quality int, toxic int")
+        told = judged(frames.docs(spark, rows), marked).where("doc_id >= 1000").select("doc_id", "verdict").collect()
+        priors.append({r.doc_id: r.verdict.prior for r in told})
+    assert priors[0][1000] == priors[0][1001] and priors[1][1000] == priors[1][1001]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
