@@ -5,21 +5,25 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import DataFrame
+import tiktoken
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from .bpe import byte_letters
 from .tables import Scratch
 
 #: Bytes of text that are aligned together, and partial counts that a task holds.
-TOGETHER, HELD = 1 << 21, 1 << 20
+TOGETHER, HELD = 1 << 19, 1 << 18
+#: Rows that Spark hands to a task's Python side at once: a row has a whole text, or all its pairs.
+ROWS = 256
 #: Pairs whose counts are broadcast, the most frequent ones; all others are joined.
 FREQUENT = 1 << 17
 #: A pair is one number: the id of the first tokenizer above this many bits, that of the second below.
@@ -36,20 +40,25 @@ _STORED_DDL = (
 
 
 class Tokenizers:
-    """A byte-level BPE file of the tokenizers library (A) and a sentencepiece model (B), with the bytes of their tokens."""
+    """A byte-level BPE file of the tokenizers library (A) and a sentencepiece model (B), with the bytes of their tokens.
 
-    def __init__(self, first: bytes, second: bytes):
-        self.a = Tokenizer.from_buffer(first)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+    A's merges, whose results are numbered in their order, are run by tiktoken, which knows no
+    special tokens here and gives the same ids.
+    """
+
+    def __init__(self, first: bytes, second: bytes, pattern: str = public_tokenizers.PATTERN):
+        pa.set_cpu_count(1)
         spec, letters = json.loads(first), byte_letters()
-        ids = spec["model"]["vocab"]
-        a_bytes = [b""] * (max([*ids.values(), *(t["id"] for t in spec["added_tokens"])], default=-1) + 1)
-        for token, id in ids.items():
-            a_bytes[id] = bytes(letters[c] for c in token)
-        for token in spec["added_tokens"]:
-            a_bytes[token["id"]] = token["content"].encode()
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        ids = {bytes(letters[c] for c in token): id for token, id in spec["model"]["vocab"].items() if token not in special}
+        merged = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
+        made = [ids[bytes(letters[c] for c in x + y)] for x, y in merged]
+        if any(x >= y for x, y in zip(made, made[1:])):
+            raise ValueError("the ids of the merges' results must rise in the order of the merges")
+        self.a = tiktoken.Encoding("first", pat_str=pattern, mergeable_ranks=ids, special_tokens={})
+        a_bytes = [b""] * (max([*ids.values(), *special.values()], default=-1) + 1)
+        for token, id in [*ids.items(), *((t.encode(), i) for t, i in special.items())]:
+            a_bytes[id] = token
         self.b = sentencepiece.SentencePieceProcessor(model_proto=second)
         b_bytes = []
         for id in range(self.b.get_piece_size()):
@@ -61,9 +70,9 @@ class Tokenizers:
 
     def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """Both tokenizers' ids: A of a blank and the text, B of the text, to which B adds the blank."""
-        a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        a = [self.a.encode_ordinary(" " + t) for t in texts]
         b = self.b.encode(texts, num_threads=1) if texts else []
-        return pa.array([e.ids for e in a], pa.list_(pa.int64())), pa.array(b, pa.list_(pa.int64()))
+        return tuple(pa.array(ids, pa.list_(pa.int64())) for ids in (a, b))
 
 
 @lru_cache(maxsize=1)
@@ -94,12 +103,16 @@ def _tokens(ids: pa.ListArray, lengths: pa.Array, base: pa.Array) -> pa.Table:
     return pa.table({"document": document, "id": pc.list_flatten(ids), "end": end})
 
 
-def _grouped(tokens: pa.Table, ends: pa.Table) -> pa.Table:
-    """The tokens with the number of their group: how many ends that both tokenizers have lie before the token's."""
-    marked = tokens.join(ends.append_column("shared", pa.array(np.ones(len(ends), dtype=np.int64))), "end", use_threads=False)
-    marked = marked.sort_by("end")
-    shared = pc.fill_null(marked["shared"], 0).combine_chunks()
-    return marked.drop_columns("shared").append_column("group", pc.subtract(pc.cumulative_sum(shared), shared))
+def _grouped(one: pa.Table, two: pa.Table) -> tuple[pa.Table, pa.Table, int]:
+    """Both sides' tokens with the number of their group, and the number of groups.
+
+    The ends that both sides have are found by a hash join; a token's group is how many of
+    them lie before its own end.
+    """
+    shared = one.select(["document", "end"]).join(two.select(["end"]), "end", join_type="inner", use_threads=False)
+    ends = np.sort(shared["end"].to_numpy())
+    numbered = [side.append_column("group", pa.array(np.searchsorted(ends, side["end"].to_numpy()))) for side in (one, two)]
+    return *numbered, len(ends)
 
 
 def _named(tokens: pa.Table, count: int) -> tuple[np.ndarray, pa.Array]:
@@ -124,10 +137,7 @@ def align(a: pa.ListArray, b: pa.ListArray, words: Tokenizers, texts: list[bytes
     for ids, of in ((a, words.a_bytes), (b, words.b_bytes)):
         sides.append(_tokens(ids, _joined(ids, of)[1], base))
     one, two = sides
-    ends = [side.select(["end"]) for side in sides]
-    one, two = _grouped(one, ends[1]), _grouped(two, ends[0])
-
-    count = int(pc.max(one["group"]).as_py()) + 1 if len(one) else 0
+    one, two, count = _grouped(one, two)
     (a_starts, a_names), (b_starts, b_names) = _named(one, count), _named(two, count)
     document = pc.take(one["document"].combine_chunks(), pa.array(a_starts[:-1]))
     groups = np.searchsorted(document.to_numpy(zero_copy_only=False), np.arange(len(texts) + 1))
@@ -139,16 +149,24 @@ def align(a: pa.ListArray, b: pa.ListArray, words: Tokenizers, texts: list[bytes
         "n_groups": pa.array(np.diff(groups), pa.int64()), "n_links": pa.array(np.diff(times), pa.int64()),
         "groups_sha256": pa.array([hashlib.sha256(x.encode()).hexdigest() if fit else "" for x, fit in zip(lines.to_pylist(), fits)], pa.string()),
     }
-    # Ids are counted within each group before the groups of both sides meet.
-    one = one.group_by(["group", "document", "id"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["group", "document", "a", "a_times"])
-    two = two.group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["group", "b", "b_times"])
-    met = one.join(two, "group", join_type="inner", use_threads=False)
-    met = pa.table({
-        "document": met["document"], "pair": pc.bit_wise_or(pc.shift_left(met["a"], pa.scalar(BITS, pa.int64())), met["b"]),
-        "links": pc.multiply(met["a_times"], met["b_times"]),
-    })
-    linked = met.group_by(["document", "pair"], use_threads=False).aggregate([("links", "sum")]).rename_columns(["document", "pair", "links"])
-    return told, linked.sort_by([("document", "ascending"), ("pair", "ascending")])
+    # Tokens alone with each other are linked by place. In other groups ids are counted first, then both sides meet.
+    alone = (np.diff(a_starts) == 1) & (np.diff(b_starts) == 1)
+    pairs = [_paired(document.filter(pa.array(alone)), one["id"].take(a_starts[:-1][alone]), two["id"].take(b_starts[:-1][alone]))]
+    more = [side.filter(pa.array(~alone[side["group"].to_numpy()])).select(["group", "id"]) for side in (one, two)]
+    more = [side.group_by(["group", "id"], use_threads=False).aggregate([([], "count_all")]) for side in more]
+    met = more[0].rename_columns(["group", "a", "a_times"]).join(
+        more[1].rename_columns(["group", "b", "b_times"]), "group", join_type="inner", use_threads=False
+    )
+    pairs.append(_paired(document.take(met["group"]), met["a"], met["b"], pc.multiply(met["a_times"], met["b_times"])))
+    linked = pa.concat_tables(pairs).group_by(["document", "pair"], use_threads=False).aggregate([("links", "sum")])
+    linked = linked.rename_columns(["document", "pair", "links"])
+    narrow = np.uint16 if len(texts) < 1 << 16 else np.int64  # short numbers are sorted by radix
+    return told, linked.take(np.argsort(linked["document"].to_numpy().astype(narrow), kind="stable"))
+
+
+def _paired(document, a, b, links=None) -> pa.Table:
+    pair = pc.bit_wise_or(pc.shift_left(a, pa.scalar(BITS, pa.int64())), b)
+    return pa.table({"document": document, "pair": pair, "links": pa.array(np.ones(len(pair), dtype=np.int64)) if links is None else links})
 
 
 def _documents_of(parts: list[pa.Table]) -> pa.Table:
@@ -223,6 +241,18 @@ def _told(frequent, best):
     return run
 
 
+@contextmanager
+def _rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches for the jobs that run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def aligned(docs: DataFrame, first: str, second: str, id: str = "doc_id", text: str = "text", *, frequent: int = FREQUENT) -> DataFrame:
     """How two tokenizers cut each text: one row per row of ``docs``.
 
@@ -251,7 +281,8 @@ def aligned(docs: DataFrame, first: str, second: str, id: str = "doc_id", text:
     slim = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    stored = scratch.write(slim.mapInArrow(_aligner(*files), _STORED_DDL), "aligned")
+    with _rows_at_once(spark, ROWS):
+        stored = scratch.write(slim.mapInArrow(_aligner(*files), _STORED_DDL), "aligned")
     counts = stored.where("row is null").groupBy("pair").agg(F.sum("documents").alias("documents"))
     counts = scratch.write(counts, "counts")
     a_id = F.shiftright("pair", BITS).alias("a")
@@ -263,11 +294,10 @@ def aligned(docs: DataFrame, first: str, second: str, id: str = "doc_id", text:
     ordered = counts.orderBy(F.col("documents").desc(), "pair").limit(frequent)
     known = spark.sparkContext.broadcast(ordered.toArrow().cast(pa.schema({"pair": pa.int64(), "documents": pa.int64()})))
     rows = stored.where("row is not null")
-    told = scratch.write(
-        rows.select("row", "pairs", "links").mapInArrow(
-            _told(known, spark.sparkContext.broadcast(pa.array(table))), "row long, n_best long, count_sum long, pair long, links long"
-        ), "told",
-    )
+    sums = _told(known, spark.sparkContext.broadcast(pa.array(table)))
+    with _rows_at_once(spark, ROWS):
+        told = rows.select("row", "pairs", "links").mapInArrow(sums, "row long, n_best long, count_sum long, pair long, links long")
+        told = scratch.write(told, "told")
     rest = told.where("pair is not null").select("row", "pair", "links").join(counts, "pair").withColumn("a", a_id).join(best, "a")
     sums = [
         F.sum(F.when(F.col("documents") == F.col("highest"), F.col("links")).otherwise(0)).alias("n_best"),

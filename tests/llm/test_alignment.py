@@ -130,7 +130,7 @@ def test_edges(spark, plain):
 
 def test_a_group_of_repeated_tokens(words):
     """One group of many tokens, whose ends never meet but at the end, is counted and not written out."""
-    a_one, a_two, b_two = words.a.token_to_id("a"), words.a.token_to_id("aa"), words.b.piece_to_id("aa")
+    a_one, a_two, b_two = words.a.encode_single_token("a"), words.a.encode_single_token("aa"), words.b.piece_to_id("aa")
     n = 60000
     a, b = (pa.array([x], pa.list_(pa.int64())) for x in ([a_one] + [a_two] * (n - 1) + [a_one], [b_two] * n))
     digests, linked = align(a, b, words, [b"aa" * n])
