@@ -21,7 +21,7 @@ SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N
 RUNS = rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 
 #: Runs, pieces and pairs of tokens in each generation that a worker remembers, and the longest run worth remembering.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+REMEMBERED, REMEMBERED_CHARS = 1 << 16, 64
 #: Characters split at once, rows that a task holds at once.
 STRETCH, ROWS = 1 << 20, 512
 
