@@ -215,3 +215,42 @@ def near_duplicates(
     return marked.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", *, width: int = 4, distance: int = 4, block: int = BLOCK
+) -> DataFrame:
+    """The rows of ``docs`` with one row of each group that ``near_duplicates`` links.
+
+    The row with the smallest id stays, one without an id only if no row of its group has one;
+    of rows with that id the one with the smallest fingerprint, then the smallest text. Rows
+    are told apart by id *and* fingerprint, so unlike texts under one id all stay. All columns
+    are returned as they are, whatever their names; an empty table gives an empty result.
+
+    Only ids and fingerprints are written to scratch. Rows are matched by a second pass over
+    the texts, and shuffled only where the table of chosen ids is too large to broadcast.
+    """
+    scratch = Scratch(docs.sparkSession)
+    marked = scratch.write(
+        fingerprints(docs, id, text, width).groupBy("doc_id", "fp").agg(F.count("*").alias("times")), "fingerprints"
+    )
+    parts = connected_components(near_pairs(marked.select("fp").distinct(), distance, block)).withColumnRenamed("node", "fp")
+    rank = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "fp", "times")
+    grouped = marked.join(parts, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component"))
+    chosen = scratch.write(grouped.agg(F.min(rank).alias("best")).select("best.*"), "chosen")
+
+    @F.arrow_udf("long")
+    def mark(texts: pa.Array) -> pa.Array:
+        return pa.array(np.fromiter((fingerprint(t.as_py(), width) for t in texts), dtype="<u8", count=len(texts)).view("<i8"))
+
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id).cast("long").alias("doc_id"), mark(F.col(text).cast("binary")).alias("fp"),
+        F.col(text).cast("binary").alias("text"),
+    )
+    same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["fp"] == chosen["fp"])
+    kept = rows.join(chosen.where("times = 1"), same, "left_semi").select("row.*")
+    repeated = chosen.where("times > 1")
+    if repeated.isEmpty():
+        return kept
+    again = rows.join(repeated, same, "left_semi").groupBy("doc_id", "fp").agg(F.min_by("row", F.struct("text", F.xxhash64("row"))).alias("row"))
+    return kept.unionByName(again.select("row.*"))
