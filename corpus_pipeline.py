@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allotment.llm import bpe, mixing, overlap, quality, secrets
+from allotment.llm import bpe, mixing, quality, secrets, simhash
 from allotment.llm.tables import Scratch, read
 
 #: Path of the byte-level BPE vocabulary of the last stage.
@@ -19,29 +19,30 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps.
+
+    Rows are judged one by one: repeated rows and rows without an id, text, source or language
+    are judged as ``quality.judged`` says, and stay or go as they are.
+    """
     told = quality.judged(docs.select(F.struct("*").alias("_document"), "doc_id", "text", "source", "lang"), read(spark, sf_dir, "labels"))
     return told.where("verdict.kept").select("_document.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id.
+    """One document of each group of near duplicates: four-word shingles, at most four differing bits.
 
-    Near duplicates share 0.8 or more of their five-word shingles (``overlap``). Ids tell documents apart: of rows that repeat an id one stays. Documents without an
-    id stay if no document with an id is in their group.
+    Rows are told apart by id and fingerprint; which row of a group stays, also with NULL and
+    repeated ids, is said in ``simhash.one_of_each``. NULL and empty texts are one group.
     """
-    found = overlap.similar_documents(docs)
-    ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_times"))
-    ids = Scratch(spark).write(ids, "first_of_group")
-    kept = docs.join(ids.select("_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    repeated = not ids.where("_times > 1 and _id is not null").isEmpty()
-    if not repeated:
-        return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    return simhash.one_of_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every found secret replaced by a mark and ``n_chars`` counted anew."""
+    """All documents, every found secret replaced by a mark and ``n_chars`` counted anew.
+
+    A NULL text stays NULL and keeps its ``n_chars``. Overlapping spans are replaced by one mark.
+    Repeated rows and NULL ids stay as they are.
+    """
     found = secrets.find_secrets(docs, carry=True)
     text = F.when(F.size("spans") > 0, secrets.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("row.text"))
     found = found.select("row", text.alias("text"))
@@ -50,12 +51,19 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    Each row is taken by itself, also where ids repeat or are NULL. Documents without words
+    have size 0 and are taken as often as the whole part of their source's rate says.
+    """
     return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` (packed little-endian 32-bit) and ``decoded``, the text of the ids."""
+    """``doc_id``, ``n_tokens``, ``ids`` (packed little-endian 32-bit) and ``decoded``, the text of the ids.
+
+    One row per row; a NULL text counts as empty and has no ids.
+    """
     return bpe.encode_decode(docs, VOCABULARY)
 
 
