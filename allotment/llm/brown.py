@@ -1,11 +1,17 @@
-"""Language-model scores by class-based bigrams over Brown classes."""
+"""Language-model scores by class-based bigrams over Brown classes.
+
+Classes are found in three steps, each over all training texts: the most frequent words by
+exchange, one after another, over the matrix of their bigrams; the other frequent words
+by exchange moves that all take place at once; all remaining words, down to those seen once,
+by one such move each. So every training word has a class that its own neighbours
+gave it, and what is gathered grows with the texts. Only the second step's words are broadcast.
+"""
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,27 +25,36 @@ END = ""  # no word is empty, so this stands for the end token
 
 @dataclass(frozen=True)
 class Sizes:
-    """Bounds of the model; none depends on the corpus.
+    """Bounds of what lies on the driver or is broadcast; none bounds which words get a class.
 
-    ``own``: most frequent words that are classified each on their own; all others are
-    classified together with those that share their last ``tail`` bytes, dealt into
-    ``tails`` groups by a hash. ``frequent``: words whose counts are broadcast; counts of
-    all others are joined. ``classes``, ``rounds``: of the exchange. ``inertia``:
-    pseudo-count of the smoothed transitions. ``held``: words that a task remembers.
+    ``own``: words exchanged one after another. ``frequent``: words that are broadcast, with
+    count and class (65,535 at most, as their places are kept in two bytes); all others are
+    joined by word. ``classes`` (250 at most), ``rounds``: of the exchange. ``moves``: rounds
+    of moves at once for the frequent words beyond ``own``. ``inertia``: pseudo-count of the
+    smoothed transitions. ``held``: entries that a task gathers before it passes them on.
     """
 
     own: int = 1024
-    tails: int = 256
-    tail: int = 3
-    frequent: int = 65536
+    frequent: int = 65535
     classes: int = 64
     rounds: int = 8
+    moves: int = 2
     inertia: float = 2.0
     held: int = 400_000
 
     @property
-    def symbols(self) -> int:
-        return self.own + self.tails + 1  # the last one is the end
+    def end(self) -> int:
+        """The class of the end token."""
+        return self.classes
+
+    @property
+    def open(self) -> int:
+        """Stands for the class of a word that has none yet."""
+        return self.classes + 1
+
+    @property
+    def contexts(self) -> int:
+        return self.classes + 2
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -72,61 +87,74 @@ def word_counts(texts: DataFrame, text: str = "text", held: int = Sizes.held) ->
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Symbols(dict):
-    """Word -> place among the frequent words, or minus one minus its tail group."""
-
-    def __init__(self, frequent: list[bytes], sizes: Sizes):
-        super().__init__((w, k) for k, w in enumerate(frequent))
-        self.sizes, self.fixed, self.frequent = sizes, len(frequent), frequent
+def _texts(frame: DataFrame, text: str, *more: Column) -> DataFrame:
+    return frame.select(*more, F.col(text).cast("binary").alias("text"))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.fixed + self.sizes.held:
-            self.clear()
-            self.update((w, k) for k, w in enumerate(self.frequent))
-        self[word] = code = self.of_tail(word)
-        return code
 
-    def of_tail(self, word: bytes) -> int:
-        return -1 - crc32(word[-self.sizes.tail :]) % self.sizes.tails
+def coded(texts: DataFrame, frequent: list[bytes], text: str = "text") -> DataFrame:
+    """``codes`` of each text: the places of its words among the frequent ones, two bytes each, others one past the last."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
-    def codes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.int32, count=len(words))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, other = {w: k for k, w in enumerate(shared.value)}.get, len(shared.value)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                lines = [
+                    np.array([place(w, other) for w in words_of(value.as_py())], dtype="<u2").tobytes()
+                    for value in batch["text"].slice(start, 256)
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary())], ["codes"])
 
-    def table(self) -> np.ndarray:
-        """Symbol by place of a frequent word; the tail groups' symbols follow ``own``."""
-        tails = [self.sizes.own - 1 - self.of_tail(w) for w in self.frequent[self.sizes.own :]]
-        return np.array([*range(min(self.sizes.own, self.fixed)), *tails], dtype=np.int64)
+    return _texts(texts, text).mapInArrow(run, "codes binary")
 
-    def symbols(self, codes: np.ndarray, table: np.ndarray) -> np.ndarray:
-        if not len(table):
-            return self.sizes.own - 1 - codes.astype(np.int64)
-        return np.where(codes >= 0, table[np.maximum(codes, 0)], self.sizes.own - 1 - codes)
 
+def _matrix(rows: DataFrame, column: str, symbols: Callable[[bytes], np.ndarray], size: int) -> np.ndarray:
+    """How often one symbol follows another, as a matrix of fixed size; texts start and stop with the last symbol.
 
-def symbol_bigrams(texts: DataFrame, frequent: list[bytes], sizes: Sizes, text: str = "text") -> np.ndarray:
-    """How often one symbol follows another, as a matrix of fixed size; texts start and stop with the end."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
-    size, end = sizes.symbols, sizes.symbols - 1
+    Symbols beyond the last one break the chain: pairs with them are left out.
+    """
+    end = size - 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols(shared.value, sizes)
-        table, total = symbols.table(), np.zeros(size * size, dtype=np.int64)
+        total = np.zeros(size * size, dtype=np.int64)
         for batch in batches:
-            for value in batch["text"]:
-                line = symbols.symbols(symbols.codes(words_of(value.as_py())), table)
-                np.add.at(total, np.r_[end, line] * size + np.r_[line, end], 1)
+            for value in batch[column]:
+                line = symbols(value.as_py())
+                first, second = np.r_[end, line], np.r_[line, end]
+                both = (first <= end) & (second <= end)
+                np.add.at(total, first[both] * size + second[both], 1)
         pairs = np.flatnonzero(total)
         for start in range(0, len(pairs), 1 << 16):
             some = pairs[start : start + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
 
-    counted = texts.select(F.col(text).cast("binary").alias("text")).mapInArrow(count, "pair long, n long")
-    rows = counted.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most symbols ** 2 rows
+    counted = rows.select(column).mapInArrow(count, "pair long, n long")
+    found = counted.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()  # at most size ** 2 rows
     matrix = np.zeros(size * size, dtype=np.float64)
-    matrix[rows["pair"].to_numpy()] = rows["n"].to_numpy()
+    matrix[found["pair"].to_numpy()] = found["n"].to_numpy()
     return matrix.reshape(size, size)
 
 
+def symbol_bigrams(codes: DataFrame, sizes: Sizes) -> np.ndarray:
+    """Bigrams of the ``own`` most frequent words and the end."""
+    own = sizes.own
+
+    def symbols(value: bytes) -> np.ndarray:
+        line = np.frombuffer(value, "<u2").astype(np.int64)
+        return np.where(line < own, line, own + 1)
+
+    return _matrix(codes, "codes", symbols, own + 1)
+
+
+def class_bigrams(codes: DataFrame, member: np.ndarray, sizes: Sizes) -> np.ndarray:
+    """Bigrams of classes, over neighbours that both have one. ``member`` ends with the entry of all other words."""
+
+    def symbols(value: bytes) -> np.ndarray:
+        return member[np.frombuffer(value, "<u2")].astype(np.int64)
+
+    return _matrix(codes, "codes", symbols, sizes.classes + 1)
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
@@ -182,24 +210,104 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     return member
 
 
+def smoothed(pairs: np.ndarray, sizes: Sizes, alive: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of a class after a class, and of each class (0 for those not ``alive``)."""
+    share = pairs.sum(axis=0) + 1.0
+    share = share if alive is None else share * alive
+    share = share / share.sum()
+    return (pairs + sizes.inertia * share) / (pairs.sum(axis=1, keepdims=True) + sizes.inertia), share
+
+
+def context_weights(pairs: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
+    """What one neighbour says for each class: by the class before the word, and by the class after it.
+
+    The log-likelihood of a word's tokens in a class is, but for what is the same in all
+    classes, the sum of log p(class | before) / p(class) and log p(after | class) / p(after).
+    Neighbours without a class say nothing.
+    """
+    p, share = smoothed(pairs, sizes)
+    before, after = np.zeros((2, sizes.contexts, sizes.classes))
+    before[: sizes.classes + 1] = np.log(p / share)[:, : sizes.classes]
+    after[: sizes.classes + 1] = np.log(p / share).T[:, : sizes.classes]
+    return before, after
+
+
+def _gathered(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.unique(np.concatenate(keys), return_counts=True)
+
+
+def code_contexts(codes: DataFrame, member: np.ndarray, sizes: Sizes) -> DataFrame:
+    """``word`` (place), ``slot``, ``n``: the classes before (slots from 0) and after each frequent word beyond ``own``.
+
+    Of the neighbours without a class only those before are listed; they weigh nothing.
+    """
+    own, size, words = sizes.own, sizes.contexts, len(member) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held = [], 0
+
+        def told() -> pa.RecordBatch:
+            found, n = _gathered(keys)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(found // (2 * size)), pa.array((found % (2 * size)).astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "slot", "n"]
+            )
+
+        for batch in batches:
+            for value in batch["codes"]:
+                line = np.frombuffer(value.as_py(), "<u2").astype(np.int64)
+                of = member[line].astype(np.int64)
+                moving = (line >= own) & (line < words)
+                for shift, near in ((0, np.r_[sizes.end, of[:-1]][: len(of)]), (size, np.r_[of[1:], sizes.end][: len(of)])):
+                    told_by = moving & ((near != sizes.open) | (shift == 0))  # every word has a row, so every word gets a class
+                    keys.append(line[told_by] * (2 * size) + shift + near[told_by])
+                    held += len(keys[-1])
+                if held > 10 * sizes.held:
+                    yield told()
+                    keys, held = [], 0
+        if held:
+            yield told()
+
+    return codes.mapInArrow(run, "word long, slot int, n long")
+
+
+def placed(contexts: DataFrame, weights: np.ndarray) -> DataFrame:
+    """``word``, ``n`` (sum over its slots), ``class``: the class for which the word's contexts say most.
+
+    Ties go to the lower one, as do words whose neighbours have no class either. A word has as many slots as ``weights`` has rows at most, which bounds a group.
+    """
+    summed = contexts.repartition("word").groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    lists = summed.groupBy("word").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("near"))
+    lists = lists.select("word", "n", F.col("near.slot").alias("slots"), F.col("near.n").alias("times"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                slots, times = part["slots"].flatten().to_numpy(), part["times"].flatten().to_numpy()
+                starts = np.r_[0, np.cumsum(part["slots"].value_lengths().to_numpy())[:-1]]  # no list is empty
+                best = np.add.reduceat(weights[slots] * times[:, None], starts, axis=0).argmax(axis=1)
+                yield pa.RecordBatch.from_arrays([part["word"], part["n"], pa.array(best.astype(np.int32))], ["word", "n", "class"])
+
+    return lists.mapInArrow(run, f"word {dict(contexts.dtypes)['word']}, n long, class int")
+
+
 @dataclass
-class Model:
-    """Everything of fixed size that scoring needs, and the table of all counts."""
+class Classes:
+    """The frequent words with their counts and classes, and the table of all counts."""
 
     sizes: Sizes
     frequent: list[bytes]
     frequent_counts: np.ndarray
-    member: np.ndarray  # class of each symbol
-    transitions: np.ndarray  # log10 p(class | class before)
-    emission_base: np.ndarray  # log10 of what a class's counts are divided by
+    member: np.ndarray  # class of each frequent word, then ``open`` for all others
+    pairs: np.ndarray  # class bigrams of the frequent words and the end
     tokens: int
     types: int
     documents: int
     counts: DataFrame = field(repr=False)
 
 
-def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model:
-    """Count all words, cluster the symbols, and estimate the class bigrams."""
+def cluster(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Classes:
+    """Count all words; find the classes of the frequent ones."""
     scratch = Scratch(texts.sparkSession)
     counts = scratch.write(word_counts(texts, text, sizes.held), "counts")
     tokens, types, documents = counts.agg(
@@ -207,87 +315,199 @@ def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model
     ).first()
     top = counts.where(F.length("word") > 0).orderBy(F.desc("n"), "word").limit(sizes.frequent).toArrow()
     frequent = top["word"].to_pylist()
-    bigrams = symbol_bigrams(texts, frequent, sizes, text)
-    member = exchange(bigrams, sizes.classes, sizes.rounds)
-    joined = np.zeros((sizes.symbols, sizes.classes + 1))
-    joined[np.arange(sizes.symbols), member] = 1
-    pairs = joined.T @ bigrams @ joined
-    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + sizes.classes + 1)
-    transitions = np.log10((pairs + sizes.inertia * share) / (pairs.sum(axis=1, keepdims=True) + sizes.inertia))
-    kinds = _types_by_class(counts, frequent, member, sizes)
-    emission_base = np.log10(pairs.sum(axis=0) + kinds + 1)
-    return Model(sizes, frequent, top["n"].to_numpy(), member, transitions, emission_base, tokens, types, documents, counts)
-
-
-def _types_by_class(counts: DataFrame, frequent: list[bytes], member: np.ndarray, sizes: Sizes) -> np.ndarray:
-    shared = counts.sparkSession.sparkContext.broadcast((frequent, member))
+    codes = scratch.write(coded(texts, frequent, text), "codes")
+    member = np.full(len(frequent) + 1, sizes.open, dtype=np.uint8)
+    first = min(sizes.own, len(frequent))
+    member[:first] = exchange(symbol_bigrams(codes, sizes), sizes.classes, sizes.rounds)[:first]
+    pairs = class_bigrams(codes, member, sizes)
+    for _ in range(sizes.moves if len(frequent) > first else 0):
+        moved = placed(code_contexts(codes, member, sizes), np.concatenate(context_weights(pairs, sizes))).toArrow()  # one row a frequent word
+        member = member.copy()
+        member[moved["word"].to_numpy()] = moved["class"].to_numpy()
+        pairs = class_bigrams(codes, member, sizes)
+    scratch.drop("codes")
+    return Classes(sizes, frequent, top["n"].to_numpy(), member, pairs, tokens, types, documents, counts)
+
+
+def marked(docs: DataFrame, known: Classes, *more: Column, text: str = "text") -> DataFrame:
+    """Per row, after ``more`` columns: what the frequent words say, and the other words by name.
+
+    ``classes``: a byte a word, ``open`` for other words; ``other``: which of ``names`` each of those
+    is, four bytes each; ``known`` and ``logs``: number of frequent words and sum of the log10 of
+    their counts plus one.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((known.frequent, np.log10(np.r_[known.frequent_counts, 0] + 1.0), known.member))
+    kept = _texts(docs, text, *more)
+    names = [c for c in kept.columns if c != "text"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, of = shared.value
-        symbols, total = Symbols(words, sizes), np.zeros(sizes.classes + 1, dtype=np.int64)
-        table = symbols.table()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, logs, member = shared.value
+        place = {w: k for k, w in enumerate(frequent)}.get
         for batch in batches:
-            codes = np.fromiter((symbols[w] if w in symbols else symbols.of_tail(w) for w in batch["word"].to_pylist()), dtype=np.int32)
-            total += np.bincount(of[symbols.symbols(codes, table)], minlength=sizes.classes + 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["class", "n"])
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                lines = []
+                for value in part["text"]:
+                    words = words_of(value.as_py())
+                    codes = np.array([place(w, -1) for w in words], dtype=np.int64)
+                    seen: dict[bytes, int] = {}
+                    other = np.array([seen.setdefault(words[k], len(seen)) for k in np.flatnonzero(codes < 0)], dtype="<i4")
+                    lines.append((member[codes].tobytes(), other.tobytes(), list(seen), int((codes >= 0).sum()), float(logs[codes].sum())))
+                kinds = (pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.int64(), pa.float64())
+                columns = [pa.array(c, t) for c, t in zip(zip(*lines), kinds)]
+                yield pa.RecordBatch.from_arrays([*(part[n] for n in names), *columns], [*names, "classes", "other", "names", "known", "logs"])
 
-    rows = counts.where(F.length("word") > 0).select("word").mapInArrow(count, "class long, n long")
-    found = {r["class"]: r["n"] for r in rows.groupBy("class").agg(F.sum("n").alias("n")).collect()}
-    return np.array([found.get(c, 0) for c in range(sizes.classes + 1)], dtype=np.float64)
+    schema = ", ".join([f"`{n}` {t}" for n, t in kept.dtypes if n != "text"])
+    return kept.mapInArrow(run, f"{schema}, classes binary, other binary, names array<binary>, known long, logs double")
 
 
-def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``.
+def name_contexts(rows: DataFrame, sizes: Sizes) -> DataFrame:
+    """``word``, ``slot`` (class before times ``contexts`` plus class after), ``n`` of all words that are not frequent."""
+    size = sizes.contexts
 
-    ``base_score`` is the add-one unigram log10 probability, ``score`` that of the class
-    bigrams: transitions of classes times the word's share of its class, add-one with one
-    place for all unseen words. Counts of frequent words are at hand in the tasks; all
-    other words are few of a kind, and their counts are joined by word.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, classes, other in zip(batch["names"], batch["classes"], batch["other"]):
+                if not len(names):
+                    continue
+                of = np.r_[sizes.end, np.frombuffer(classes.as_py(), np.uint8), sizes.end].astype(np.int64)
+                at = np.flatnonzero(of[1:-1] == sizes.open)
+                which = np.frombuffer(other.as_py(), "<i4").astype(np.int64)
+                found, n = _gathered([which * size * size + of[at] * size + of[at + 2]])
+                words = names.values.take(pa.array(found // (size * size)))
+                yield pa.RecordBatch.from_arrays([words, pa.array((found % (size * size)).astype(np.int32)), pa.array(n)], ["word", "slot", "n"])
+
+    return rows.select("names", "classes", "other").mapInArrow(run, "word binary, slot int, n long")
+
+
+def other_words(rows: DataFrame, known: Classes) -> DataFrame:
+    """``word``, ``n``, ``class`` of all training words that are not frequent, from ``marked`` training rows."""
+    before, after = context_weights(known.pairs, known.sizes)
+    return placed(name_contexts(rows, known.sizes), (before[:, None] + after[None]).reshape(-1, known.sizes.classes))
+
+
+def unseen_class(known: Classes, others: DataFrame) -> tuple[int, np.ndarray]:
+    """The class with most words seen once, where unseen words are put; words and tokens of each class."""
+    sizes = known.sizes
+    kinds, tokens, once = np.zeros((3, sizes.classes))
+    of = known.member[:-1].astype(np.int64)
+    for total, weights in ((kinds, np.ones(len(of))), (tokens, known.frequent_counts), (once, known.frequent_counts == 1)):
+        np.add.at(total, of, weights)
+    summed = others.groupBy("class").agg(F.count("*").alias("kinds"), F.sum("n").alias("tokens"), F.count_if(F.col("n") == 1).alias("once"))
+    for row in summed.collect():  # one row a class
+        kinds[row["class"]] += row["kinds"]
+        tokens[row["class"]] += row["tokens"]
+        once[row["class"]] += row["once"]
+    return int(once.argmax()), kinds + tokens
+
+
+def resolved(rows: DataFrame, others: DataFrame, unseen: int, sizes: Sizes, more: list[str]) -> DataFrame:
+    """``marked`` rows with the classes of all words: ``more`` columns, ``classes``, ``known``, ``logs``.
+
+    ``rows`` has a column ``key``, one value a row.
     """
-    scratch = Scratch(docs.sparkSession)
-    sizes = model.sizes
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (model.frequent, np.log10(model.frequent_counts + 1.0), model.member, model.transitions, model.emission_base)
-    )
-    end_log = float(np.log10(model.documents + 1))
-    end_known = int(model.documents > 0)
+    found = rows.select("key", F.posexplode("names").alias("at", "word")).join(others, "word")
+    found = found.groupBy("key").agg(F.collect_list(F.struct("at", "n", "class")).alias("found"))
+    slim = rows.withColumn("kinds", F.size("names")).drop("names").join(found, "key", "left")
+    slim = slim.select(*more, "classes", "other", "kinds", "known", "logs", F.col("found.at").alias("at"), F.col("found.n").alias("n"), F.col("found.class").alias("of"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, logs, member, transitions, emission_base = shared.value
-        symbols, end = Symbols(frequent, sizes), sizes.classes
-        table = symbols.table()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 lines = []
-                for value in part["text"]:
-                    words = words_of(value.as_py())
-                    codes = symbols.codes(words)
-                    of = member[symbols.symbols(codes, table)]
-                    known = codes[codes >= 0]
-                    moves = transitions[np.r_[end, of], np.r_[of, end]].sum()
-                    rare = Counter([words[k] for k in np.flatnonzero(codes < 0)])
-                    lines.append((
-                        len(words) + 1, len(known) + end_known, logs[known].sum() + end_log,
-                        moves - emission_base[of].sum() - end_log, list(rare), list(rare.values()),
-                    ))
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()))
-                columns = [pa.array(c, t) for c, t in zip(zip(*lines), kinds)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], ["doc_id", "n_tokens", "known", "logs", "other", "rare", "times"])
-
-    slim = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    scored = slim.mapInArrow(run, "doc_id long, n_tokens long, known long, logs double, other double, rare array<binary>, times array<long>")
-    scored = scratch.write(scored.withColumn("key", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("key", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))))
-    joined = rare.join(model.counts, "word").groupBy("key").agg(
-        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs"), F.sum("times").alias("rare_known")
-    )
-    all_logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
-    floor = float(np.log10(model.tokens + model.types + 1))
-    return scored.drop("rare", "times").join(joined, "key", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-        (all_logs - F.col("n_tokens") * floor).alias("base_score"), (all_logs + F.col("other")).alias("score"),
-    )
+                for classes, other, kinds, count, logs, at, n, of in zip(*(part[c] for c in ("classes", "other", "kinds", "known", "logs", "at", "n", "of"))):
+                    line = np.frombuffer(classes.as_py(), np.uint8).copy()
+                    which = np.frombuffer(other.as_py(), "<i4")
+                    member, times = np.full(kinds.as_py(), unseen, dtype=np.uint8), np.zeros(kinds.as_py())
+                    if at.is_valid:
+                        place = at.values.to_numpy()
+                        member[place], times[place] = of.values.to_numpy(), n.values.to_numpy()
+                    line[line == sizes.open] = member[which]
+                    lines.append((line.tobytes(), count.as_py() + int((times[which] > 0).sum()), logs.as_py() + float(np.log10(times[which] + 1).sum())))
+                columns = [pa.array(c, t) for c, t in zip(zip(*lines), (pa.binary(), pa.int64(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in more), *columns], [*more, "classes", "known", "logs"])
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in slim.select(*more).dtypes)
+    return slim.mapInArrow(run, f"{schema}, classes binary, known long, logs double")
+
+
+@dataclass
+class Model:
+    """The words and their classes, and the smoothed probabilities over classes."""
+
+    known: Classes
+    others: DataFrame = field(repr=False)  # word, n, class of the words that are not frequent
+    unseen: int  # class of unseen words
+    transitions: np.ndarray  # log10 p(class | class before)
+    emission_base: np.ndarray  # log10 of what a class's counts are divided by
+
+
+def _model(known: Classes, others: DataFrame, unseen: int, mass: np.ndarray, train_rows: DataFrame) -> Model:
+    sizes = known.sizes
+    pairs = _matrix(train_rows, "classes", lambda value: np.frombuffer(value, np.uint8).astype(np.int64), sizes.classes + 1)
+    mass = mass + (np.arange(sizes.classes) == unseen)
+    transitions, _ = smoothed(pairs, sizes, np.r_[mass > 0, True])
+    with np.errstate(divide="ignore"):  # classes without words are never entered
+        return Model(known, others, unseen, np.log10(transitions), np.r_[np.log10(np.maximum(mass, 1.0)), 0.0])
+
+
+def _learn(rows: DataFrame, train_rows: DataFrame, known: Classes, scratch: Scratch, more: list[str]) -> tuple[DataFrame, DataFrame, int, np.ndarray]:
+    """Classes of the other words from ``train_rows``, and all ``rows`` resolved."""
+    others = scratch.write(other_words(train_rows, known), "others")
+    unseen, mass = unseen_class(known, others)
+    return others, scratch.write(resolved(rows, others, unseen, known.sizes, more), "resolved"), unseen, mass
+
+
+def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model:
+    """Count all words, find all classes, and estimate the class bigrams."""
+    scratch = Scratch(texts.sparkSession)
+    known = cluster(texts, text, sizes)
+    rows = scratch.write(marked(texts, known, F.monotonically_increasing_id().alias("key"), text=text), "marked")
+    others, lines, unseen, mass = _learn(rows, rows, known, scratch, ["key"])
+    model = _model(known, others, unseen, mass, lines)
+    scratch.drop("marked", "resolved")
+    return model
+
+
+def _scored(rows: DataFrame, model: Model, more: list[str]) -> DataFrame:
+    """Scores of resolved rows."""
+    known, sizes = model.known, model.known.sizes
+    transitions, emission_base = model.transitions, model.emission_base
+    end_log, end_known = float(np.log10(known.documents + 1)), int(known.documents > 0)
+    floor = float(np.log10(known.tokens + known.types + 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for classes, count, logs in zip(batch["classes"], batch["known"], batch["logs"]):
+                of = np.frombuffer(classes.as_py(), np.uint8)
+                moves = transitions[np.r_[sizes.end, of], np.r_[of, sizes.end]].sum()
+                tokens = len(of) + 1
+                lines.append((
+                    tokens, count.as_py() + end_known, logs.as_py() + end_log - tokens * floor, logs.as_py() + moves - emission_base[of].sum(),
+                ))
+            columns = [pa.array(c, t) for c, t in zip(zip(*lines), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            if lines:
+                yield pa.RecordBatch.from_arrays([*(batch[c] for c in more), *columns], [*more, "n_tokens", "n_known", "base_score", "score"])
+
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.select(*more).dtypes)
+    return rows.select(*more, "classes", "known", "logs").mapInArrow(run, f"{schema}, n_tokens long, n_known long, base_score double, score double")
+
+
+def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``.
+
+    ``base_score`` is the add-one unigram log10 probability, ``score`` that of the class
+    bigrams: transitions of classes times the word's share of its class, add-one. All unseen words
+    share one place, in the class that has most words seen once. Counts and classes of frequent
+    words are at hand in the tasks; all other words are few of a kind, and are joined by word.
+    """
+    scratch = Scratch(docs.sparkSession)
+    key = F.monotonically_increasing_id().alias("key")
+    rows = scratch.write(marked(docs, model.known, F.col(id).cast("long").alias("doc_id"), key, text=text), "marked")
+    lines = resolved(rows, model.others, model.unseen, model.known.sizes, ["doc_id"])
+    return _scored(lines, model, ["doc_id"])
 
 
 def score_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text", sizes: Sizes = Sizes()) -> DataFrame:
@@ -295,10 +515,19 @@ def score_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text", size
 
     Adds ``held_out`` and ``train_tokens`` to the columns of ``score``. A NULL text counts
     as empty: one end token. A NULL id counts as the empty string. Without training
-    rows every word is unknown. Repeated rows are scored each and trained on each.
+    rows every word is unknown. Repeated rows are scored each and trained on each. Training
+    rows and others are marked and resolved together, so each text is joined with the words once.
     """
-    model = train(docs.where(~is_held_out(F.col(id))), text, sizes)
-    return score(docs, model, id, text).select(
-        "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    scratch = Scratch(docs.sparkSession)
+    known = cluster(docs.where(~is_held_out(F.col(id))), text, sizes)
+    more = ["doc_id", "held_out"]
+    rows = scratch.write(marked(
+        docs, known, F.col(id).cast("long").alias("doc_id"), is_held_out(F.col(id)).alias("held_out"),
+        F.monotonically_increasing_id().alias("key"), text=text,
+    ), "marked")
+    others, lines, unseen, mass = _learn(rows, rows.where("NOT held_out"), known, scratch, more)
+    scratch.drop("marked")
+    model = _model(known, others, unseen, mass, lines.where("NOT held_out"))
+    return _scored(lines, model, more).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )

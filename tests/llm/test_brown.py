@@ -8,11 +8,11 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from allotment.llm.brown import Sizes, exchange, score, score_held_out, train, words_of
+from allotment.llm.brown import Sizes, context_weights, exchange, score, score_held_out, train, words_of
 
 from . import frames
 
-SMALL = Sizes(own=20, tails=8, frequent=40, classes=4, rounds=6, held=50)
+SMALL = Sizes(own=20, frequent=40, classes=4, rounds=6, held=50)
 
 
 def corpus(n: int = 400):
@@ -53,29 +53,72 @@ def test_classes_beat_single_words_on_held_out_texts(spark):
 
 
 def test_probabilities_add_up(spark):
-    """Over all known words and one unseen word per class, one token after another."""
+    """Over all known words, an unseen one and the end, as the next token of an empty text."""
     frame = frames.docs(spark, corpus(60))
     model = train(frame, sizes=SMALL)
     assert np.allclose((10**model.transitions).sum(axis=1), 1)
-    words = [bytes(r.word) for r in model.counts.collect() if r.word]
-    unseen = {}
-    for k in range(5000):
-        word = f"unseen{k}"
-        unseen.setdefault(crc32(word.encode()[-SMALL.tail :]) % SMALL.tails, word)
-    probe = frames.docs(spark, [(k, w.decode(), None, None) for k, w in enumerate(words)] + [(-1 - g, w, None, None) for g, w in unseen.items()])
+    of = classes_of(model)
+    words = list(of)
+    probe = frames.docs(spark, [(k, w.decode(), None, None) for k, w in enumerate(words)] + [(-1, "never", None, None)])
     rows = {r.doc_id: r.score for r in score(probe, model).collect()}
-    end, to_end = SMALL.classes, model.transitions[:, SMALL.classes]
-    tail_class = {g: model.member[SMALL.own + g] for g in unseen}
-    shares = [10 ** rows[k] for k in range(len(words))]
-    from allotment.llm.brown import Symbols
-
-    symbols = Symbols(model.frequent, SMALL)
-    of = model.member[symbols.symbols(symbols.codes(words), symbols.table())]
-    known = sum(p / 10 ** to_end[c] for p, c in zip(shares, of))
-    open_classes = {c: 10 ** (rows[-1 - g] - to_end[c]) for g, c in tail_class.items()}
-    for c in range(SMALL.classes):  # classes that no tail group belongs to keep their place for unseen words unused
-        open_classes.setdefault(c, 10 ** (model.transitions[end, c] - model.emission_base[c]))
-    assert known + sum(open_classes.values()) + 10 ** model.transitions[end, end] == pytest.approx(1, abs=1e-9)
+    end, to_end = SMALL.end, model.transitions[:, SMALL.end]
+    total = sum(10 ** (rows[k] - to_end[of[w]]) for k, w in enumerate(words)) + 10 ** (rows[-1] - to_end[model.unseen])
+    assert total + 10 ** model.transitions[end, end] == pytest.approx(1, abs=1e-9)
+
+
+def classes_of(model):
+    of = dict(zip(model.known.frequent, model.known.member.tolist()))
+    return of | {bytes(r.word): r["class"] for r in model.others.collect()}
+
+
+def test_every_word_has_a_class_of_its_own_contexts(spark):
+    """Words that are not frequent: the class of the highest summed weight, by a plain recount; and no word is without one."""
+    rows = corpus(200)
+    model = train(frames.docs(spark, rows), sizes=SMALL)
+    of, counts = classes_of(model), Counter(w for r in rows for w in words_of(r[1].encode()))
+    assert set(of) == set(counts) and max(of.values()) < SMALL.classes
+    frequent = dict(zip(model.known.frequent, model.known.member.tolist()))
+    before, after = context_weights(model.known.pairs, SMALL)
+    sums = {}
+    for r in rows:
+        line = words_of(r[1].encode())
+        near = [SMALL.end, *(frequent.get(w, SMALL.open) for w in line), SMALL.end]
+        for k, w in enumerate(line):
+            if w not in frequent:
+                sums[w] = sums.get(w, 0) + before[near[k]] + after[near[k + 2]]
+    others = {bytes(r.word): (r.n, r["class"]) for r in model.others.collect()}
+    assert set(sums) == set(others)
+    for w, (n, c) in others.items():
+        assert n == counts[w] and sums[w][c] == pytest.approx(sums[w].max())
+
+
+def test_scores_against_a_plain_model(spark):
+    """Class bigrams counted anew in plain Python from the classes; every text's score."""
+    rows = [r for r in corpus(150) + frames.EDGES]
+    out = score_held_out(frames.docs(spark, rows), sizes=SMALL).collect()
+    model = train(frames.docs(spark, [r for r in rows if not held_out(r[0])]), sizes=SMALL)
+    of, size = classes_of(model), SMALL.classes + 1
+    counts, pairs = Counter(), np.zeros((size, size))
+    line = lambda t: [SMALL.end, *(of.get(w, model.unseen) for w in words_of((t or "").encode())), SMALL.end]
+    for i, t, *_ in rows:
+        if not held_out(i):
+            counts.update(words_of((t or "").encode()))
+            for a, b in zip(line(t), line(t)[1:]):
+                pairs[a, b] += 1
+    mass = np.zeros(SMALL.classes)
+    for w, n in counts.items():
+        mass[of[w]] += n + 1
+    mass[model.unseen] += 1
+    share = (pairs.sum(axis=0) + 1) * np.r_[mass > 0, True]
+    share /= share.sum()
+    p = (pairs + SMALL.inertia * share) / (pairs.sum(axis=1, keepdims=True) + SMALL.inertia)
+    want = Counter()
+    for i, t, *_ in rows:
+        words = words_of((t or "").encode())
+        told = sum(math.log10(p[a, b]) for a, b in zip(line(t), line(t)[1:]))
+        told += sum(math.log10((counts[w] + 1) / mass[of.get(w, model.unseen)]) for w in words)
+        want[(i, round(told, 5))] += 1
+    assert Counter((r.doc_id, round(r.score, 5)) for r in out) == want
 
 
 def likelihood(bigrams, member):
