@@ -30,7 +30,8 @@ class Sizes:
     ``own``: words exchanged one after another. ``frequent``: words that are broadcast, with
     count and class (65,535 at most, as their places are kept in two bytes); all others are
     joined by word. ``classes`` (250 at most), ``rounds``: of the exchange. ``moves``: rounds
-    of moves at once for the frequent words beyond ``own``. ``inertia``: pseudo-count of the
+    of moves at once for the frequent words beyond ``own``. ``passes``: the same for all other
+    words. ``inertia``: pseudo-count of the
     smoothed transitions. ``held``: entries that a task gathers before it passes them on.
     """
 
@@ -38,7 +39,8 @@ class Sizes:
     frequent: int = 65535
     classes: int = 64
     rounds: int = 8
-    moves: int = 2
+    moves: int = 1
+    passes: int = 3
     inertia: float = 2.0
     held: int = 400_000
 
@@ -210,11 +212,9 @@ def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     return member
 
 
-def smoothed(pairs: np.ndarray, sizes: Sizes, alive: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of a class after a class, and of each class (0 for those not ``alive``)."""
-    share = pairs.sum(axis=0) + 1.0
-    share = share if alive is None else share * alive
-    share = share / share.sum()
+def smoothed(pairs: np.ndarray, sizes: Sizes) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities of a class after a class, and of each class."""
+    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + len(pairs))
     return (pairs + sizes.inertia * share) / (pairs.sum(axis=1, keepdims=True) + sizes.inertia), share
 
 
@@ -270,25 +270,60 @@ def code_contexts(codes: DataFrame, member: np.ndarray, sizes: Sizes) -> DataFra
     return codes.mapInArrow(run, "word long, slot int, n long")
 
 
-def placed(contexts: DataFrame, weights: np.ndarray) -> DataFrame:
-    """``word``, ``n`` (sum over its slots), ``class``: the class for which the word's contexts say most.
-
-    Ties go to the lower one, as do words whose neighbours have no class either. A word has as many slots as ``weights`` has rows at most, which bounds a group.
-    """
+def context_lists(contexts: DataFrame) -> DataFrame:
+    """``word``, ``n`` (sum over its slots), ``slots`` and ``times``. A word has no more entries than there are slots."""
     summed = contexts.repartition("word").groupBy("word", "slot").agg(F.sum("n").alias("n"))
     lists = summed.groupBy("word").agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("near"))
-    lists = lists.select("word", "n", F.col("near.slot").alias("slots"), F.col("near.n").alias("times"))
+    return lists.select("word", "n", F.col("near.slot").alias("slots"), F.col("near.n").alias("times"))
+
+
+def _best(part: pa.RecordBatch, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class of each word of ``context_lists``, and all slots and times of the words, one after another."""
+    slots, times = part["slots"].flatten().to_numpy(), part["times"].flatten().to_numpy()
+    starts = np.r_[0, np.cumsum(part["slots"].value_lengths().to_numpy())[:-1]]  # no list is empty
+    return np.add.reduceat(weights[slots] * times[:, None], starts, axis=0).argmax(axis=1), slots, times
+
+
+def placed(lists: DataFrame, weights: np.ndarray) -> DataFrame:
+    """``word``, ``n``, ``class``: the class for which the word's contexts say most.
+
+    Ties go to the lower one, as do words whose neighbours have no class either.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                slots, times = part["slots"].flatten().to_numpy(), part["times"].flatten().to_numpy()
-                starts = np.r_[0, np.cumsum(part["slots"].value_lengths().to_numpy())[:-1]]  # no list is empty
-                best = np.add.reduceat(weights[slots] * times[:, None], starts, axis=0).argmax(axis=1)
-                yield pa.RecordBatch.from_arrays([part["word"], part["n"], pa.array(best.astype(np.int32))], ["word", "n", "class"])
+                best = _best(part, weights)[0].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part["word"], part["n"], pa.array(best)], ["word", "n", "class"])
+
+    return lists.mapInArrow(run, f"word {dict(lists.dtypes)['word']}, n long, class int")
+
+
+def pairs_when_placed(lists: DataFrame, pairs: np.ndarray, weights: np.ndarray, sizes: Sizes) -> np.ndarray:
+    """``pairs`` with the bigrams that the words add in the classes they are placed in; slots are pairs of neighbours' classes."""
+    size, slots_in_all = sizes.contexts, len(weights)
 
-    return lists.mapInArrow(run, f"word {dict(contexts.dtypes)['word']}, n long, class int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(sizes.classes * slots_in_all, dtype=np.int64)
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                best, slots, times = _best(part, weights)
+                of = np.repeat(best, part["slots"].value_lengths().to_numpy())
+                np.add.at(total, of * slots_in_all + slots, times)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["place", "n"])
+
+    summed = lists.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    rows = summed.toArrow()  # at most classes times slots
+    place, n = rows["place"].to_numpy(), rows["n"].to_numpy()
+    of, before, after = place // slots_in_all, place % slots_in_all // size, place % size
+    grown = np.zeros((size, size))
+    grown[: len(pairs), : len(pairs)] = pairs
+    np.add.at(grown, (before, of), n)
+    np.add.at(grown, (of, after), n)
+    return grown[: len(pairs), : len(pairs)]
 
 
 @dataclass
@@ -321,7 +356,8 @@ def cluster(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Cla
     member[:first] = exchange(symbol_bigrams(codes, sizes), sizes.classes, sizes.rounds)[:first]
     pairs = class_bigrams(codes, member, sizes)
     for _ in range(sizes.moves if len(frequent) > first else 0):
-        moved = placed(code_contexts(codes, member, sizes), np.concatenate(context_weights(pairs, sizes))).toArrow()  # one row a frequent word
+        moved = placed(context_lists(code_contexts(codes, member, sizes)), np.concatenate(context_weights(pairs, sizes)))
+        moved = moved.select("word", "class").toArrow()  # one row a frequent word
         member = member.copy()
         member[moved["word"].to_numpy()] = moved["class"].to_numpy()
         pairs = class_bigrams(codes, member, sizes)
@@ -380,31 +416,38 @@ def name_contexts(rows: DataFrame, sizes: Sizes) -> DataFrame:
     return rows.select("names", "classes", "other").mapInArrow(run, "word binary, slot int, n long")
 
 
-def other_words(rows: DataFrame, known: Classes) -> DataFrame:
-    """``word``, ``n``, ``class`` of all training words that are not frequent, from ``marked`` training rows."""
-    before, after = context_weights(known.pairs, known.sizes)
-    return placed(name_contexts(rows, known.sizes), (before[:, None] + after[None]).reshape(-1, known.sizes.classes))
+def other_words(rows: DataFrame, known: Classes, scratch: Scratch) -> DataFrame:
+    """``word``, ``n``, ``class`` of all training words that are not frequent, from ``marked`` training rows.
 
+    The words are placed ``passes`` times; what they add to the bigrams when they are placed counts in the next pass.
+    """
+    sizes, pairs = known.sizes, known.pairs
+    lists = scratch.write(context_lists(name_contexts(rows, sizes)), "lists")
 
-def unseen_class(known: Classes, others: DataFrame) -> tuple[int, np.ndarray]:
-    """The class with most words seen once, where unseen words are put; words and tokens of each class."""
-    sizes = known.sizes
-    kinds, tokens, once = np.zeros((3, sizes.classes))
-    of = known.member[:-1].astype(np.int64)
-    for total, weights in ((kinds, np.ones(len(of))), (tokens, known.frequent_counts), (once, known.frequent_counts == 1)):
-        np.add.at(total, of, weights)
-    summed = others.groupBy("class").agg(F.count("*").alias("kinds"), F.sum("n").alias("tokens"), F.count_if(F.col("n") == 1).alias("once"))
-    for row in summed.collect():  # one row a class
-        kinds[row["class"]] += row["kinds"]
-        tokens[row["class"]] += row["tokens"]
-        once[row["class"]] += row["once"]
-    return int(once.argmax()), kinds + tokens
-
-
-def resolved(rows: DataFrame, others: DataFrame, unseen: int, sizes: Sizes, more: list[str]) -> DataFrame:
+    def weights(pairs: np.ndarray) -> np.ndarray:
+        before, after = context_weights(pairs, sizes)
+        return (before[:, None] + after[None]).reshape(-1, sizes.classes)
+
+    for _ in range(sizes.passes - 1):
+        pairs = pairs_when_placed(lists, known.pairs, weights(pairs), sizes)
+    others = scratch.write(placed(lists, weights(pairs)), "others")
+    scratch.drop("lists")
+    return others
+
+
+def class_mass(known: Classes, others: DataFrame) -> np.ndarray:
+    """Tokens plus words of each class, and one for unseen words: what the class's add-one counts are divided by."""
+    mass = np.ones(known.sizes.classes)
+    np.add.at(mass, known.member[:-1].astype(np.int64), known.frequent_counts + 1)
+    for row in others.groupBy("class").agg(F.sum(F.col("n") + 1).alias("n")).collect():  # one row a class
+        mass[row["class"]] += row["n"]
+    return mass
+
+
+def resolved(rows: DataFrame, others: DataFrame, sizes: Sizes, more: list[str]) -> DataFrame:
     """``marked`` rows with the classes of all words: ``more`` columns, ``classes``, ``known``, ``logs``.
 
-    ``rows`` has a column ``key``, one value a row.
+    Words that no training text has stay ``open``. ``rows`` has a column ``key``, one value a row.
     """
     found = rows.select("key", F.posexplode("names").alias("at", "word")).join(others, "word")
     found = found.groupBy("key").agg(F.collect_list(F.struct("at", "n", "class")).alias("found"))
@@ -419,7 +462,7 @@ def resolved(rows: DataFrame, others: DataFrame, unseen: int, sizes: Sizes, more
                 for classes, other, kinds, count, logs, at, n, of in zip(*(part[c] for c in ("classes", "other", "kinds", "known", "logs", "at", "n", "of"))):
                     line = np.frombuffer(classes.as_py(), np.uint8).copy()
                     which = np.frombuffer(other.as_py(), "<i4")
-                    member, times = np.full(kinds.as_py(), unseen, dtype=np.uint8), np.zeros(kinds.as_py())
+                    member, times = np.full(kinds.as_py(), sizes.open, dtype=np.uint8), np.zeros(kinds.as_py())
                     if at.is_valid:
                         place = at.values.to_numpy()
                         member[place], times[place] = of.values.to_numpy(), n.values.to_numpy()
@@ -438,25 +481,23 @@ class Model:
 
     known: Classes
     others: DataFrame = field(repr=False)  # word, n, class of the words that are not frequent
-    unseen: int  # class of unseen words
+    unseen: np.ndarray  # class of an unseen word, by the class before it
     transitions: np.ndarray  # log10 p(class | class before)
     emission_base: np.ndarray  # log10 of what a class's counts are divided by
 
 
-def _model(known: Classes, others: DataFrame, unseen: int, mass: np.ndarray, train_rows: DataFrame) -> Model:
+def _model(known: Classes, others: DataFrame, mass: np.ndarray, train_rows: DataFrame) -> Model:
     sizes = known.sizes
     pairs = _matrix(train_rows, "classes", lambda value: np.frombuffer(value, np.uint8).astype(np.int64), sizes.classes + 1)
-    mass = mass + (np.arange(sizes.classes) == unseen)
-    transitions, _ = smoothed(pairs, sizes, np.r_[mass > 0, True])
-    with np.errstate(divide="ignore"):  # classes without words are never entered
-        return Model(known, others, unseen, np.log10(transitions), np.r_[np.log10(np.maximum(mass, 1.0)), 0.0])
+    transitions, emission_base = np.log10(smoothed(pairs, sizes)[0]), np.log10(mass)
+    unseen = (transitions[:, : sizes.classes] - emission_base).argmax(axis=1).astype(np.uint8)
+    return Model(known, others, unseen, transitions, emission_base)
 
 
-def _learn(rows: DataFrame, train_rows: DataFrame, known: Classes, scratch: Scratch, more: list[str]) -> tuple[DataFrame, DataFrame, int, np.ndarray]:
+def _learn(rows: DataFrame, train_rows: DataFrame, known: Classes, scratch: Scratch, more: list[str]) -> tuple[DataFrame, DataFrame]:
     """Classes of the other words from ``train_rows``, and all ``rows`` resolved."""
-    others = scratch.write(other_words(train_rows, known), "others")
-    unseen, mass = unseen_class(known, others)
-    return others, scratch.write(resolved(rows, others, unseen, known.sizes, more), "resolved"), unseen, mass
+    others = other_words(train_rows, known, scratch)
+    return others, scratch.write(resolved(rows, others, known.sizes, more), "resolved")
 
 
 def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model:
@@ -464,8 +505,8 @@ def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model
     scratch = Scratch(texts.sparkSession)
     known = cluster(texts, text, sizes)
     rows = scratch.write(marked(texts, known, F.monotonically_increasing_id().alias("key"), text=text), "marked")
-    others, lines, unseen, mass = _learn(rows, rows, known, scratch, ["key"])
-    model = _model(known, others, unseen, mass, lines)
+    others, lines = _learn(rows, rows, known, scratch, ["key"])
+    model = _model(known, others, class_mass(known, others), lines)
     scratch.drop("marked", "resolved")
     return model
 
@@ -473,7 +514,7 @@ def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model
 def _scored(rows: DataFrame, model: Model, more: list[str]) -> DataFrame:
     """Scores of resolved rows."""
     known, sizes = model.known, model.known.sizes
-    transitions, emission_base = model.transitions, model.emission_base
+    transitions, emission_base, unseen = model.transitions, model.emission_base, model.unseen
     end_log, end_known = float(np.log10(known.documents + 1)), int(known.documents > 0)
     floor = float(np.log10(known.tokens + known.types + 1))
 
@@ -481,7 +522,9 @@ def _scored(rows: DataFrame, model: Model, more: list[str]) -> DataFrame:
         for batch in batches:
             lines = []
             for classes, count, logs in zip(batch["classes"], batch["known"], batch["logs"]):
-                of = np.frombuffer(classes.as_py(), np.uint8)
+                of = np.frombuffer(classes.as_py(), np.uint8).copy()
+                for k in np.flatnonzero(of == sizes.open):
+                    of[k] = unseen[of[k - 1] if k else sizes.end]
                 moves = transitions[np.r_[sizes.end, of], np.r_[of, sizes.end]].sum()
                 tokens = len(of) + 1
                 lines.append((
@@ -499,14 +542,16 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     """Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``.
 
     ``base_score`` is the add-one unigram log10 probability, ``score`` that of the class
-    bigrams: transitions of classes times the word's share of its class, add-one. All unseen words
-    share one place, in the class that has most words seen once. Counts and classes of frequent
-    words are at hand in the tasks; all other words are few of a kind, and are joined by word.
+    bigrams: transitions of classes times the word's share of its class, add-one with one
+    place in each class for unseen words. After a given class an unseen word is put in the class
+    where it is likeliest, and in no other, so the probabilities of what may follow add up
+    to one at most. Counts and classes of frequent words are at hand in the tasks; all other
+    words are few of a kind, and are joined by word.
     """
     scratch = Scratch(docs.sparkSession)
     key = F.monotonically_increasing_id().alias("key")
     rows = scratch.write(marked(docs, model.known, F.col(id).cast("long").alias("doc_id"), key, text=text), "marked")
-    lines = resolved(rows, model.others, model.unseen, model.known.sizes, ["doc_id"])
+    lines = resolved(rows, model.others, model.known.sizes, ["doc_id"])
     return _scored(lines, model, ["doc_id"])
 
 
@@ -525,9 +570,9 @@ def score_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text", size
         docs, known, F.col(id).cast("long").alias("doc_id"), is_held_out(F.col(id)).alias("held_out"),
         F.monotonically_increasing_id().alias("key"), text=text,
     ), "marked")
-    others, lines, unseen, mass = _learn(rows, rows.where("NOT held_out"), known, scratch, more)
+    others, lines = _learn(rows, rows.where("NOT held_out"), known, scratch, more)
     scratch.drop("marked")
-    model = _model(known, others, unseen, mass, lines.where("NOT held_out"))
+    model = _model(known, others, class_mass(known, others), lines.where("NOT held_out"))
     return _scored(lines, model, more).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
+from dataclasses import replace
 from zlib import crc32
 
 import numpy as np
@@ -53,7 +54,7 @@ def test_classes_beat_single_words_on_held_out_texts(spark):
 
 
 def test_probabilities_add_up(spark):
-    """Over all known words, an unseen one and the end, as the next token of an empty text."""
+    """All known words, an unseen one and the end as the next token of an empty text, with the unused places for unseen words."""
     frame = frames.docs(spark, corpus(60))
     model = train(frame, sizes=SMALL)
     assert np.allclose((10**model.transitions).sum(axis=1), 1)
@@ -62,8 +63,11 @@ def test_probabilities_add_up(spark):
     probe = frames.docs(spark, [(k, w.decode(), None, None) for k, w in enumerate(words)] + [(-1, "never", None, None)])
     rows = {r.doc_id: r.score for r in score(probe, model).collect()}
     end, to_end = SMALL.end, model.transitions[:, SMALL.end]
-    total = sum(10 ** (rows[k] - to_end[of[w]]) for k, w in enumerate(words)) + 10 ** (rows[-1] - to_end[model.unseen])
-    assert total + 10 ** model.transitions[end, end] == pytest.approx(1, abs=1e-9)
+    put = int(model.unseen[end])
+    places = 10 ** (model.transitions[end, : SMALL.classes] - model.emission_base)
+    assert places.argmax() == put
+    total = sum(10 ** (rows[k] - to_end[of[w]]) for k, w in enumerate(words)) + 10 ** (rows[-1] - to_end[put])
+    assert total + 10 ** model.transitions[end, end] + places.sum() - places[put] == pytest.approx(1, abs=1e-9)
 
 
 def classes_of(model):
@@ -74,7 +78,7 @@ def classes_of(model):
 def test_every_word_has_a_class_of_its_own_contexts(spark):
     """Words that are not frequent: the class of the highest summed weight, by a plain recount; and no word is without one."""
     rows = corpus(200)
-    model = train(frames.docs(spark, rows), sizes=SMALL)
+    model = train(frames.docs(spark, rows), sizes=replace(SMALL, passes=1))
     of, counts = classes_of(model), Counter(w for r in rows for w in words_of(r[1].encode()))
     assert set(of) == set(counts) and max(of.values()) < SMALL.classes
     frequent = dict(zip(model.known.frequent, model.known.member.tolist()))
@@ -92,6 +96,29 @@ def test_every_word_has_a_class_of_its_own_contexts(spark):
         assert n == counts[w] and sums[w][c] == pytest.approx(sums[w].max())
 
 
+def test_passes_count_what_the_last_one_placed(spark):
+    """The bigrams after a pass, by a plain recount, and the second pass by them."""
+    rows = corpus(200)
+    once, twice = (train(frames.docs(spark, rows), sizes=replace(SMALL, passes=k)) for k in (1, 2))
+    frequent = dict(zip(once.known.frequent, once.known.member.tolist()))
+    first = {bytes(r.word): r["class"] for r in once.others.collect()}
+    lines = [[SMALL.end, *(frequent.get(w, w) for w in words_of(r[1].encode())), SMALL.end] for r in rows]
+    pairs = once.known.pairs.copy()
+    for line in lines:
+        for a, b in zip(line, line[1:]):
+            if isinstance(a, bytes) != isinstance(b, bytes):
+                pairs[first.get(a, a), first.get(b, b)] += 1
+    before, after = context_weights(pairs, SMALL)
+    sums = {}
+    for line in lines:
+        for a, w, b in zip(line, line[1:], line[2:]):
+            if isinstance(w, bytes):
+                sums[w] = sums.get(w, 0) + sum(t[c] for t, c in ((before, a), (after, b)) if not isinstance(c, bytes))
+    for r in twice.others.collect():
+        told = sums[bytes(r.word)]
+        assert (np.isscalar(told) or told[r["class"]] == pytest.approx(told.max()))
+
+
 def test_scores_against_a_plain_model(spark):
     """Class bigrams counted anew in plain Python from the classes; every text's score."""
     rows = [r for r in corpus(150) + frames.EDGES]
@@ -99,25 +126,25 @@ def test_scores_against_a_plain_model(spark):
     model = train(frames.docs(spark, [r for r in rows if not held_out(r[0])]), sizes=SMALL)
     of, size = classes_of(model), SMALL.classes + 1
     counts, pairs = Counter(), np.zeros((size, size))
-    line = lambda t: [SMALL.end, *(of.get(w, model.unseen) for w in words_of((t or "").encode())), SMALL.end]
     for i, t, *_ in rows:
         if not held_out(i):
             counts.update(words_of((t or "").encode()))
-            for a, b in zip(line(t), line(t)[1:]):
+            line = [SMALL.end, *(of[w] for w in words_of((t or "").encode())), SMALL.end]
+            for a, b in zip(line, line[1:]):
                 pairs[a, b] += 1
-    mass = np.zeros(SMALL.classes)
+    mass = np.ones(SMALL.classes)
     for w, n in counts.items():
         mass[of[w]] += n + 1
-    mass[model.unseen] += 1
-    share = (pairs.sum(axis=0) + 1) * np.r_[mass > 0, True]
-    share /= share.sum()
+    share = (pairs.sum(axis=0) + 1) / (pairs.sum() + size)
     p = (pairs + SMALL.inertia * share) / (pairs.sum(axis=1, keepdims=True) + SMALL.inertia)
     want = Counter()
     for i, t, *_ in rows:
-        words = words_of((t or "").encode())
-        told = sum(math.log10(p[a, b]) for a, b in zip(line(t), line(t)[1:]))
-        told += sum(math.log10((counts[w] + 1) / mass[of.get(w, model.unseen)]) for w in words)
-        want[(i, round(told, 5))] += 1
+        told, before = 0.0, SMALL.end
+        for w in words_of((t or "").encode()):
+            c = of[w] if w in of else max(range(SMALL.classes), key=lambda k: (p[before, k] / mass[k], -k))
+            told += math.log10(p[before, c]) + math.log10((counts[w] + 1) / mass[c])
+            before = c
+        want[(i, round(told + math.log10(p[before, SMALL.end]), 5))] += 1
     assert Counter((r.doc_id, round(r.score, 5)) for r in out) == want
 
 
