@@ -31,15 +31,14 @@ class Sizes:
     count and class (65,535 at most, as their places are kept in two bytes); all others are
     joined by word. ``classes`` (250 at most), ``rounds``: of the exchange. ``moves``: rounds
     of moves at once for the frequent words beyond ``own``. ``passes``: the same for all other
-    words. ``inertia``: pseudo-count of the
-    smoothed transitions. ``held``: entries that a task gathers before it passes them on.
+    words. ``inertia``: pseudo-count of the smoothed transitions. ``held``: entries that a task gathers before it passes them on.
     """
 
     own: int = 1024
     frequent: int = 65535
     classes: int = 64
     rounds: int = 8
-    moves: int = 1
+    moves: int = 2
     passes: int = 3
     inertia: float = 2.0
     held: int = 400_000
@@ -137,15 +136,21 @@ def _matrix(rows: DataFrame, column: str, symbols: Callable[[bytes], np.ndarray]
     return matrix.reshape(size, size)
 
 
-def symbol_bigrams(codes: DataFrame, sizes: Sizes) -> np.ndarray:
-    """Bigrams of the ``own`` most frequent words and the end."""
-    own = sizes.own
+def symbol_bigrams(codes: DataFrame, sizes: Sizes, member: np.ndarray | None = None) -> np.ndarray:
+    """Bigrams of the ``own`` most frequent words and the end.
+
+    With ``member``, the classes of the frequent words, there is a symbol a class between them: its words beyond ``own``.
+    """
+    own, between = sizes.own, 0 if member is None else sizes.classes
 
     def symbols(value: bytes) -> np.ndarray:
         line = np.frombuffer(value, "<u2").astype(np.int64)
-        return np.where(line < own, line, own + 1)
+        if member is None:
+            return np.where(line < own, line, own + 1)
+        of = member[line].astype(np.int64)
+        return np.where(line < own, line, own + of)
 
-    return _matrix(codes, "codes", symbols, own + 1)
+    return _matrix(codes, "codes", symbols, own + between + 1)
 
 
 def class_bigrams(codes: DataFrame, member: np.ndarray, sizes: Sizes) -> np.ndarray:
@@ -161,19 +166,24 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1.0))
 
 
-def exchange(bigrams: np.ndarray, classes: int, rounds: int) -> np.ndarray:
+def exchange(bigrams: np.ndarray, classes: int, rounds: int, start: np.ndarray | None = None) -> np.ndarray:
     """Brown classes by exchange: each symbol in turn moves to the class that raises the likelihood most.
 
     The likelihood of class bigrams is, but for a constant, the sum of n log n over
     class pairs less that over the classes as first and as second. The last symbol is
-    the end, a class of its own (number ``classes``). Starts from the frequency order;
-    stops when a round moves nothing. Ties go to the lower class.
+    the end, a class of its own (number ``classes``). Starts from the frequency order, or from
+    ``start``, the classes of the first symbols; the symbols between these and the end then are the
+    classes' other members, taken together, and stay. Stops when a round moves nothing.
+    Ties go to the lower class.
     """
     size = len(bigrams)
     order = np.argsort(-bigrams.sum(axis=0)[:-1], kind="stable")
     member = np.zeros(size, dtype=np.int64)
     member[order] = np.arange(size - 1) % classes
     member[-1] = classes
+    if start is not None:
+        order = order[order < len(start)]
+        member[: len(start)], member[len(start) : -1] = start, np.arange(classes)
     joined = np.zeros((size, classes + 1))
     joined[np.arange(size), member] = 1
     after, before = bigrams @ joined, joined.T @ bigrams  # symbol then class, class then symbol
@@ -360,6 +370,7 @@ def cluster(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Cla
         moved = moved.select("word", "class").toArrow()  # one row a frequent word
         member = member.copy()
         member[moved["word"].to_numpy()] = moved["class"].to_numpy()
+        member[:first] = exchange(symbol_bigrams(codes, sizes, member), sizes.classes, sizes.rounds, member[:first])[:first]
         pairs = class_bigrams(codes, member, sizes)
     scratch.drop("codes")
     return Classes(sizes, frequent, top["n"].to_numpy(), member, pairs, tokens, types, documents, counts)
@@ -435,13 +446,16 @@ def other_words(rows: DataFrame, known: Classes, scratch: Scratch) -> DataFrame:
     return others
 
 
-def class_mass(known: Classes, others: DataFrame) -> np.ndarray:
-    """Tokens plus words of each class, and one for unseen words: what the class's add-one counts are divided by."""
-    mass = np.ones(known.sizes.classes)
-    np.add.at(mass, known.member[:-1].astype(np.int64), known.frequent_counts + 1)
-    for row in others.groupBy("class").agg(F.sum(F.col("n") + 1).alias("n")).collect():  # one row a class
+def class_mass(known: Classes, others: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens plus words of each class, and its words seen once."""
+    mass, once = np.zeros((2, known.sizes.classes))
+    of = known.member[:-1].astype(np.int64)
+    np.add.at(mass, of, known.frequent_counts + 1)
+    np.add.at(once, of, known.frequent_counts == 1)
+    for row in others.groupBy("class").agg(F.sum(F.col("n") + 1).alias("n"), F.count_if(F.col("n") == 1).alias("once")).collect():  # one row a class
         mass[row["class"]] += row["n"]
-    return mass
+        once[row["class"]] += row["once"]
+    return mass, once
 
 
 def resolved(rows: DataFrame, others: DataFrame, sizes: Sizes, more: list[str]) -> DataFrame:
@@ -484,14 +498,16 @@ class Model:
     unseen: np.ndarray  # class of an unseen word, by the class before it
     transitions: np.ndarray  # log10 p(class | class before)
     emission_base: np.ndarray  # log10 of what a class's counts are divided by
+    unseen_logs: np.ndarray  # log10 of what the unseen words of a class count
 
 
-def _model(known: Classes, others: DataFrame, mass: np.ndarray, train_rows: DataFrame) -> Model:
-    sizes = known.sizes
+def _model(known: Classes, others: DataFrame, train_rows: DataFrame) -> Model:
+    sizes, (mass, once) = known.sizes, class_mass(known, others)
     pairs = _matrix(train_rows, "classes", lambda value: np.frombuffer(value, np.uint8).astype(np.int64), sizes.classes + 1)
-    transitions, emission_base = np.log10(smoothed(pairs, sizes)[0]), np.log10(mass)
-    unseen = (transitions[:, : sizes.classes] - emission_base).argmax(axis=1).astype(np.uint8)
-    return Model(known, others, unseen, transitions, emission_base)
+    transitions, emission_base = np.log10(smoothed(pairs, sizes)[0]), np.log10(mass + once + 1)
+    unseen_logs = np.log10(once + 1)
+    unseen = (transitions[:, : sizes.classes] + unseen_logs - emission_base).argmax(axis=1).astype(np.uint8)
+    return Model(known, others, unseen, transitions, emission_base, unseen_logs)
 
 
 def _learn(rows: DataFrame, train_rows: DataFrame, known: Classes, scratch: Scratch, more: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -506,7 +522,7 @@ def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model
     known = cluster(texts, text, sizes)
     rows = scratch.write(marked(texts, known, F.monotonically_increasing_id().alias("key"), text=text), "marked")
     others, lines = _learn(rows, rows, known, scratch, ["key"])
-    model = _model(known, others, class_mass(known, others), lines)
+    model = _model(known, others, lines)
     scratch.drop("marked", "resolved")
     return model
 
@@ -514,7 +530,7 @@ def train(texts: DataFrame, text: str = "text", sizes: Sizes = Sizes()) -> Model
 def _scored(rows: DataFrame, model: Model, more: list[str]) -> DataFrame:
     """Scores of resolved rows."""
     known, sizes = model.known, model.known.sizes
-    transitions, emission_base, unseen = model.transitions, model.emission_base, model.unseen
+    transitions, emission_base, unseen, unseen_logs = model.transitions, model.emission_base, model.unseen, model.unseen_logs
     end_log, end_known = float(np.log10(known.documents + 1)), int(known.documents > 0)
     floor = float(np.log10(known.tokens + known.types + 1))
 
@@ -523,13 +539,12 @@ def _scored(rows: DataFrame, model: Model, more: list[str]) -> DataFrame:
             lines = []
             for classes, count, logs in zip(batch["classes"], batch["known"], batch["logs"]):
                 of = np.frombuffer(classes.as_py(), np.uint8).copy()
-                for k in np.flatnonzero(of == sizes.open):
+                new = np.flatnonzero(of == sizes.open)
+                for k in new:
                     of[k] = unseen[of[k - 1] if k else sizes.end]
+                base = logs.as_py() + end_log - (len(of) + 1) * floor
                 moves = transitions[np.r_[sizes.end, of], np.r_[of, sizes.end]].sum()
-                tokens = len(of) + 1
-                lines.append((
-                    tokens, count.as_py() + end_known, logs.as_py() + end_log - tokens * floor, logs.as_py() + moves - emission_base[of].sum(),
-                ))
+                lines.append((len(of) + 1, count.as_py() + end_known, base, logs.as_py() + moves - emission_base[of].sum() + unseen_logs[of[new]].sum()))
             columns = [pa.array(c, t) for c, t in zip(zip(*lines), (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
             if lines:
                 yield pa.RecordBatch.from_arrays([*(batch[c] for c in more), *columns], [*more, "n_tokens", "n_known", "base_score", "score"])
@@ -542,10 +557,10 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     """Per row: ``doc_id``, ``n_tokens``, ``n_known``, ``base_score``, ``score``.
 
     ``base_score`` is the add-one unigram log10 probability, ``score`` that of the class
-    bigrams: transitions of classes times the word's share of its class, add-one with one
-    place in each class for unseen words. After a given class an unseen word is put in the class
-    where it is likeliest, and in no other, so the probabilities of what may follow add up
-    to one at most. Counts and classes of frequent words are at hand in the tasks; all other
+    bigrams: transitions of classes times the word's share of its class, add-one. Unseen words
+    together count as many tokens in a class as it has words seen once, and one more. After a given
+    class an unseen word is put in the class where it is likeliest, and in no other, so the
+    probabilities of what may follow add up to one at most. Counts and classes of frequent words are at hand in the tasks; all other
     words are few of a kind, and are joined by word.
     """
     scratch = Scratch(docs.sparkSession)
@@ -572,7 +587,7 @@ def score_held_out(docs: DataFrame, id: str = "doc_id", text: str = "text", size
     ), "marked")
     others, lines = _learn(rows, rows.where("NOT held_out"), known, scratch, more)
     scratch.drop("marked")
-    model = _model(known, others, class_mass(known, others), lines.where("NOT held_out"))
+    model = _model(known, others, lines.where("NOT held_out"))
     return _scored(lines, model, more).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(known.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )

@@ -64,7 +64,7 @@ def test_probabilities_add_up(spark):
     rows = {r.doc_id: r.score for r in score(probe, model).collect()}
     end, to_end = SMALL.end, model.transitions[:, SMALL.end]
     put = int(model.unseen[end])
-    places = 10 ** (model.transitions[end, : SMALL.classes] - model.emission_base)
+    places = 10 ** (model.transitions[end, : SMALL.classes] + model.unseen_logs - model.emission_base)
     assert places.argmax() == put
     total = sum(10 ** (rows[k] - to_end[of[w]]) for k, w in enumerate(words)) + 10 ** (rows[-1] - to_end[put])
     assert total + 10 ** model.transitions[end, end] + places.sum() - places[put] == pytest.approx(1, abs=1e-9)
@@ -132,17 +132,18 @@ def test_scores_against_a_plain_model(spark):
             line = [SMALL.end, *(of[w] for w in words_of((t or "").encode())), SMALL.end]
             for a, b in zip(line, line[1:]):
                 pairs[a, b] += 1
-    mass = np.ones(SMALL.classes)
+    mass, new = np.ones(SMALL.classes), np.ones(SMALL.classes)
     for w, n in counts.items():
-        mass[of[w]] += n + 1
+        mass[of[w]] += n + 1 + (n == 1)
+        new[of[w]] += n == 1
     share = (pairs.sum(axis=0) + 1) / (pairs.sum() + size)
     p = (pairs + SMALL.inertia * share) / (pairs.sum(axis=1, keepdims=True) + SMALL.inertia)
     want = Counter()
     for i, t, *_ in rows:
         told, before = 0.0, SMALL.end
         for w in words_of((t or "").encode()):
-            c = of[w] if w in of else max(range(SMALL.classes), key=lambda k: (p[before, k] / mass[k], -k))
-            told += math.log10(p[before, c]) + math.log10((counts[w] + 1) / mass[c])
+            c = of[w] if w in of else max(range(SMALL.classes), key=lambda k: (p[before, k] * new[k] / mass[k], -k))
+            told += math.log10(p[before, c]) + math.log10((counts[w] + 1 if w in of else new[c]) / mass[c])
             before = c
         want[(i, round(told + math.log10(p[before, SMALL.end]), 5))] += 1
     assert Counter((r.doc_id, round(r.score, 5)) for r in out) == want
