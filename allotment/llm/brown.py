@@ -109,6 +109,15 @@ def coded(texts: DataFrame, frequent: list[bytes], text: str = "text") -> DataFr
     return _texts(texts, text).mapInArrow(run, "codes binary")
 
 
+def _joined(values: pa.Array, symbols: Callable[[bytes], np.ndarray], end: int) -> np.ndarray:
+    """The symbols of all texts of a batch in one line, with the end before, between and after them."""
+    lines = values.to_pylist()
+    line = symbols(b"".join(lines))
+    per_byte = len(line) / max(sum(map(len, lines)), 1)
+    stops = (np.cumsum([0, *map(len, lines)]) * per_byte).round().astype(np.int64)
+    return np.insert(line, stops, end)
+
+
 def _matrix(rows: DataFrame, column: str, symbols: Callable[[bytes], np.ndarray], size: int) -> np.ndarray:
     """How often one symbol follows another, as a matrix of fixed size; texts start and stop with the last symbol.
 
@@ -119,11 +128,11 @@ def _matrix(rows: DataFrame, column: str, symbols: Callable[[bytes], np.ndarray]
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, dtype=np.int64)
         for batch in batches:
-            for value in batch[column]:
-                line = symbols(value.as_py())
-                first, second = np.r_[end, line], np.r_[line, end]
+            for start in range(0, batch.num_rows, 1024):
+                line = _joined(batch[column].slice(start, 1024), symbols, end)
+                first, second = line[:-1], line[1:]
                 both = (first <= end) & (second <= end)
-                np.add.at(total, first[both] * size + second[both], 1)
+                total += np.bincount(first[both] * size + second[both], minlength=size * size)
         pairs = np.flatnonzero(total)
         for start in range(0, len(pairs), 1 << 16):
             some = pairs[start : start + (1 << 16)]
@@ -252,6 +261,7 @@ def code_contexts(codes: DataFrame, member: np.ndarray, sizes: Sizes) -> DataFra
     Of the neighbours without a class only those before are listed; they weigh nothing.
     """
     own, size, words = sizes.own, sizes.contexts, len(member) - 1
+    classes = np.r_[member.astype(np.int64), sizes.end]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, held = [], 0
@@ -263,13 +273,13 @@ def code_contexts(codes: DataFrame, member: np.ndarray, sizes: Sizes) -> DataFra
             )
 
         for batch in batches:
-            for value in batch["codes"]:
-                line = np.frombuffer(value.as_py(), "<u2").astype(np.int64)
-                of = member[line].astype(np.int64)
-                moving = (line >= own) & (line < words)
-                for shift, near in ((0, np.r_[sizes.end, of[:-1]][: len(of)]), (size, np.r_[of[1:], sizes.end][: len(of)])):
+            for start in range(0, batch.num_rows, 1024):
+                line = _joined(batch["codes"].slice(start, 1024), lambda value: np.frombuffer(value, "<u2").astype(np.int64), words + 1)
+                of = classes[line]
+                moving = (line[1:-1] >= own) & (line[1:-1] < words)
+                for shift, near in ((0, of[:-2]), (size, of[2:])):
                     told_by = moving & ((near != sizes.open) | (shift == 0))  # every word has a row, so every word gets a class
-                    keys.append(line[told_by] * (2 * size) + shift + near[told_by])
+                    keys.append(line[1:-1][told_by] * (2 * size) + shift + near[told_by])
                     held += len(keys[-1])
                 if held > 10 * sizes.held:
                     yield told()
