@@ -81,3 +81,51 @@ def test_rows(spark, both):
         assert (r.doc_id, r.decoded, r.n_tokens) == (i, text or "", len(ids))
         assert ids == both[1].encode(text or "", add_special_tokens=False).ids
     assert encode_decode(frames.docs(spark, []), PATH, decoded=False).count() == 0
+
+
+@pytest.mark.parametrize("few, slots", [(0, 19), (0, 4), (3, 19)])
+def test_side_by_side_is_exact(both, monkeypatch, few, slots):
+    """Many pieces at once, with a large and a small pair table: as alone and as the library."""
+    monkeypatch.setattr("allotment.llm.bpe.FEW", few)
+    monkeypatch.setattr("allotment.llm.bpe.SLOTS", slots)
+    with open(PATH, "rb") as file:
+        words = Vocabulary(file.read())
+    random.seed(8)
+    syllables = ["th", "on", "ti", "nd", "er", "ing", "ß", "é", "ü", "日本", "🙂", "ÿ", "×", "'ll", "...", "%%%", "7", "²"]
+    texts = [" ".join("".join(random.choices(syllables, k=random.randint(1, 7))) for _ in range(60)) for _ in range(60)]
+    texts += ["", " ", "a" * 200 + " " + "thonti" * 60, "<|endoftext|>x<|endoftext|>", "\xff\udfff".encode("utf-8", "ignore").decode()]
+    ids = [np.frombuffer(x, dtype="<u4").tolist() for x in words.encode_all(texts)]
+    assert ids == [both[1].encode(t, add_special_tokens=False).ids for t in texts]
+    pieces = [p for p in {"".join(random.choices(syllables[:10], k=k)) for k in range(1, 12) for _ in range(20)}]
+    packed, until = words.sequences("".join(p + "\udcff" for p in pieces).encode("utf-8", "surrogateescape"))
+    alone = [words.piece(p.encode().decode("latin-1")) for p in pieces]
+    assert np.frombuffer(packed, dtype="<u4").tolist() == sum(alone, []) and until.tolist() == np.cumsum([*map(len, alone)]).tolist()
+
+
+def test_pairs_of_all_kinds_are_compatible_or_not(both):
+    rng = np.random.default_rng(9)
+    left, right = rng.integers(0, 3000, (2, 20000))
+    assert both[0].all_compatible(left, right).tolist() == [both[0].compatible(*p) for p in zip(left.tolist(), right.tolist())]
+    for _ in range(2):
+        assert both[0].fits(left, right).tolist() == both[0].all_compatible(left, right).tolist()
+
+
+def test_a_task_forgets_its_words(both):
+    with open(PATH, "rb") as file:
+        words = Vocabulary(file.read())
+    before = words.encode(frames.LONG[:5000])
+    words.forget()
+    assert not any(len(m) or len(m.old) for m in (words.memory, words.pieces, words.pairs))
+    assert words.encode(frames.LONG[:5000]) == before
+
+
+def test_new_words_are_worked_out_side_by_side(both):
+    """Of 5,000 new words fewer than 500 are left to be worked out alone."""
+    with open(PATH, "rb") as file:
+        words = Vocabulary(file.read())
+    alone = []
+    words.pieces.work = lambda word: alone.append(word) or words.piece_ids(word)
+    random.seed(10)
+    texts = [" ".join("".join(random.choices(["th", "on", "ti", "nd", "er", "ing"], k=6)) for _ in range(50)) for _ in range(100)]
+    words.encode_all(texts)
+    assert len(alone) < 500
