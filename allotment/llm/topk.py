@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +13,9 @@ from .tables import Scratch
 
 #: Rows and queries of a block, queries that a task scores at once, and slices of the dimensions.
 ROW_BLOCK, QUERY_BLOCK, AT_ONCE, SLICES = 16384, 1024, 128, 2
+#: Row blocks and query blocks that meet in one task at most, the bytes that either may have there, and the numbers
+#: of groups of row blocks and of tasks that are made at least where there are as many blocks.
+ROW_GROUP, QUERY_GROUP, GROUP_BYTES, ROW_GROUPS, TASKS, PARTITIONS = 8, 16, 1 << 26, 32, 64, 2000
 
 
 def usable(vector: Column) -> Column:
@@ -38,6 +41,15 @@ def _bytes(numbers: np.ndarray, kind: str = "<i8") -> pa.Array:
     return pa.array([np.ascontiguousarray(numbers, dtype=kind).tobytes()], pa.binary())
 
 
+def _largest(numbers: np.ndarray) -> int:
+    return max(-int(numbers.min(initial=0)), int(numbers.max(initial=0)))
+
+
+def _narrow(matrix: np.ndarray) -> str:
+    """The smallest type that holds all numbers."""
+    return next(kind for kind in ("<i1", "<i2", "<i4", "<i8") if kind == "<i8" or _largest(matrix) <= np.iinfo(kind).max)
+
+
 def _row_blocks(rows: DataFrame, block: Column, dim: int) -> DataFrame:
     """One row per block: keys, ids and vectors of its rows as byte strings. Keys number the rows of all blocks."""
 
@@ -48,7 +60,7 @@ def _row_blocks(rows: DataFrame, block: Column, dim: int) -> DataFrame:
         new = np.r_[True, (ids[1:] != ids[:-1]) | (matrix[1:] != matrix[:-1]).any(axis=1)]  # repeated rows count once
         number = table["block"][0].as_py()
         keys = (np.int64(number) << 32) + np.arange(new.sum())
-        return pa.table({"block": pa.array([number], pa.int64()), "key": _bytes(keys), "ids": _bytes(ids[new]), "matrix": _bytes(matrix[new])})
+        return pa.table({"block": pa.array([number], pa.int64()), "key": _bytes(keys), "ids": _bytes(ids[new]), "matrix": _bytes(matrix[new], _narrow(matrix))})
 
     return rows.withColumn("block", block).groupBy("block").applyInArrow(pack, "block long, key binary, ids binary, matrix binary")
 
@@ -57,18 +69,19 @@ def _query_blocks(queries: DataFrame, dim: int, cut: bool = False) -> DataFrame:
     """One row per block of queries, the same way; with ``cut``, each query's cutoff."""
 
     def pack(table: pa.Table) -> pa.Table:
+        matrix = _matrix(table["v"], dim)
         columns = {
             "block": pa.array([table["block"][0].as_py()], pa.int64()), "key": _bytes(table["key"].to_numpy()),
-            "ids": _bytes(table["vec_id"].to_numpy()), "matrix": _bytes(_matrix(table["v"], dim)),
+            "ids": _bytes(table["vec_id"].to_numpy()), "matrix": _bytes(matrix, _narrow(matrix)),
         }
         return pa.table(columns | ({"cut": _bytes(table["cut"].to_numpy())} if cut else {}))
 
     return queries.groupBy("block").applyInArrow(pack, "block long, key binary, ids binary, matrix binary" + ", cut binary" * cut)
 
 
-def _number(kind: np.ndarray, other: np.ndarray) -> type:
-    """The smallest type whose products and sums are exact."""
-    bound = float(np.abs(kind).max(initial=0)) * float(np.abs(other).max(initial=0)) * max(1, kind.shape[1])
+def _number(largest: int, other: int, dim: int) -> type:
+    """The smallest type in which products of such numbers and their sums are exact."""
+    bound = float(largest) * float(other) * max(1, dim)
     return np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64
 
 
@@ -77,10 +90,10 @@ def _highest(part: np.ndarray, k: int, group: int = 32) -> np.ndarray:
     lines, width = part.shape
     if width <= k * group:
         return np.argpartition(-part, k - 1, axis=1)[:, :k] if width > k else np.tile(np.arange(width), (lines, 1))
-    whole = width // group * group
-    groups = part[:, :whole].reshape(lines, -1, group)
-    top = np.argpartition(-groups.max(axis=2), k - 1, axis=1)[:, :k]
-    places = (top[:, :, None] * group + np.arange(group)).reshape(lines, -1)
+    many, whole = width // group, width // group * group
+    highest = part[:, :whole].reshape(lines, group, many).max(axis=1)  # a group's places lie ``many`` apart, so whole lines are compared
+    top = np.argpartition(-highest, k - 1, axis=1)[:, :k]
+    places = (top[:, :, None] + np.arange(group) * many).reshape(lines, -1)
     places = np.concatenate([places, np.tile(np.arange(whole, width), (lines, 1))], axis=1)
     inside = np.argpartition(-np.take_along_axis(part, places, axis=1), k - 1, axis=1)[:, :k]
     return np.take_along_axis(places, inside, axis=1)
@@ -116,39 +129,62 @@ def exact_top_k(
     cuts = [(int(p[0]), int(p[-1]) + 1) for p in np.array_split(np.arange(max(dim, 1)), slices)]
     packed = scratch.write(_row_blocks(rows, F.pmod(F.xxhash64("vec_id"), F.lit(n_rows)).cast("long"), dim), "rows")
 
-    def unpacked(row: dict, prefix: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys, ids = (np.frombuffer(row[prefix + n], dtype="<i8") for n in ("key", "ids"))
-        return keys, ids, np.frombuffer(row[prefix + "matrix"], dtype="<i8").reshape(len(ids), dim)
+    def unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys, ids = (np.frombuffer(row[n], dtype="<i8") for n in ("key", "ids"))
+        width = len(row["matrix"]) // max(1, len(ids) * dim) or 8
+        return keys, ids, np.frombuffer(row["matrix"], dtype=f"<i{width}").reshape(len(ids), dim)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 keys, ids, matrix = unpacked(row)
-                yield pa.RecordBatch.from_pydict({"key": keys, "vec_id": ids, "v": pa.array(list(matrix), pa.list_(pa.int64()))})
-
-    queries = packed.mapInArrow(members, "key long, vec_id long, v array<long>").where(is_query)
-    asked = queries.count()
-    queries = scratch.write(queries.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(max(1, -(-asked // query_block)))).cast("long")), "queries")
-
-    def met(query_blocks: DataFrame) -> DataFrame:
-        """Every block of queries with every block of rows."""
-        renamed = query_blocks.select(*[F.col(c).alias(f"q_{c}") for c in query_blocks.columns])
-        spread = renamed.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_rows - 1).cast("long"))))
-        return spread.join(packed, "block").repartition(F.col("block"), F.col("q_block"))
-
-    def scored(row: dict) -> Iterator[tuple]:
-        """A few queries at a time: which, the rows' keys and ids, and the scores by slice; own rows get the lowest."""
-        _, q_ids, q = unpacked(row, "q_")
-        keys, ids, x = unpacked(row)
-        kind = _number(q, x)
-        x = x.astype(kind)
-        first, last = np.searchsorted(ids, q_ids, "left"), np.searchsorted(ids, q_ids, "right")
-        for start in range(0, len(q_ids), AT_ONCE):
-            some = slice(start, start + AT_ONCE)
-            part = q[some].astype(kind)
-            parts = [part[:, a:b] @ x[:, a:b].T for a, b in cuts]
-            own = [(line, at) for line, (a, b) in enumerate(zip(first[some], last[some])) for at in range(a, b)]
-            yield some, keys, ids, parts, tuple(np.array(own, dtype=np.int64).reshape(-1, 2).T)
+                vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * dim), pa.array(matrix.astype("<i8").ravel()))
+                yield pa.RecordBatch.from_pydict({"key": keys, "vec_id": ids, "v": vectors})
+
+    queries = scratch.write(packed.mapInArrow(members, "key long, vec_id long, v array<long>").where(is_query), "queries")
+    n_queries = max(1, -(-queries.count() // query_block))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(n_queries)).cast("long"))
+
+    def groups_of(blocks: int, size: int, most: int, least: int) -> int:
+        """Into how many groups blocks go: those of one group hold GROUP_BYTES at most, as longs."""
+        return max(-(-blocks // max(1, min(most, GROUP_BYTES // (8 * max(1, dim) * size)))), min(blocks, least))
+
+    row_groups = groups_of(n_rows, row_block, ROW_GROUP, ROW_GROUPS)
+    query_groups = groups_of(n_queries, query_block, QUERY_GROUP, -(-TASKS // row_groups))
+
+    def met(query_blocks: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+        """``work`` on every group of row blocks with every group of query blocks.
+
+        Each side is copied once per group of the other side and both are dealt by the two
+        groups' numbers. A join of copied blocks would not do: the planner takes a table before
+        it is copied for its size, and would send all copies through the driver by broadcast.
+        """
+        copied = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+        rows_there = packed.withColumn("row_group", F.col("block") % row_groups).withColumn("query_group", copied(query_groups))
+        queries_there = query_blocks.withColumn("query_group", F.col("block") % query_groups).withColumn("row_group", copied(row_groups))
+        dealt = (x.repartition(min(PARTITIONS, row_groups * query_groups), "row_group", "query_group") for x in (rows_there, queries_there))
+        one, other = (x.groupBy("row_group", "query_group") for x in dealt)
+        return one.cogroup(other).applyInArrow(work, schema)
+
+    def scored(rows: pa.Table, asked: pa.Table) -> Iterator[tuple[dict, Iterator[tuple]]]:
+        """A few queries at a time: their keys, ids and cutoffs, and for each block of rows the rows' keys
+        and ids, the scores by slice, and the places of rows with the query's own id."""
+        blocks = [unpacked(row) for row in rows.to_pylist()]
+        given = [(row, *unpacked(row)) for row in asked.to_pylist()]
+        kind = _number(max((_largest(x) for *_, x in blocks), default=0), max((_largest(q) for *_, q in given), default=0), dim)
+        blocks = [(keys, ids, [x[:, a:b].T.astype(kind, order="C") for a, b in cuts]) for keys, ids, x in blocks]
+
+        def against(q_ids: np.ndarray, part: np.ndarray) -> Iterator[tuple]:
+            for keys, ids, sliced in blocks:
+                first, last = np.searchsorted(ids, q_ids, "left"), np.searchsorted(ids, q_ids, "right")
+                own = [(line, at) for line in np.flatnonzero(first < last) for at in range(first[line], last[line])]
+                yield keys, ids, [part[:, a:b] @ x for (a, b), x in zip(cuts, sliced)], tuple(np.array(own, dtype=np.int64).reshape(-1, 2).T)
+
+        for row, q_keys, q_ids, q in given:
+            cut = np.frombuffer(row["cut"], dtype="<i8") if "cut" in row else q_keys
+            for start in range(0, len(q_ids), AT_ONCE):
+                some = slice(start, start + AT_ONCE)
+                yield {"key": q_keys[some], "id": q_ids[some], "cut": cut[some]}, against(q_ids[some], q[some].astype(kind))
 
     def best(line: np.ndarray, score: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Places of the ``k`` best entries of each line; ties to the smaller id."""
@@ -156,48 +192,63 @@ def exact_top_k(
         line = line[order]
         return order[np.arange(len(line)) - np.searchsorted(line, line) < k]
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                q_keys = np.frombuffer(row["q_key"], dtype="<i8")
-                for some, keys, ids, parts, own in scored(row):
-                    listed = np.concatenate([_highest(part, k + 1 + len(own[0])) for part in parts], axis=1)
-                    listed.sort(axis=1)
-                    new = np.c_[np.ones(len(listed), bool), listed[:, 1:] != listed[:, :-1]]
-                    line, at = np.nonzero(new)[0], listed[new]
-                    other = ~np.isin(line * len(ids) + at, own[0] * len(ids) + own[1])
-                    line, at = line[other], at[other]
-                    score = sum(part[line, at].astype(np.int64) for part in parts)
-                    kept = best(line, score, ids[at])
-                    yield pa.RecordBatch.from_pydict({"q": q_keys[some][line[kept]], "score": score[kept], "r": keys[at[kept]]})
+    def of_all_blocks(found: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+        """The ``k`` best entries (line, score, id, key) of each line over all blocks of rows."""
+        entries = [np.concatenate(x) for x in zip(*found)]
+        kept = best(*entries[:3])
+        return [x[kept] for x in entries]
+
+    def table(columns: tuple[str, ...], pieces: list[tuple[np.ndarray, ...]]) -> pa.Table:
+        return pa.table({c: np.concatenate([np.zeros(0, "<i8"), *(piece[n] for piece in pieces)]) for n, c in enumerate(columns)})
+
+    def gather(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        pieces = []
+        for some, blocks in scored(rows, asked):
+            found = []
+            for keys, ids, parts, own in blocks:
+                listed = np.concatenate([_highest(part, k + 1 + len(own[0])) for part in parts], axis=1)
+                listed.sort(axis=1)
+                new = np.c_[np.ones(len(listed), bool), listed[:, 1:] != listed[:, :-1]]
+                line, at = np.nonzero(new)[0], listed[new]
+                other = ~np.isin(line * len(ids) + at, own[0] * len(ids) + own[1])
+                line, at = line[other], at[other]
+                score = sum(part[line, at].astype(np.int64) for part in parts)
+                kept = best(line, score, ids[at])
+                found.append((line[kept], score[kept], ids[at[kept]], keys[at[kept]]))
+            if found:
+                line, score, _, key = of_all_blocks(found)
+                pieces.append((some["key"][line], score, key))
+        return table(("q", "score", "r"), pieces)
 
     plain = scratch.write(_query_blocks(queries, dim), "query_blocks")
-    lists = met(plain).mapInArrow(gather, "q long, score long, r long")
+    lists = met(plain, gather, "q long, score long, r long")
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "r"))
     cutoffs = lists.withColumn("place", place).where(F.col("place") == k).select(F.col("q").alias("key"), F.col("score").alias("cut"))
     lowest = F.lit(-(1 << 62)).cast("long")
     cut = queries.join(cutoffs, "key", "left").withColumn("cut", F.coalesce("cut", lowest))
     armed = scratch.write(_query_blocks(cut, dim, cut=True), "armed")
 
-    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                q_ids, cut = (np.frombuffer(row[n], dtype="<i8") for n in ("q_ids", "q_cut"))
-                for some, keys, ids, parts, own in scored(row):
-                    share = -(-cut[some, None] // slices)
-                    reached = parts[0] >= share.astype(parts[0].dtype)
-                    for part in parts[1:]:
-                        reached |= part >= share.astype(part.dtype)
-                    reached[own] = False
-                    line, at = np.nonzero(reached)
-                    score = sum(part[line, at].astype(np.int64) for part in parts)
-                    enough = score >= cut[some][line]
-                    line, at, score = line[enough], at[enough], score[enough]
-                    kept = best(line, score, ids[at])
-                    yield pa.RecordBatch.from_pydict({
-                        "query_id": q_ids[some][line[kept]], "vec_id": ids[at[kept]], "score": score[kept], "r": keys[at[kept]]
-                    })
-
-    found = met(armed).mapInArrow(resolve, "query_id long, vec_id long, score long, r long")
+    def resolve(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        pieces = []
+        for some, blocks in scored(rows, asked):
+            found, cut = [], some["cut"]
+            for keys, ids, parts, own in blocks:
+                share = -(-cut[:, None] // slices)
+                reached = parts[0] >= share.astype(parts[0].dtype)
+                for part in parts[1:]:
+                    reached |= part >= share.astype(part.dtype)
+                reached[own] = False
+                line, at = np.divmod(np.flatnonzero(reached), len(ids))
+                score = sum(part[line, at].astype(np.int64) for part in parts)
+                enough = score >= cut[line]
+                line, at, score = line[enough], at[enough], score[enough]
+                kept = best(line, score, ids[at])
+                found.append((line[kept], score[kept], ids[at[kept]], keys[at[kept]]))
+            if found:
+                line, score, ids, key = of_all_blocks(found)
+                pieces.append((some["id"][line], ids, score, key))
+        return table(("query_id", "vec_id", "score", "r"), pieces)
+
+    found = met(armed, resolve, "query_id long, vec_id long, score long, r long")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "r"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
