@@ -13,9 +13,9 @@ from .tables import Scratch
 
 #: Rows and queries of a block, queries that a task scores at once, and slices of the dimensions.
 ROW_BLOCK, QUERY_BLOCK, AT_ONCE, SLICES = 16384, 1024, 128, 2
-#: Row blocks and query blocks that meet in one task at most, the bytes that either may have there, and the numbers
-#: of groups of row blocks and of tasks that are made at least where there are as many blocks.
-ROW_GROUP, QUERY_GROUP, GROUP_BYTES, ROW_GROUPS, TASKS, PARTITIONS = 8, 16, 1 << 26, 32, 64, 2000
+#: Row blocks and query blocks that meet in one task at most, the bytes that either may have there, the numbers of
+#: groups of row blocks and of tasks that are made at least where there are as many blocks, and partitions at most.
+ROW_GROUP, QUERY_GROUP, GROUP_BYTES, ROW_GROUPS, TASKS, PARTITIONS = 8, 64, 1 << 26, 32, 64, 2000
 
 
 def usable(vector: Column) -> Column:
